@@ -211,12 +211,15 @@ LEGS = KEYED_LEGS + "," + STATUS_NAMES + """,
 
 
 def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Capacities of the flights of the legs, one row per leg and compartment as pulled."""
+    """Capacities of the flights of the legs, one row per leg as pulled.
+
+    Flights of one lid are stocked under another compartment, so that some legs find no capacity.
+    """
     own = legs(spark, sf_dir)
     first = F.col("Compartment") == "F"
     size = F.col("Lid")
     return own.select(
-        "FlightKey", "Compartment", "AdjustedCapacity", "STD", "STA", "Capacity", "Lid",
+        "FlightKey", F.when(size == 150, "Z").otherwise(F.col("Compartment")).alias("Compartment"), "AdjustedCapacity", "STD", "STA", "Capacity", "Lid",
         F.when(first, size - 100).otherwise(size - 90).cast("string").alias("ClassLid"),
         F.when(first, size - 110).otherwise(size - 95).cast("string").alias("ClassAdjustedCapacity"),
     )
@@ -224,7 +227,7 @@ def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 INVENTORY = """
     inventory AS (
-        SELECT FlightKey, Compartment, AdjustedCapacity, STD, STA, Capacity, Lid,
+        SELECT FlightKey, CASE WHEN Lid = 150 THEN 'Z' ELSE Compartment END AS Compartment, AdjustedCapacity, STD, STA, Capacity, Lid,
                CAST(CASE WHEN Compartment = 'F' THEN Lid - 100 ELSE Lid - 90 END AS VARCHAR) AS ClassLid,
                CAST(CASE WHEN Compartment = 'F' THEN Lid - 110 ELSE Lid - 95 END AS VARCHAR) AS ClassAdjustedCapacity
         FROM legs

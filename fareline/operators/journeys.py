@@ -273,10 +273,11 @@ def booking_lines(legs: DataFrame, airline: str, time_format: str = "HHmm", **li
 
     `time_format="HHss"` prints hour and second, for consumers used to that.
     """
-    numbers = passenger_numbers(legs, **limits).withColumnsRenamed({"BookingID": "b", "PassengerID": "p"})
+    # Row ids pin the legs; the passenger numbers then start from the pinned rows, not from scratch.
+    rows = number_all_rows(legs.where(F.col("PassengerID").isNotNull()), LINE_ORDER, "id")
+    numbers = passenger_numbers(rows, **limits).withColumnsRenamed({"BookingID": "b", "PassengerID": "p"})
     same = F.col("BookingID").eqNullSafe(F.col("b")) & (F.col("PassengerID") == F.col("p"))
-    rows = legs.join(numbers, same, "inner").drop("b", "p")
-    return number_all_rows(rows, LINE_ORDER, "id").select(
+    return rows.join(numbers, same, "inner").select(
         "id",
         F.col("RecordLocator").alias("pnr_record_locator"),
         F.col("CarrierCode").alias("airline"),

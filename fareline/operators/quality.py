@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 def parse_report(rows: DataFrame, name: str, bad_row: str = "bad_row") -> DataFrame:
     """Rows and unparsable rows of each extract, for rows read without `strict`."""
     bad = F.count(bad_row)
-    # Spark refuses to read nothing but the bad-row text, so a data column is counted along.
-    total = F.greatest(F.count("*"), F.count(rows.columns[0]))
+    # Only columns a query uses are parsed, so all must take part for all to be checked.
+    used = F.count(F.coalesce(*[F.col(c).cast("string") for c in rows.columns if c not in (name, bad_row)]))
+    total = F.greatest(F.count("*"), used)
     return rows.groupBy(name).agg(
         total.alias("rows"), bad.alias("bad_rows"), (bad == 0).alias("parses")
     )

@@ -72,7 +72,7 @@ def read_text(
     """Delimited text under a declared schema.
 
     `strict` fails the job on the first row that does not parse. Otherwise such rows carry their text
-    in the column `bad_row`, and all columns are parsed whatever a later step selects.
+    in the column `bad_row`. Either way Spark parses the columns a query uses, and only those.
     """
     reader = spark.read.options(**{**TEXT, "sep": sep}).option("multiLine", "true")
     if exact_nulls:
@@ -82,6 +82,6 @@ def read_text(
     wider = T.StructType([*schema.fields, T.StructField(bad_row, T.StringType())])
     return (
         reader.schema(wider)
-        .options(mode="PERMISSIVE", columnNameOfCorruptRecord=bad_row, columnPruning="false")
+        .options(mode="PERMISSIVE", columnNameOfCorruptRecord=bad_row)
         .csv(path)
     )
