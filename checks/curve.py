@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from checks.journeys import _GROUPS, AIRLINE, END, GROUP_BOUND, START, study
 from checks.registry import query, table
-from checks.standins import INVENTORY, LEGS, inventory, legs
+from checks.standins import INVENTORY, LEGS, inventory, kept_legs, legs
 from fareline.operators import curve, journeys
 
 # Events as bookings: event type and user make a flight that departs on the first of next month. --------
@@ -188,8 +188,9 @@ def f2(spark, sf_dir):
     SELECT f.Key, f.FlightKey, f.Compartment, c.AdjustedCapacity, c.STA, c.Capacity, c.Lid, c.ClassLid, c.ClassAdjustedCapacity
     FROM flown f LEFT JOIN capacity c ON f.FlightKey = c.FlightKey AND f.Compartment = c.Compartment""")
 def f9(spark, sf_dir):
-    flown = _flown(spark, sf_dir).select("Key", "FlightKey", "Compartment")
-    return curve.with_capacity(flown, inventory(spark, sf_dir)).drop("STD_inventory")
+    own = legs(spark, sf_dir)
+    flown = journeys.trip_legs(own, None, None, START, END, AIRLINE).select("Key", "FlightKey", "Compartment")
+    return curve.with_capacity(flown, inventory(own)).drop("STD_inventory")
 
 
 _FORECAST = f"""
@@ -219,18 +220,19 @@ _ROUTE = ("DepartureStation = 'ASIA' AND ArrivalStation = 'EUROPE'", "'ASIA'", "
 
 @query("f10_forecast_columns", _view_sql(*_ROUTE) + "SELECT * FROM forecast")
 def f10(spark, sf_dir):
-    own = legs(spark, sf_dir)
+    own = kept_legs(spark, sf_dir)
     flown = journeys.trip_legs(own, "ASIA", "EUROPE", START, END, AIRLINE)
     groups = journeys.group_bookings(own, GROUP_BOUND)
     totals = curve.running_totals(curve.daily_with_departure(curve.with_group_flag(flown, groups)))
     filled = curve.forward_fill(curve.upsample_days(totals), _CARRIED).drop("STDUTC")
-    whole = curve.with_capacity(filled, inventory(spark, sf_dir))
+    whole = curve.with_capacity(filled, inventory(own))
     return curve.forecast_columns(whole, AIRLINE, "ASIA", "EUROPE")
 
 
 @query("f11_forecast_view", _view_sql(*_ROUTE) + _FORECAST_KEPT)
 def f11(spark, sf_dir):
-    return study("ASIA", "EUROPE").forecast(legs(spark, sf_dir), inventory(spark, sf_dir))
+    own = kept_legs(spark, sf_dir)
+    return study("ASIA", "EUROPE").forecast(own, inventory(own))
 
 
 _ALL = ("true", "CAST(NULL AS VARCHAR)", "CAST(NULL AS VARCHAR)")
@@ -243,7 +245,8 @@ _ALL = ("true", "CAST(NULL AS VARCHAR)", "CAST(NULL AS VARCHAR)")
            CAST(sum(days_prior_dep) AS BIGINT) AS days_prior_dep
     FROM kept GROUP BY 1, 2""")
 def all_routes(spark, sf_dir):
-    view = study().forecast(legs(spark, sf_dir), inventory(spark, sf_dir))
+    own = kept_legs(spark, sf_dir)
+    view = study().forecast(own, inventory(own))
     sums = [F.sum(c).cast("bigint").alias(c) for c in ("ttl_bkd", "ttl_bkd_with_grp", "adj_cap", "days_prior_dep")]
     return view.groupBy("capture_date", "cmpt_code").agg(F.count("*").alias("rows"), *sums)
 

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from checks.registry import table
 from fareline.operators import journeys
+from fareline.session import new_path
+from fareline.sources.sinks import cached_extract
 
 # Offer log ------------------------------------------------------------------------------------------
 
@@ -145,6 +147,12 @@ def legs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return journeys.with_status_names(journeys.with_keys(raw_legs(spark, sf_dir)))
 
 
+def kept_legs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The legs written once, as the views that use them several times keep their extract."""
+    path = new_path(spark, "legs")
+    return cached_extract(spark, path, lambda: legs(spark, sf_dir))
+
+
 RAW_LEGS = r"""
     raw_legs0 AS (
         SELECT *, CAST(l_quantity AS INTEGER) AS q, CAST(round(l_discount * 100) AS INTEGER) AS disc,
@@ -210,12 +218,11 @@ LEGS = KEYED_LEGS + "," + STATUS_NAMES + """,
     )"""
 
 
-def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+def inventory(own: DataFrame) -> DataFrame:
     """Capacities of the flights of the legs, one row per leg as pulled.
 
     Flights of one lid are stocked under another compartment, so that some legs find no capacity.
     """
-    own = legs(spark, sf_dir)
     first = F.col("Compartment") == "F"
     size = F.col("Lid")
     return own.select(

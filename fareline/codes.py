@@ -84,6 +84,14 @@ def categories() -> list[str]:
     return [BASE_FARE, *listed, NOT_HANDLED]
 
 
+def _table(spark: SparkSession, rows: list[tuple], *columns: str) -> DataFrame:
+    """Few constant rows as an inline table, whose size the optimizer knows."""
+    literals = ", ".join(
+        "(" + ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in row) + ")" for row in rows
+    )
+    return spark.sql(f"SELECT * FROM VALUES {literals} AS t({', '.join(columns)})")
+
+
 def category_table(spark: SparkSession) -> DataFrame:
     """(AncilType, ContextDescription, ContextCode): one row per code, some 290 in all."""
     rows = [
@@ -92,10 +100,8 @@ def category_table(spark: SparkSession) -> DataFrame:
         for category, codes in by_category.items()
         for code in codes
     ]
-    return spark.createDataFrame(
-        rows, "AncilType string, ContextDescription string, ContextCode string"
-    )
+    return _table(spark, rows, "AncilType", "ContextDescription", "ContextCode")
 
 
 def status_table(spark: SparkSession, names: dict[int, str], code: str, name: str) -> DataFrame:
-    return spark.createDataFrame(list(names.items()), f"{code} int, {name} string")
+    return _table(spark, list(names.items()), code, name)

@@ -119,11 +119,42 @@ def class_items(charges: DataFrame, fees: DataFrame, ancillary_class: str) -> Da
 
 
 def all_items(charges: DataFrame, fees: DataFrame) -> DataFrame:
-    """Items of the four classes and the base fare, one row per item."""
-    out = base_fare_items(charges)
-    for ancillary_class in codes.ANCILLARY_CODES:
-        out = out.unionByName(class_items(charges, fees, ancillary_class))
-    return out
+    """Items of the four classes and the base fare, one row per item.
+
+    Same rows as `class_items` of each class and `base_fare_items` together, but charges and fees are
+    each read once: a code belongs to one class, and the class decides which tests apply. A charge can
+    be an item of its class and of the base fare.
+    """
+    known = F.broadcast(codes.category_table(charges.sparkSession))
+    tax = F.when(F.col("AncilType") == "Bundles", F.col("FeeType")).otherwise(F.col("ChargeType"))
+    group = [*LEG, "ContextCode", "FeeType", "ContextDescription", "AncilType"]
+    from_fees = (
+        fees.withColumnRenamed("FeeCode", "ContextCode")
+        .join(known, "ContextCode", "inner")
+        .where(~tax.isin(codes.TAX_TYPES))
+        .groupBy(*group)
+        .agg(sum_or_zero("ChargeAmount").alias("ChargeAmount"))
+        .select(*ITEM[:-1], F.lit("Fees").alias("SOURCE"), "ContextDescription", "AncilType")
+    )
+    charged = known.where(F.col("AncilType").isin("Bundles", "Bags"))
+    base_fare = F.lit(codes.BASE_FARE)
+    roles = F.array(
+        F.struct(F.col("ContextDescription").alias("d"), F.col("AncilType").alias("a")),
+        F.when(F.col("ChargeType") == 0, F.struct(base_fare.alias("d"), base_fare.alias("a"))),
+    )
+    from_charges = (
+        charges.withColumnRenamed("ChargeCode", "ContextCode")
+        .join(charged, "ContextCode", "left")
+        .select(*ITEM[:-1], F.lit("Charges").alias("SOURCE"), F.inline(roles))
+        .where(F.col("a").isNotNull())
+        .withColumnsRenamed({"d": "ContextDescription", "a": "AncilType"})
+    )
+    least = F.lit(None)
+    for ancillary_class, amount in MINIMUM.items():
+        least = F.when(F.col("AncilType") == ancillary_class, amount).otherwise(least)
+    return from_fees.unionByName(from_charges).where(
+        ~F.col("AncilType").isin(list(MINIMUM)) | (F.col("ChargeAmount") > least)
+    )
 
 
 _LISTED = ["ContextCode", "ContextDescription", "ChargeAmount", "SOURCE"]

@@ -122,11 +122,28 @@ _SEGMENT_COLUMNS = [
 ]
 
 
+def legs_in_class(tables: Tables, segments: DataFrame) -> DataFrame:
+    """The `described_legs` that some segment flies in its class of service.
+
+    A leg meets its segments before its flight's classes, so that it joins the one class it needs and
+    never spreads over all classes of the flight.
+    """
+    # Placed by the join keys once, segment keys are de-duplicated and joined without a further shuffle.
+    flown = segments.select(*_SEGMENT_KEYS).repartition("SegmentID", "PassengerID").distinct()
+    legs = tables["PassengerJourneyLeg"].select("InventoryLegID", *_PASSENGER_LEG_COLUMNS)
+    classes = _classes_of_flights(tables, tables["InventoryLeg"])
+    return (
+        legs.join(flown, ["SegmentID", "PassengerID"], "inner")
+        .join(classes, ["InventoryLegID", "ClassOfService"], "inner")
+        .join(_operations(tables), "InventoryLegID", "left")
+    )
+
+
 def journey_legs(tables: Tables, segments: DataFrame | None = None) -> DataFrame:
     """Segments with their legs flown in the segment's class of service."""
     segments = named_segments(tables) if segments is None else segments
     segments = segments.select(*_SEGMENT_COLUMNS, "SourceOrganizationName", "SourceDomainName")
-    legs = described_legs(tables).drop("InventoryLegID")
+    legs = legs_in_class(tables, tables["PassengerJourneySegment"]).drop("InventoryLegID")
     return segments.join(legs, _SEGMENT_KEYS, "left")
 
 
