@@ -7,7 +7,10 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from fareline.session import pin
+
 ONE_HOUR = dt.timedelta(hours=1)
+ONE_DAY = dt.timedelta(days=1)
 _TICK = dt.timedelta(microseconds=1)
 
 
@@ -73,54 +76,85 @@ def day_spine(
 
 def day_bounds(
     log: DataFrame, id_col: str, time_col: str, first: dt.date, last: dt.date,
-    margin: dt.timedelta = ONE_HOUR, inclusive_end: bool = False,
+    margin: dt.timedelta = ONE_HOUR, inclusive_end: bool = False, near: dt.timedelta = ONE_DAY,
 ) -> DataFrame:
     """For each day, the last row at or before (start - margin) and the first at or after (end + margin).
 
-    One pass over two columns of the log. Wanted times are a day apart, so plain date arithmetic tells
-    the first wanted time at or after a row and the last one at or before it. Partial aggregation
-    leaves at most a few rows per day; running extremes over those days then also answer days whose
-    neighbourhood is empty, however far the closest row is.
+    The closest row is nearly always near, and a row found near is the closest of all. So the log is
+    first read from `near` before the first wanted time to `near` after the last, a range the file scan
+    can prune by. Only if a day stays open is the whole log read. The result, a row per day, is pinned.
+    """
+    wanted = (log, id_col, time_col, first, last, margin, inclusive_end)
+    low = dt.datetime.combine(first, dt.time()) - margin - near
+    high = dt.datetime.combine(last, dt.time()) + ONE_DAY + margin + near
+    found = _bounds_in(low, high, *wanted)
+    is_open = F.col("logged_start_id").isNull() | F.col("logged_end_id").isNull()
+    return _bounds_in(None, None, *wanted) if not found.where(is_open).isEmpty() else found
+
+
+def _bounds_in(
+    low: dt.datetime | None, high: dt.datetime | None, log: DataFrame, id_col: str, time_col: str,
+    first: dt.date, last: dt.date, margin: dt.timedelta, inclusive_end: bool,
+) -> DataFrame:
+    """Day bounds from the log's rows of a time range.
+
+    Wanted times are a day apart, so plain date arithmetic tells the first wanted time at or after a
+    row and the last one at or before it. A hash aggregate per such slot leaves a few rows per day;
+    running extremes over the days then also answer days whose neighbourhood is empty. A second narrow
+    pass looks up the IDs of the times found.
     """
     days = (last - first).days + 1
     t = F.col(time_col)
+    log = log.where(t.isNotNull())
+    if low is not None:
+        log = log.where(t.between(F.lit(low).cast("timestamp_ntz"), F.lit(high).cast("timestamp_ntz")))
     end_shift = margin if inclusive_end else margin - _TICK
     # Slot k: "at or before start of day k, less margin" / "at or after end of day k, plus margin".
     before = F.date_diff(F.to_date(t + _span(margin) - _span(_TICK)), F.lit(first)) + 1
     after = F.date_diff(F.to_date(t - _span(end_shift)), F.lit(first)) - 1
-    pair = F.struct(F.col(time_col).alias("t"), F.col(id_col).alias("i"))
-    extremes = (
-        log.where(t.isNotNull())
-        .groupBy(
-            F.least(F.greatest(before, F.lit(0)), F.lit(days)).alias("before"),
-            F.greatest(F.least(after, F.lit(days - 1)), F.lit(-1)).alias("after"),
-        )
-        .agg(F.max(pair).alias("latest"), F.min(pair).alias("earliest"))
-    )
-    # From here on: one row per day at most.
+    extremes = log.groupBy(
+        F.least(F.greatest(before, F.lit(0)), F.lit(days)).alias("before"),
+        F.greatest(F.least(after, F.lit(days - 1)), F.lit(-1)).alias("after"),
+    ).agg(F.max(t).alias("latest"), F.min(t).alias("earliest"))
+
+    # From here to the second pass: one row per day at most.
+    none = F.lit(None).cast("timestamp_ntz")
     slots = extremes.select(
         F.inline(
             F.array(
-                F.struct(F.col("before").alias("slot"), F.col("latest"), F.lit(None).alias("earliest")),
-                F.struct(F.col("after").alias("slot"), F.lit(None).alias("latest"), F.col("earliest")),
+                F.struct(F.col("before").alias("slot"), F.col("latest"), none.alias("earliest")),
+                F.struct(F.col("after").alias("slot"), none.alias("latest"), F.col("earliest")),
             )
         )
     ).where(F.col("slot").between(0, days - 1))
-    slots = slots.groupBy("slot").agg(
-        F.max("latest").alias("latest"), F.min("earliest").alias("earliest")
-    )
+    slots = slots.groupBy("slot").agg(F.max("latest").alias("latest"), F.min("earliest").alias("earliest"))
     spine = day_spine(log.sparkSession, first, last, inclusive_end)
     spine = spine.withColumn("slot", F.date_diff("day", F.lit(first)))
     up_to = Window.orderBy("slot").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     onward = Window.orderBy("slot").rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    found = spine.join(slots, "slot", "left").select(
+    times = spine.join(slots, "slot", "left").select(
         "date", "start", "end",
-        F.max("latest").over(up_to).alias("lo"), F.min("earliest").over(onward).alias("hi"),
+        F.max("latest").over(up_to).alias("logged_start_datetime"),
+        F.min("earliest").over(onward).alias("logged_end_datetime"),
     )
-    return found.select(
-        "date", "start", "end",
-        F.col("lo.i").alias("logged_start_id"), F.col("lo.t").alias("logged_start_datetime"),
-        F.col("hi.i").alias("logged_end_id"), F.col("hi.t").alias("logged_end_datetime"),
+
+    # The shuffled slots serve all uses of `times`; at most two wanted times per day are broadcast.
+    found = times.select(F.explode(F.array("logged_start_datetime", "logged_end_datetime")).alias("at"))
+    found = found.where(F.col("at").isNotNull()).distinct()
+    ids = (
+        log.join(F.broadcast(found), t == F.col("at"), "inner")
+        .groupBy("at")
+        .agg(F.max(id_col).alias("last_id"), F.min(id_col).alias("first_id"))
+    )
+    start_ids = ids.select(F.col("at").alias("logged_start_datetime"), F.col("last_id").alias("logged_start_id"))
+    end_ids = ids.select(F.col("at").alias("logged_end_datetime"), F.col("first_id").alias("logged_end_id"))
+    return pin(
+        times.join(start_ids, "logged_start_datetime", "left")
+        .join(end_ids, "logged_end_datetime", "left")
+        .select(
+            "date", "start", "end", "logged_start_id", "logged_start_datetime", "logged_end_id",
+            "logged_end_datetime",
+        )
     )
 
 
