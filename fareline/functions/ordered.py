@@ -50,9 +50,10 @@ def _split(df: DataFrame, keys: list[str], share: float, rows: int, distinct: bo
 
 def _into_ranges(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     # `__tie` lets even rows with equal keys and order values spread over several ranges.
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return pin(
         df.withColumn("__tie", F.monotonically_increasing_id())
-        .repartitionByRange(*keys, *order, "__tie")
+        .repartitionByRange(ranges, *keys, *order, "__tie")
         .withColumn("__range", F.spark_partition_id())
     )
 

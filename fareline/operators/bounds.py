@@ -82,21 +82,40 @@ def day_bounds(
 
     The closest row is nearly always near, and a row found near is the closest of all. So the log is
     first read from `near` before the first wanted time to `near` after the last, a range the file scan
-    can prune by. Only if a day stays open is the whole log read. The result, a row per day, is pinned.
+    can prune by. Days that stay open on a side all want the same row, the closest one outside of that
+    range; one aggregate over the rest of the log finds it. The result, a row per day, is pinned.
     """
-    wanted = (log, id_col, time_col, first, last, margin, inclusive_end)
     low = dt.datetime.combine(first, dt.time()) - margin - near
     high = dt.datetime.combine(last, dt.time()) + ONE_DAY + margin + near
-    found = _bounds_in(low, high, *wanted)
+    low, high = (F.lit(x).cast("timestamp_ntz") for x in (low, high))
+    t = F.col(time_col)
+    nearby = log.where(t.between(low, high))
+    found = pin(_bounds_in(nearby, id_col, time_col, first, last, margin, inclusive_end))
     is_open = F.col("logged_start_id").isNull() | F.col("logged_end_id").isNull()
-    return _bounds_in(None, None, *wanted) if not found.where(is_open).isEmpty() else found
+    if found.where(is_open).isEmpty():
+        return found
+
+    pair = F.struct(t.alias("t"), F.col(id_col).alias("i"))
+    outside = log.where((t < low) | (t > high)).agg(
+        F.max(F.when(t < low, pair)).alias("before"), F.min(F.when(t > high, pair)).alias("after")
+    ).first()
+    kinds = {f.name: f.dataType for f in found.schema.fields}
+    closest = {
+        "logged_start_id": outside.before and outside.before.i,
+        "logged_start_datetime": outside.before and outside.before.t,
+        "logged_end_id": outside.after and outside.after.i,
+        "logged_end_datetime": outside.after and outside.after.t,
+    }
+    return found.withColumns(
+        {c: F.coalesce(F.col(c), F.lit(value).cast(kinds[c])) for c, value in closest.items()}
+    )
 
 
 def _bounds_in(
-    low: dt.datetime | None, high: dt.datetime | None, log: DataFrame, id_col: str, time_col: str,
-    first: dt.date, last: dt.date, margin: dt.timedelta, inclusive_end: bool,
+    log: DataFrame, id_col: str, time_col: str, first: dt.date, last: dt.date,
+    margin: dt.timedelta, inclusive_end: bool,
 ) -> DataFrame:
-    """Day bounds from the log's rows of a time range.
+    """Day bounds as far as these rows of the log tell.
 
     Wanted times are a day apart, so plain date arithmetic tells the first wanted time at or after a
     row and the last one at or before it. A hash aggregate per such slot leaves a few rows per day;
@@ -105,9 +124,6 @@ def _bounds_in(
     """
     days = (last - first).days + 1
     t = F.col(time_col)
-    log = log.where(t.isNotNull())
-    if low is not None:
-        log = log.where(t.between(F.lit(low).cast("timestamp_ntz"), F.lit(high).cast("timestamp_ntz")))
     end_shift = margin if inclusive_end else margin - _TICK
     # Slot k: "at or before start of day k, less margin" / "at or after end of day k, plus margin".
     before = F.date_diff(F.to_date(t + _span(margin) - _span(_TICK)), F.lit(first)) + 1
@@ -148,7 +164,7 @@ def _bounds_in(
     )
     start_ids = ids.select(F.col("at").alias("logged_start_datetime"), F.col("last_id").alias("logged_start_id"))
     end_ids = ids.select(F.col("at").alias("logged_end_datetime"), F.col("first_id").alias("logged_end_id"))
-    return pin(
+    return (
         times.join(start_ids, "logged_start_datetime", "left")
         .join(end_ids, "logged_end_datetime", "left")
         .select(

@@ -13,7 +13,6 @@ from fareline.operators.bounds import key_bounds
 from fareline.operators.export import (
     assign_days, child_of_range, clean_text, conform, drop_accessory, with_constant_nulls,
 )
-from fareline.session import pin
 from fareline.sources.scans import id_range
 from fareline.sources.sinks import export_name, write_split, write_text
 
@@ -76,7 +75,6 @@ def export_rows(
     The widest ID range of the days prunes the scan; each day's own range and times select its rows.
     """
     cut = LOG_TABLES[name]
-    days = pin(days)
     low, high = _widest(days)
     rows = conform(pull(tables, name, low, high, bounds), schemas.struct_of(name), strict)
     ranges = days.select(
@@ -113,6 +111,5 @@ def export_table(
 
 def export_all(tables: Mapping[str, DataFrame], days: DataFrame, root: str, **options) -> None:
     """Export every log table: one job each, over all days."""
-    days = pin(days)
     for name in LOG_TABLES:
         export_table(tables, name, days, root, **options)

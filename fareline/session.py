@@ -42,11 +42,13 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 
 def pin(df: DataFrame) -> DataFrame:
-    """Write `df` to reliable storage and cut its lineage."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint()
+    """Write `df` once as a table in the shared folder and go on from there.
+
+    Cuts the lineage, survives lost executors, and lets later steps read only the columns they use.
+    """
+    path = new_path(df.sparkSession, "pinned")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = 10_000) -> DataFrame:

@@ -14,7 +14,7 @@ TEXT = {
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
 }
 # Keeps null and empty text apart; both sides must use it.
-EXACT_NULLS = {"nullValue": "\\N", "emptyValue": ""}
+EXACT_NULLS = {"nullValue": "\\N"}
 
 
 def in_range(id_col: str, low, high, bounds: str = "inclusive") -> Column:
