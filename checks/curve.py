@@ -147,7 +147,7 @@ def f8_gaps(spark, sf_dir):
     rows = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", *order, F.when(F.col("l_returnflag") == "A", F.col("l_quantity")).alias("carried")
     )
-    return curve.fill_forward_window(rows, ["carried"], ["l_orderkey"], order)
+    return curve.fill_gaps(rows, ["carried"], ["l_orderkey"], order)
 
 
 # Forecast on passenger legs --------------------------------------------------------------------------

@@ -141,3 +141,33 @@ def look_ahead(
         }
     )
     return out.unionByName(stitched.drop("__tie", "__range", "__head"))
+
+
+def fill_forward(
+    df: DataFrame, keys: list[str], order: list[str], filled: list[str],
+    share: float = HEAVY_SHARE, rows: int = HEAVY_ROWS,
+) -> DataFrame:
+    """Replace nulls of the `filled` columns by the group's last known value."""
+    light, heavy = _split(df, keys, share, rows, distinct=False)
+    window = Window.partitionBy(*keys).orderBy(*order).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    out = light.withColumns({c: F.last(c, ignorenulls=True).over(window) for c in filled})
+    if heavy is None:
+        return out
+
+    ranges = _into_ranges(heavy, keys, order)
+    place = F.struct(*order, "__tie")
+    known = [F.max_by(c, F.when(F.col(c).isNotNull(), place)).alias(f"__known_{c}") for c in filled]
+    lasts = _spanning(ranges, keys, *known)
+    earlier = Window.partitionBy("__key").orderBy("__at").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    carried = {f"__known_{c}": F.last(f"__known_{c}", ignorenulls=True).over(earlier) for c in filled}
+    inside = Window.partitionBy("__range", *keys).orderBy(*order, "__tie").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    stitched = _with_spanning(ranges, lasts.withColumns(carried), keys).withColumns(
+        {c: F.coalesce(F.last(c, ignorenulls=True).over(inside), F.col(f"__known_{c}")) for c in filled}
+    )
+    return out.unionByName(stitched.select(*out.columns))

@@ -7,7 +7,10 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from fareline.schemas import struct_of
 from fareline.session import pin
+from fareline.sources.scans import read_text
+from fareline.sources.sinks import write_text
 
 ONE_HOUR = dt.timedelta(hours=1)
 ONE_DAY = dt.timedelta(days=1)
@@ -174,16 +177,24 @@ def _bounds_in(
     )
 
 
-def save_bounds(bounds: DataFrame, path: str) -> None:
-    """Keep a day-bounds table, sorted by start (one small file)."""
-    bounds.coalesce(1).sortWithinPartitions("start").write.mode("overwrite").parquet(path)
+def save_bounds(bounds: DataFrame, path: str, text: bool = False) -> None:
+    """Keep a day-bounds table, sorted by start, as one small file; as comma-separated `text` if asked."""
+    ordered = bounds.coalesce(1).sortWithinPartitions("start")
+    if text:
+        write_text(ordered, path, sep=",", mode="overwrite")
+    else:
+        ordered.write.mode("overwrite").parquet(path)
 
 
 def load_bounds(
-    spark: SparkSession, path: str, first: dt.datetime | None = None, last: dt.datetime | None = None
+    spark: SparkSession, path: str, first: dt.datetime | None = None, last: dt.datetime | None = None,
+    text: bool = False,
 ) -> DataFrame:
     """A kept day-bounds table, cut to days that start in [first, last]."""
-    bounds = spark.read.parquet(path)
+    if text:
+        bounds = read_text(spark, path, struct_of("day_bounds"), sep=",")
+    else:
+        bounds = spark.read.parquet(path)
     if first is not None:
         bounds = bounds.where(F.col("start") >= F.lit(first).cast("timestamp_ntz"))
     if last is not None:

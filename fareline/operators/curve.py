@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fareline.functions.nulls import sum_or_zero
+from fareline.functions.ordered import fill_forward
 from fareline.operators.journeys import FAR_DATE, LONGEST_LEAD_DAYS
 
 FLIGHT = ["CarrierCode", "FlightNumber", "STD"]
@@ -127,15 +128,12 @@ def forward_fill(
     return upsampled.withColumns({**filled, **zero}).drop("filled", "origin")
 
 
-def fill_forward_window(
+def fill_gaps(
     rows: DataFrame, carried: Sequence[str], flight: Sequence[str] = FLIGHT,
-    order: Sequence[str] = DAY_ORDER,
+    order: Sequence[str] = DAY_ORDER, **limits,
 ) -> DataFrame:
-    """Replace nulls of `carried` by the last known value of the flight; for series that come with gaps."""
-    so_far = Window.partitionBy(*flight).orderBy(*order).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    return rows.withColumns({c: F.last(c, ignorenulls=True).over(so_far) for c in carried})
+    """Replace nulls of `carried` by the flight's last known value; for series that come with gaps."""
+    return fill_forward(rows, list(flight), list(order), list(carried), **limits)
 
 
 CAPACITY_COLUMNS = [

@@ -36,9 +36,19 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+def _own_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/fareline/{spark.sparkContext.applicationId}"
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that no other run uses."""
-    return f"{shared_dir(spark)}/fareline/{name}-{uuid.uuid4().hex}"
+    return f"{_own_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete what this application pinned; tables that rest on it cannot be read afterwards."""
+    own = spark._jvm.org.apache.hadoop.fs.Path(_own_dir(spark))
+    own.getFileSystem(spark._jsc.hadoopConfiguration()).delete(own, True)
 
 
 def pin(df: DataFrame) -> DataFrame:

@@ -67,14 +67,17 @@ def database_range(
 
 def read_text(
     spark: SparkSession, path: str | list[str], schema: T.StructType, *, strict: bool = True,
-    exact_nulls: bool = False, sep: str = ";", bad_row: str = "bad_row",
+    exact_nulls: bool = False, sep: str = ";", multi_line: bool = True, bad_row: str = "bad_row",
 ) -> DataFrame:
     """Delimited text under a declared schema.
 
     `strict` fails the job on the first row that does not parse. Otherwise such rows carry their text
     in the column `bad_row`. Either way Spark parses the columns a query uses, and only those.
+    Files whose values hold no newline (carriage returns may) can be read with `multi_line=False`:
+    then a large file is divided among tasks.
     """
-    reader = spark.read.options(**{**TEXT, "sep": sep}).option("multiLine", "true")
+    lines = {"multiLine": "true"} if multi_line else {"lineSep": "\n"}
+    reader = spark.read.options(**{**TEXT, "sep": sep}, **lines)
     if exact_nulls:
         reader = reader.options(**EXACT_NULLS)
     if strict:

@@ -106,10 +106,11 @@ def test_spine(spark):
     assert closed[0][3] == dt.datetime(2024, 3, 1)
 
 
-def test_bounds_table(spark, log, path):
+@pytest.mark.parametrize("text", [False, True])
+def test_bounds_table(spark, log, path, text):
     where = path("bounds")
     whole = bounds.day_bounds(log, "id", "t", dt.date(2024, 1, 1), dt.date(2024, 1, 5))
-    bounds.save_bounds(whole, where)
-    assert rows(bounds.load_bounds(spark, where), "start") == rows(whole, "start")
-    some = bounds.load_bounds(spark, where, at(2), at(4))
+    bounds.save_bounds(whole, where, text)
+    assert rows(bounds.load_bounds(spark, where, text=text), "start") == rows(whole, "start")
+    some = bounds.load_bounds(spark, where, at(2), at(4), text)
     assert [r[1] for r in rows(some, "start")] == [at(2), at(3), at(4)]

@@ -77,7 +77,7 @@ def test_no_day_is_missing_and_values_carry_on(made):
 def test_windowed_fill_agrees(made):
     totals = curve.running_totals(curve.daily_with_departure(made(booked(1), booked(5), booked(5, compartment="J"), booked(14, number="2"))))
     gaps = curve.upsample_days(totals)
-    by_window = curve.fill_forward_window(gaps, ["bookings_cum", "group_bookings_cum"], order=["CreatedUTC", "Compartment"])
+    by_window = curve.fill_gaps(gaps, ["bookings_cum", "group_bookings_cum"], order=["CreatedUTC", "Compartment"])
     columns = ["FlightNumber", "CreatedUTC", "bookings_cum", "group_bookings_cum"]
     assert rows(by_window.select(*columns), *columns) == rows(curve.forward_fill(gaps, CARRIED).select(*columns), *columns)
 

@@ -119,6 +119,13 @@ def test_text_round_trip(spark, frame, path):
     assert rows(scans.read_text(spark, where, t.schema, exact_nulls=True), "i") == rows(t, "i")
 
 
+def test_single_line_reading_keeps_carriage_returns(spark, frame, path):
+    where = path("lines")
+    t = frame("i int, s string", *[(i, s) for i, s in enumerate(TEXTS) if s is None or "\n" not in s])
+    sinks.write_text(t, where, exact_nulls=True)
+    assert rows(scans.read_text(spark, where, t.schema, exact_nulls=True, multi_line=False), "i") == rows(t, "i")
+
+
 def test_text_is_quoted_only_where_needed(spark, frame, path):
     where = path("quotes")
     sinks.write_text(frame("a int, s string", (1, "plain"), (2, "a;b")).coalesce(1), where)

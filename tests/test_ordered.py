@@ -46,6 +46,21 @@ def test_look_ahead(frame, data, limits):
     assert set(rows(got)) == expected and got.count() == len(data)
 
 
+@pytest.mark.parametrize("limits", [{}, ALL_HEAVY, {"share": 0.3, "rows": 100}])
+@pytest.mark.parametrize("known", [0.3, 0.005])
+def test_fill_forward(frame, data, limits, known):
+    rng = random.Random(11)
+    gappy = [(k, o, v if rng.random() < known else None) for k, o, v in data]
+    got = ordered.fill_forward(frame(SCHEMA, *gappy).repartition(6), ["k"], ["o"], ["v"], **limits)
+    expected = set()
+    for k, items in _groups(gappy).items():
+        last = None
+        for o, v in items:
+            last = v if v is not None else last
+            expected.add((k, o, last))
+    assert set(rows(got)) == expected and got.count() == len(data)
+
+
 @pytest.mark.parametrize("limits", [{}, ALL_HEAVY])
 def test_distinct_rows(frame, data, limits):
     got = ordered.number_rows(frame(SCHEMA, *data, *data), ["k"], ["o"], "n", distinct=True, **limits)
