@@ -19,9 +19,16 @@ def join_text(*parts: Column | str, separator: str = "") -> Column:
     return F.concat(*[c.cast("string") for c in cols])
 
 
+# The characters Unicode counts as white space.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
+
 def strip_space(c: Column | str) -> Column:
-    """Remove every kind of white space at both ends (`trim` removes blanks only)."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    """Remove every kind of white space at both ends (`trim` alone removes blanks only)."""
+    return F.btrim(c, F.lit(WHITE_SPACE))
 
 
 def sum_or_zero(c: Column | str) -> Column:
