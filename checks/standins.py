@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from checks.registry import table
 from fareline.operators import journeys
-from fareline.session import new_path
+from fareline.session import new_path, spread
 from fareline.sources.sinks import cached_extract
 
 # Offer log ------------------------------------------------------------------------------------------
@@ -103,7 +103,7 @@ def raw_legs(spark: SparkSession, sf_dir: str) -> DataFrame:
         "c_custkey", F.col("r_name").alias("to")
     )
     lines = (
-        table(spark, sf_dir, "lineitem")
+        spread(table(spark, sf_dir, "lineitem"))
         .join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
         .join(customers, F.col("o_custkey") == F.col("c_custkey"))
@@ -426,7 +426,7 @@ def charges(spark: SparkSession, sf_dir: str) -> DataFrame:
     brand = table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("l_partkey"), F.regexp_extract("p_brand", r"(\d+)", 1).cast("int").alias("b")
     )
-    return table(spark, sf_dir, "lineitem").join(brand, "l_partkey").select(
+    return spread(table(spark, sf_dir, "lineitem")).join(brand, "l_partkey").select(
         F.col("l_orderkey").alias("PassengerID"), F.col("l_linenumber").alias("SegmentID"),
         F.col("l_suppkey").alias("InventoryLegID"), _percent("l_tax").alias("ChargeType"),
         _code(F.col("b")).alias("ChargeCode"), F.col("l_extendedprice").alias("ChargeAmount"),
@@ -439,7 +439,7 @@ def fees(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").alias("l_suppkey"), (F.col("s_nationkey") + 1).alias("b")
     )
-    return table(spark, sf_dir, "lineitem").join(nation, "l_suppkey").select(
+    return spread(table(spark, sf_dir, "lineitem")).join(nation, "l_suppkey").select(
         F.col("l_orderkey").alias("PassengerID"), F.col("l_linenumber").alias("SegmentID"),
         F.col("l_suppkey").alias("InventoryLegID"), _code(F.col("b")).alias("FeeCode"),
         _percent("l_discount").alias("FeeType"), _percent("l_tax").alias("ChargeType"),

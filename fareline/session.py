@@ -69,3 +69,9 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
     if df.limit(max_rows + 1).count() <= max_rows:
         return F.broadcast(df)
     return df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread an input that is read by fewer tasks than there are cores; larger ones stay as read."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
