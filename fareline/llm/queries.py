@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fareline.llm.direct_codes import read_tokens, write_tokens
 from fareline.llm.fm_index import find_leaks
+from fareline.llm.packing import pack
 from fareline.llm.registry import query, table
+from fareline.session import new_path
 
 
 @query(
@@ -48,3 +52,16 @@ def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"),
     )
+
+
+@query("op3_token_binary_output")
+def token_binary_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "tokens")
+    write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), end=2)
+    return read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query("op7_packing")
+def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end=1)
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
