@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from fareline.llm.direct_codes import read_tokens, write_tokens
 from fareline.llm.fm_index import find_leaks
+from fareline.llm.minhash import near_duplicates
 from fareline.llm.packing import pack
 from fareline.llm.registry import query, table
 from fareline.session import new_path
@@ -65,3 +66,8 @@ def token_binary_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end=1)
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+@query("op1_minhash_near_dedup")
+def minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
