@@ -7,9 +7,9 @@ minhashes that as many tables of their own would need.
 1. Equal shingle sets collapse to their smallest document; only distinct sets go on.
 2. Each table bucket links its members with its smallest one. Candidates pass an estimate from all minhashes, are
    confirmed on full sets, and confirmed links make components.
-3. Buckets whose members still are in several components get the pairs between these: each pair of different
-   components in small buckets; in crowded ones the sets of the members are joined by their rarest shingles (a prefix
-   that two similar sets must share), which finds every link between them without listing all pairs.
+3. Buckets whose members still are in several components get what is between these: each pair of different components
+   in small buckets; the members of crowded ones are dealt into blocks, and each pair of blocks counts its
+   intersections as one matrix product and gives out links alone.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,6 +34,8 @@ PERCENT = 85
 HALVES, ROWS = 8, 3
 #: Buckets of up to this many distinct sets have their pairs listed.
 CROWDED = 24
+#: Shingles in a block of a crowd: from the first number on a crowd has several blocks, and none has more than the second.
+BLOCK = 50_000, 1_000_000
 #: IDs that may be broadcast, after they have been counted.
 BROADCAST_IDS = 1_000_000
 
@@ -156,20 +158,53 @@ class _Job:
         schema = T.StructType([T.StructField("id", self.id_type), T.StructField("set", T.ArrayType(T.LongType()))])
         return pin(rows.mapInArrow(_sets(self.size), schema))
 
-    def crowded_pairs(self, members: DataFrame) -> DataFrame:
-        """All pairs of different components among `members` (rep, component) whose sets can be similar enough."""
-        sets = self.full_sets(members.select(F.col("rep").alias("id")).distinct())
-        tokens = pin(sets.select("id", F.size("set").alias("n"), F.explode("set").alias("token")))
-        counted = tokens.join(tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1"), "token", "left")
-        place = F.row_number().over(Window.partitionBy("id").orderBy(F.coalesce("df", F.lit(1)), "token"))
-        share = F.col("n") * self.percent
-        prefix = counted.withColumn("place", place).where(F.col("place") <= F.col("n") - F.ceil(share / 100) + 1).where("df > 1")
-        prefix = pin(prefix.join(members.select(F.col("rep").alias("id"), "component").distinct(), "id").select("token", "id", "n", "component"))
-        mixed_tokens = prefix.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("token")
-        one = prefix.join(mixed_tokens, "token").select("token", F.col("id").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
-        two = prefix.select("token", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-        close = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * self.percent
-        return one.join(two, "token").where((F.col("ca") < F.col("cb")) & close).select("a", "b").distinct()
+    def crowded_links(self, members: DataFrame) -> DataFrame:
+        """All links between different components among `members` (rep, center, component), crowd by crowd.
+
+        A crowd is what crowded buckets connect. Its sets are dealt into blocks; each pair of blocks is one group of
+        bounded size, which counts all intersections at once and returns the links alone.
+        """
+        edges = components(members.select(F.col("rep").alias("a"), F.col("center").alias("b")))
+        own = members.select(F.col("rep").alias("id"), "component").distinct()
+        named = own.join(edges.select(F.col("node").alias("id"), F.col("component").alias("crowd")), "id")
+        sets = self.full_sets(named.select("id")).join(named, "id")
+        sets = pin(sets.withColumn("n", F.size("set").cast("long")))
+        sizes = sets.groupBy("crowd").agg(F.sum("n").alias("total"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+        most = F.greatest(F.lit(1), F.least(F.lit(40), F.ceil(F.col("total") / BLOCK[0])), F.ceil(F.col("total") / BLOCK[1])).cast("int")
+        sizes = sizes.where("lo < hi").select("crowd", most.alias("blocks"))
+        dealt = sets.join(sizes, "crowd").withColumn("block", F.pmod(F.xxhash64("id", F.lit(3)), F.col("blocks")).cast("int"))
+        dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        dealt = dealt.select("id", "set", "component", "crowd", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"))
+        schema = T.StructType([T.StructField("a", self.id_type), T.StructField("b", self.id_type)])
+        return pin(dealt.groupBy("crowd", "one", "two").applyInArrow(_links_within(self.percent), schema).distinct())
+
+
+def _links_within(percent: int):
+    def run(group: pa.Table) -> pa.Table:
+        _, component = np.unique(group.column("component").to_numpy(zero_copy_only=False), return_inverse=True)
+        column = group.column("set").combine_chunks()
+        n = np.diff(column.offsets.to_numpy())
+        row = np.repeat(np.arange(len(n)), n)
+        kinds, kind = np.unique(column.flatten().to_numpy(), return_inverse=True)
+        shared = np.bincount(kind) > 1
+        place = np.cumsum(shared) - 1
+        on = shared[kind]
+        row, kind = row[on], place[kind[on]]
+        order = np.argsort(kind, kind="stable")
+        row, kind = row[order], kind[order]
+        both = np.zeros((len(n), len(n)), np.float32)
+        for low in range(0, int(place[-1]) + 1, 2048) if len(place) else ():
+            i, j = np.searchsorted(kind, (low, low + 2048))
+            held = np.zeros((len(n), 2048), np.float32)
+            held[row[i:j], kind[i:j] - low] = 1
+            both += held @ held.T
+        linked = both * 100 >= (n[:, None] + n[None, :] - both) * percent
+        linked &= component[:, None] < component[None, :]
+        a, b = np.nonzero(linked)
+        ids = group.column("id").combine_chunks()
+        return pa.table({"a": ids.take(pa.array(a)), "b": ids.take(pa.array(b))})
+
+    return run
 
 
 def near_duplicates(
@@ -204,7 +239,7 @@ def near_duplicates(
     links = job.confirmed(star, sets)
     label = components(links)
     named = members.join(label.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    named = pin(named.select("key", "rep", "c", "component"))
+    named = pin(named.select("key", "rep", "c", "center", "component"))
     open_keys = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
     rest = pin(named.join(open_keys, "key"))
 
@@ -214,9 +249,9 @@ def near_duplicates(
     pair = pair.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
     pair = pair.join(star, ["a", "b"], "left_anti")  # a star's center is its smallest member
     more = [job.confirmed(pair, sets)]
-    many = rest.where(F.col("c") > crowded).select("rep", "component").distinct()
+    many = rest.where(F.col("c") > crowded).select("rep", "center", "component").distinct()
     if not many.isEmpty():
-        more.append(job.confirmed(job.crowded_pairs(pin(many)), sets))
+        more.append(job.crowded_links(pin(many)))
     found = more[0] if len(more) == 1 else more[0].unionByName(more[1])
     if not found.isEmpty():
         label = components(links.unionByName(found))
