@@ -172,7 +172,7 @@ class _Job:
         sizes = sets.groupBy("crowd").agg(F.sum("n").alias("total"), F.min("component").alias("lo"), F.max("component").alias("hi"))
         most = F.greatest(F.lit(1), F.least(F.lit(40), F.ceil(F.col("total") / BLOCK[0])), F.ceil(F.col("total") / BLOCK[1])).cast("int")
         sizes = sizes.where("lo < hi").select("crowd", most.alias("blocks"))
-        dealt = sets.join(sizes, "crowd").withColumn("block", F.pmod(F.xxhash64("id", F.lit(3)), F.col("blocks")).cast("int"))
+        dealt = sets.join(broadcast_if_small(pin(sizes)), "crowd").withColumn("block", F.pmod(F.xxhash64("id", F.lit(3)), F.col("blocks")).cast("int"))
         dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         dealt = dealt.select("id", "set", "component", "crowd", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"))
         schema = T.StructType([T.StructField("a", self.id_type), T.StructField("b", self.id_type)])

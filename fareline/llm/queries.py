@@ -8,9 +8,13 @@ from pyspark.sql import functions as F
 
 from fareline.llm.direct_codes import read_tokens, write_tokens
 from fareline.llm.fm_index import find_leaks
+from fareline.llm.line_dedup import remove_boilerplate
 from fareline.llm.minhash import near_duplicates
 from fareline.llm.packing import pack
+from fareline.llm.pivot_index import top_k
 from fareline.llm.registry import query, table
+from fareline.llm.secret_scan import find_secrets
+from fareline.llm.toxicity import score, train
 from fareline.session import new_path
 
 
@@ -71,3 +75,71 @@ def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_minhash_near_dedup")
 def minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op8_toxicity")
+def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = lambda c: F.crc32(F.col(c).cast("string").cast("binary")) % 5 == 0
+    model = train(docs, table(spark, sf_dir, "labels").where(~held_out("doc_id")))
+    return score(docs.select("doc_id", "text"), model).select(
+        "doc_id", F.coalesce(held_out("doc_id"), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
+@query(
+    "op2_line_dedup",
+    r"""
+    WITH part AS (
+        SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS place
+        FROM documents
+    ), normal AS (
+        SELECT doc_id, source, line, place, lower(trim(regexp_replace(line, '[ 	
+]+', ' ', 'g'))) AS n FROM part
+    ), common AS (
+        SELECT n FROM normal WHERE length(n) - length(replace(n, ' ', '')) >= 2 GROUP BY n HAVING count(DISTINCT source) >= 10
+    ), kept AS (
+        SELECT doc_id, count(*) AS n_lines, count(c.n) AS n_removed,
+            coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE c.n IS NULL), '') AS text
+        FROM normal LEFT JOIN common c ON normal.n = c.n GROUP BY doc_id
+    )
+    SELECT doc_id, n_lines::BIGINT AS n_lines, n_removed::BIGINT AS n_removed, length(text)::BIGINT AS kept_chars,
+        sha256(text) AS text_sha256
+    FROM kept
+    UNION ALL SELECT doc_id, 0::BIGINT, 0::BIGINT, NULL, NULL FROM documents WHERE text IS NULL
+    """,
+)
+def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_boilerplate(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_removed", F.length("text").cast("long").alias("kept_chars"), F.sha2("text", 256).alias("text_sha256")
+    )
+
+
+@query("op4_secret_scan")
+def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    base = F.filter("secrets", lambda s: s["kind"].isin("assign", "access", "hex"))
+    count = lambda kind: F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select(
+        "doc_id", count("assign"), count("access"), count("hex"), F.sha2(joined(base), 256).alias("base_sha256"),
+        joined(F.col("secrets")).alias("spans"),
+    )
+
+
+@query(
+    "op5_exact_top_k",
+    """
+    WITH v AS (
+        SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), scored AS (
+        SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e::DOUBLE[], c.e::DOUBLE[])::BIGINT AS score
+        FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0
+    )
+    SELECT query_id, rank::INTEGER AS rank, vec_id, score
+    FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= 10
+    """,
+)
+def exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
