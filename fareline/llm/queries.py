@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from fareline.llm.direct_codes import read_tokens, write_tokens
 from fareline.llm.fm_index import find_leaks
+from fareline.llm import language_id
 from fareline.llm.line_dedup import remove_boilerplate
 from fareline.llm.minhash import near_duplicates
 from fareline.llm.packing import pack
@@ -15,6 +16,7 @@ from fareline.llm.pivot_index import top_k
 from fareline.llm.registry import query, table
 from fareline.llm.secret_scan import find_secrets
 from fareline.llm.toxicity import score, train
+from fareline.llm.url_lists import host_of, judge_captures
 from fareline.session import new_path
 
 
@@ -143,3 +145,52 @@ def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def _number(column: str, *more: str):
+    """A number below 2^28 from a text column, that SQL engines agree on."""
+    return F.conv(F.substring(F.md5(F.concat(F.col(column), *[F.lit(x) for x in more])), 1, 7), 16, 10).cast("long")
+
+
+@query(
+    "op6_url_filter",
+    r"""
+    WITH capture AS (
+        SELECT page_id, url, DATE '2024-01-01' + (('0x' || md5(url)[1:7])::BIGINT % 366)::INTEGER AS fetched,
+            regexp_extract(lower(trim(url)), '^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1) AS host
+        FROM pages
+    ), change AS (
+        SELECT host, DATE '2024-01-01' + (('0x' || md5(host || k)[1:7])::BIGINT % 366)::INTEGER AS day,
+            ('0x' || md5(host || k || 'on')[1:7])::BIGINT % 2 = 0 AS listed
+        FROM (SELECT DISTINCT host FROM capture WHERE host <> ''), (VALUES ('a'), ('b'), ('c')) AS t(k)
+        WHERE ('0x' || md5(host)[1:7])::BIGINT % 3 = 0
+    ), state AS (SELECT host, day, bool_or(listed) AS listed FROM change GROUP BY host, day),
+    named AS (
+        SELECT page_id, url, fetched, host, array_to_string(parts[k:], '.') AS name
+        FROM (SELECT *, string_split(host, '.') AS parts, unnest(range(1, len(string_split(host, '.')) + 1)) AS k FROM capture)
+    ), last AS (
+        SELECT page_id, url, name, max(day) AS day FROM named JOIN state ON name = state.host AND day <= fetched GROUP BY page_id, url, name
+    ), active AS (
+        SELECT page_id, url, name, row_number() OVER (PARTITION BY page_id, url ORDER BY length(name) DESC) AS place
+        FROM last JOIN state ON name = state.host AND last.day = state.day WHERE listed
+    )
+    SELECT c.page_id, c.fetched, c.host, a.name IS NOT NULL AS blocked, a.name AS entry
+    FROM capture c LEFT JOIN active a ON c.page_id = a.page_id AND c.url = a.url AND a.place = 1
+    """,
+)
+def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as captures on a day that follows from the URL; a list that adds and drops a third of their hosts."""
+    day = lambda n: F.date_add(F.lit("2024-01-01").cast("date"), (n % 366).cast("int"))
+    captures = table(spark, sf_dir, "pages").select("page_id", "url", host_of("url").alias("site"), day(_number("url")).alias("fetched"))
+    hosts = captures.select(F.col("site").alias("host")).where("host is not null").distinct()
+    changes = hosts.where(_number("host") % 3 == 0).select("host", F.explode(F.array(*[F.lit(k) for k in "abc"])).alias("k"))
+    number = lambda *more: F.conv(F.substring(F.md5(F.concat("host", "k", *[F.lit(x) for x in more])), 1, 7), 16, 10).cast("long")
+    changes = changes.select("host", day(number()).alias("at"), (number("on") % 2 == 0).alias("listed"))
+    return judge_captures(captures, changes).select("page_id", "fetched", F.col("site").alias("host"), "blocked", "entry")
+
+
+@query("op10_language_id")
+def language_identification(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = language_id.train(table(spark, sf_dir, "documents"))
+    found = language_id.identify(table(spark, sf_dir, "pages"), model)
+    return found.select("page_id", "language", F.round("confidence", 6).alias("confidence"), "text_language", "declared", "suffix")

@@ -1,13 +1,14 @@
 """Toxicity by two class-conditional Kneser-Ney models with shared backoff counts.
 
-The models spell words: each byte of a word is predicted from those before it in the word. N-grams of four to six bytes
+The models spell words: each byte of a word is predicted from those before it in the word. N-grams of four to ten bytes
 have counts of their own for toxic and for ordinary text, from a bounded sample of labelled rows; a word counts once
 for each distinct text that holds it. Below them stand, for both classes, trigram counts over all documents, so that a
 rare or unknown expression says as much about its class as its parts do, and no more.
 
 A document's evidence sums, over its distinct words, the toxic minus the ordinary log-likelihood as far as it exceeds a
-margin (what chance makes), and is normalised by a power of the number of these words. A logistic curve, fitted on
-sampled rows that the models have not seen, makes it a score.
+margin (what chance makes): words that are likelier in ordinary text do not clear a document of its toxic ones. It is
+normalised by a power of the number of these words. A logistic curve, fitted on sampled rows that the models have not
+seen, makes it a score.
 """
 
 from __future__ import annotations
@@ -29,11 +30,11 @@ from fareline.session import pin
 #: Bound of the labelled sample: rows and characters of each class. A quarter of the rows fits the curve.
 SAMPLE_ROWS, SAMPLE_CHARS = 4_000, 16_000_000
 #: Lengths of the classes' own n-grams, and distinct sampled texts that a word must be in to be learnt.
-LOWEST, HIGHEST = 4, 6
+LOWEST, HIGHEST = 4, 10
 LEAST_TEXTS = 2
 DISCOUNT = 0.75
 #: Nats by which a word's log-likelihoods must differ, and the power of the number of words that divides the sum.
-MARGIN, LENGTH_POWER = 2.0, 0.5
+MARGIN, LENGTH_POWER = 3.0, 0.75
 #: Words whose evidence one worker keeps; beyond it the table is begun anew.
 KEPT_WORDS = 3_000_000
 _BEGIN, _END = 1, 2
@@ -129,18 +130,17 @@ class Model:
         whole, context = _shared_places(letters, place)
         base = np.clip((self.shared[whole] + 0.01) / (self.shared[context] + 1), 1e-6, 1.0)
         chances = [base, base]
+        on = np.arange(len(letters))  # places whose contexts were known so far: longer ones of others are not
         for n, order in zip(range(LOWEST, HIGHEST + 1), self.orders, strict=True):
-            at, known = _find(order.keys, grams(letters, place, n))
-            before = np.zeros(len(letters), np.uint64)
-            before[1:] = grams(letters, place, n - 1)[:-1]
-            there, seen = _find(order.contexts, before)
-            seen &= place >= n - 1
+            on = on[place[on] >= n - 1]
+            there, seen = _find(order.contexts, grams(letters, place, n - 1)[on - 1])
+            on, there = on[seen], there[seen]
+            at, known = _find(order.keys, grams(letters, place, n)[on])
             for c in (0, 1):
-                count = np.where(known, order.counts[at, c], 0)
-                total, reserve = order.totals[there, c], order.reserves[there, c]
-                on = seen & (total > 0)
-                mixed_in = (np.maximum(count - DISCOUNT, 0) + reserve * chances[c]) / np.maximum(total, 1)
-                chances[c] = np.where(on, mixed_in, chances[c])
+                count, total = np.where(known, order.counts[at, c], 0), order.totals[there, c]
+                own = (np.maximum(count - DISCOUNT, 0) + order.reserves[there, c] * chances[c][on]) / np.maximum(total, 1)
+                chances[c] = chances[c].copy()
+                chances[c][on] = np.where(total > 0, own, chances[c][on])
         difference = np.log(chances[1]) - np.log(chances[0])
         difference[first] = 0
         return np.add.reduceat(difference, first)
@@ -167,7 +167,7 @@ class Model:
         new = ~known
         if new.any():
             raw = self.word_evidence(data, starts[new], ends[new])
-            out[new] = np.sign(raw) * np.maximum(np.abs(raw) - MARGIN, 0)
+            out[new] = np.maximum(raw - MARGIN, 0)
             at = np.searchsorted(self.seen, kinds[new])
             self.seen, self.seen_evidence = np.insert(self.seen, at, kinds[new]), np.insert(self.seen_evidence, at, out[new])
         return out
