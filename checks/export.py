@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from checks.registry import query, table
@@ -9,16 +11,23 @@ from checks.standins import BOUNDS, SPINE, log_days, log_tables
 from fareline import schemas
 from fareline.operators import bounds, export
 from fareline.plans import daily_export, maintenance
+from fareline.session import new_path
 from fareline.sources import scans, sinks
 
 _NOON = "date_trunc('day', min(ts)) + INTERVAL 15 DAY + INTERVAL 12 HOUR"
 
 
-def _id_range(events):
-    span = bounds.key_bounds(events, "event_id").first()
+def _id_range(rows, id_col="event_id"):
+    span = bounds.key_bounds(rows, id_col).first()
     return span.min_id, span.max_id
 
 
+def _middle(rows, id_col="event_id"):
+    """The middle half of the IDs: a quarter of the range is left out on either side."""
+    low, high = _id_range(rows, id_col)
+    return low + (high - low) // 4, high - (high - low) // 4
+
+
 def _noon(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     return events.agg((F.date_trunc("day", F.min("ts")).cast("timestamp_ntz") + F.expr("interval 372 hours")).alias("t")).first().t
@@ -53,11 +62,11 @@ def treatment_daily_export(spark, sf_dir):
 
 
 @query("s1_id_range_scan", """
-    SELECT event_id, ts, event_type FROM events
-    WHERE event_id >= (SELECT min(event_id) FROM events) AND event_id <= (SELECT max(event_id) FROM events)""")
+    WITH span AS (SELECT min(event_id) AS lo, max(event_id) AS hi FROM events)
+    SELECT event_id, ts, event_type FROM events, span WHERE event_id >= lo + (hi - lo) // 4 AND event_id <= hi - (hi - lo) // 4""")
 def s1(spark, sf_dir):
     events = table(spark, sf_dir, "events")
-    return scans.id_range(events, ["event_id", "ts", "event_type"], "event_id", *_id_range(events))
+    return scans.id_range(events, ["event_id", "ts", "event_type"], "event_id", *_middle(events))
 
 
 @query("s2_batched_range_read", """
@@ -128,18 +137,17 @@ def p6(spark, sf_dir):
 
 
 _CHILD = """
-    SELECT {cols} FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-    WHERE o_orderkey {lo} (SELECT min(o_orderkey) FROM orders) AND o_orderkey {hi} (SELECT max(o_orderkey) FROM orders)"""
+    WITH span AS (SELECT min(o_orderkey) AS low, max(o_orderkey) AS high FROM orders)
+    SELECT {cols} FROM lineitem JOIN orders ON l_orderkey = o_orderkey, span
+    WHERE o_orderkey {lo} low + (high - low) // 4 AND o_orderkey {hi} high - (high - low) // 4"""
 _CHILD_COLUMNS = "l_orderkey, l_partkey, l_suppkey, l_linenumber, l_extendedprice"
 
 
 def _child(spark, sf_dir, how):
     lines = table(spark, sf_dir, "lineitem").select(*_CHILD_COLUMNS.split(", "))
     orders = table(spark, sf_dir, "orders")
-    span = bounds.key_bounds(orders, "o_orderkey").first()
-    return export.child_of_range(
-        lines, orders, "l_orderkey", "o_orderkey", span.min_id, span.max_id, ["o_orderdate"], how
-    )
+    low, high = _middle(orders, "o_orderkey")
+    return export.child_of_range(lines, orders, "l_orderkey", "o_orderkey", low, high, ["o_orderdate"], how)
 
 
 @query("p7_parent_range_child", _CHILD.format(cols=_CHILD_COLUMNS + ", o_orderdate", lo=">=", hi="<="))
@@ -195,13 +203,16 @@ def p12(spark, sf_dir):
 
 
 @query("p13_time_filter", """
-    WITH t AS (SELECT min(ts) AS lo, max(ts) AS hi FROM events)
+    WITH t AS (SELECT min(ts) AS lo, max(ts) AS hi FROM events),
+    middle AS (SELECT date_trunc('hour', lo + (hi - lo) / 4) AS lo, date_trunc('hour', hi - (hi - lo) / 4) AS hi FROM t)
     SELECT CAST(ts AS DATE) AS day, CAST(count(*) AS BIGINT) AS rows, min(event_id) AS first_id, max(event_id) AS last_id
-    FROM events, t WHERE ts >= lo AND ts <= hi GROUP BY 1""")
+    FROM events, middle WHERE ts >= lo AND ts <= hi GROUP BY 1""")
 def p13_filter(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     span = events.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
-    return _daily(export.in_time(events, "ts", span.lo, span.hi))
+    hour = lambda t: t.replace(minute=0, second=0, microsecond=0)
+    quarter = (span.hi - span.lo) / 4
+    return _daily(export.in_time(events, "ts", hour(span.lo + quarter), hour(span.hi - quarter)))
 
 
 @query("p13_interval_join", """
@@ -244,10 +255,6 @@ _EXPORT_NAMES = ", ".join(f"('{name}', {2 if cut.parent else 1})" for name, cut
            CAST(count(*) * any_value(n) AS BIGINT) AS rows, min(event_id) AS first_id, max(event_id) AS last_id
     FROM events, (VALUES {_EXPORT_NAMES}) AS t(name, n) GROUP BY 1, 2""")
 def p16(spark, sf_dir):
-    from functools import reduce
-
-    from fareline.session import new_path
-
     root = new_path(spark, "export")
     tables = log_tables(spark, sf_dir)
     daily_export.export_all(tables, _bounds(spark, sf_dir), root)
@@ -262,6 +269,41 @@ def p16(spark, sf_dir):
     return reduce(lambda a, b: a.unionByName(b), reports)
 
 
+@query("p16_halves_of_each_day", "WITH" + BOUNDS + """,
+    span AS (SELECT min(event_id) AS lo, max(event_id) AS hi FROM events),
+    dated AS (
+        SELECT e.event_id, strftime(e.ts, '%Y-%m-%d') AS day, coalesce(b.logged_start_id, s.lo) AS low, coalesce(b.logged_end_id, s.hi) AS high
+        FROM events e JOIN bounds b ON CAST(e.ts AS DATE) = CAST(b.start AS DATE), span s
+    )
+    SELECT 'Treatment_' || day || '_to_' || day || '_part' || CASE WHEN event_id <= low + (high - low) // 2 THEN '1' ELSE '2' END AS export,
+           CAST(count(*) AS BIGINT) AS rows, min(event_id) AS first_id, max(event_id) AS last_id
+    FROM dated WHERE event_id BETWEEN low AND high GROUP BY 1""")
+def p16_halves(spark, sf_dir):
+    root = new_path(spark, "halves")
+    daily_export.export_table(log_tables(spark, sf_dir), "Treatment", _bounds(spark, sf_dir), root, split=True)
+    rows = scans.read_text(spark, f"{root}/Treatment", maintenance.exported_schema("Treatment")).withColumn("export", sinks.source_name())
+    return rows.groupBy("export").agg(
+        F.count("*").alias("rows"), F.min("TreatmentID").alias("first_id"), F.max("TreatmentID").alias("last_id")
+    )
+
+
+@query("p16_days_without_rows", "WITH" + SPINE + f"""
+    SELECT name || '_' || strftime(day, '%Y-%m-%d') || '_to_' || strftime(day, '%Y-%m-%d') AS export,
+           CAST(count(event_id) * any_value(n) AS BIGINT) AS rows
+    FROM spine CROSS JOIN (VALUES {_EXPORT_NAMES}) AS t(name, n)
+    LEFT JOIN events ON CAST(ts AS DATE) = day AND day(ts) % 3 <> 0 GROUP BY 1""")
+def p16_without_rows(spark, sf_dir):
+    """Every third day of the log is taken out; its extracts are there, with a header alone."""
+    root, days = new_path(spark, "gaps"), _bounds(spark, sf_dir)
+    tables = log_tables(spark, sf_dir)
+    for name, cut in daily_export.LOG_TABLES.items():
+        if cut.parent is None:
+            tables[name] = tables[name].where(F.dayofmonth(cut.time_col) % 3 != 0)
+    daily_export.export_all(tables, days, root)
+    reports = [maintenance.check_extracts(spark, f"{root}/{name}", maintenance.exported_schema(name)) for name in daily_export.LOG_TABLES]
+    return reduce(lambda a, b: a.unionByName(b), reports).select("export", "rows")
+
+
 @query("q4_unsigned_range_check", """
     WITH v AS (SELECT l_linenumber - 2 AS a, CAST(l_extendedprice AS BIGINT) AS b FROM lineitem)
     SELECT c AS "column", CAST(count(*) AS BIGINT) AS rows,

@@ -63,7 +63,8 @@ def _split(spark, sf_dir, parts=2):
 
 
 _SPLIT = """
-    WITH span AS (SELECT min(event_id) AS lo, max(event_id) AS hi FROM events)
+    WITH ends AS (SELECT min(event_id) AS lo, max(event_id) AS hi FROM events),
+    span AS (SELECT lo, hi, (hi - lo + 1) // 7 AS q, (hi - lo + 1) % 7 AS r FROM ends)
     SELECT {name} || '_part' || {part} AS export, CAST(count(*) AS BIGINT) AS rows,
            min(event_id) AS first_id, max(event_id) AS last_id
     FROM events, span GROUP BY 1"""
@@ -83,7 +84,7 @@ def s6_two(spark, sf_dir):
 
 
 @query("s6_many_part_split", _SPLIT.format(
-    name=_DAY_NAME, part="CAST(CAST(floor(7.0 * (event_id - lo) / (hi + 1 - lo)) AS INTEGER) + 1 AS VARCHAR)"))
+    name=_DAY_NAME, part="CAST(CASE WHEN event_id - lo < r * (q + 1) THEN (event_id - lo) // (q + 1) ELSE r + (event_id - lo - r * (q + 1)) // q END + 1 AS VARCHAR)"))
 def s6_many(spark, sf_dir):
     return _parts_report(spark, sf_dir, 7)
 

@@ -245,7 +245,7 @@ def a12(spark, sf_dir):
 
 
 _LIST_SQL = """
-    SELECT PassengerID, SegmentID, InventoryLegID, AncilType, CAST(0 AS INTEGER) AS chunk, CAST(count(*) AS BIGINT) AS items,
+    SELECT PassengerID, SegmentID, InventoryLegID, AncilType, CAST(count(*) AS BIGINT) AS items,
            string_agg(ContextCode || ':' || ContextDescription || ':' || SOURCE, '|'
                       ORDER BY ContextCode, ContextDescription, ChargeAmount NULLS FIRST, SOURCE) AS listed,
            round(coalesce(sum(ChargeAmount), 0), 2) AS TotalCharge
@@ -255,7 +255,7 @@ _LIST_SQL = """
 def _listed(items):
     text = F.transform("items", lambda i: F.concat_ws(":", i["ContextCode"], i["ContextDescription"], i["SOURCE"]))
     return ancillary.leg_aggregate(items).select(
-        *ancillary.LEG, "AncilType", "chunk", F.size("items").cast("bigint").alias("items"),
+        *ancillary.LEG, "AncilType", F.size("items").cast("bigint").alias("items"),
         F.array_join(text, "|").alias("listed"), _cents("TotalCharge"),
     )
 
@@ -266,6 +266,22 @@ def a13(spark, sf_dir):
     return _listed(ancillary.all_items(*priced).where(F.col("AncilType") != "BaseFare"))
 
 
+@query("a13_large_legs", _ITEMS + """
+    SELECT AncilType, CAST(count(*) AS BIGINT) AS items,
+           md5(string_agg(ContextCode || ':' || ContextDescription || ':' || SOURCE, '|'
+                          ORDER BY ContextCode, ContextDescription, ChargeAmount NULLS FIRST, SOURCE)) AS listed,
+           round(coalesce(sum(ChargeAmount), 0), 1) AS TotalCharge
+    FROM items GROUP BY AncilType""")
+def a13_large(spark, sf_dir):
+    """All items of a class on one leg."""
+    items = ancillary.all_items(*_priced(spark, sf_dir)).withColumns({c: F.lit(0) for c in ancillary.LEG})
+    text = F.transform("items", lambda i: F.concat_ws(":", i["ContextCode"], i["ContextDescription"], i["SOURCE"]))
+    return ancillary.leg_aggregate(items).select(
+        "AncilType", F.size("items").cast("bigint").alias("items"), F.md5(F.array_join(text, "|").cast("binary")).alias("listed"),
+        F.round("TotalCharge", 1).alias("TotalCharge"),
+    )
+
+
 @query("a14_base_fare_aggregate", _ITEMS + _LIST_SQL.format(where="WHERE AncilType = 'BaseFare'"))
 def a14(spark, sf_dir):
     return _listed(ancillary.base_fare_items(_priced(spark, sf_dir)[0]))

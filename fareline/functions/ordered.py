@@ -1,10 +1,9 @@
 """Row numbers and look-ahead inside ordered groups, safe for very large groups.
 
-A plain window puts a whole group into one task. The functions here first look for groups that hold
-a large share of the rows (a frequent-items sketch: one narrow pass, a few thousand counters).
-Without such groups the plain window is the plan. With them, only their rows take a second way:
-range-partitioned by (group, order), pinned, numbered inside each range, and corrected by per-range
-totals, which are as few as there are partitions.
+A plain window puts a whole group into one task. The functions here first look for groups of very many rows: the input
+is pinned, and the keys of a sample of it are counted by an ordinary aggregate. Without such groups the plain window is
+the plan. With them, only their rows take a second way: range-partitioned by (group, order) into ranges of a bounded
+number of rows, pinned, numbered inside each range, and corrected by per-range totals, which are as few as the ranges.
 """
 
 from __future__ import annotations
@@ -14,29 +13,32 @@ from pyspark.sql import functions as F
 
 from fareline.session import pin
 
-# A group is heavy when it holds both this share of all rows and this many rows.
-HEAVY_SHARE = 0.0005
+# A group is heavy from about this many rows on, whatever its share of the table.
 HEAVY_ROWS = 1_000_000
-_TRACKED = 65_536
-
-
-def heavy_groups(
-    df: DataFrame, keys: list[str], share: float = HEAVY_SHARE, rows: int = HEAVY_ROWS
-) -> list[int]:
-    """Hashes of the keys of heavy groups; at most 1/share of them."""
-    wanted = min(int(1 / share) + 1, _TRACKED // 2)
-    found = (
-        df.select(F.xxhash64(*keys).alias("h"))
-        .agg(F.expr(f"approx_top_k(h, {wanted}, {_TRACKED})").alias("top"), F.count("*").alias("n"))
-        .first()
-    )
-    floor = max(rows, share * found.n)
-    return [entry["item"] for entry in found.top if entry["count"] >= floor]
+# Rows of a heavy group's keys that the sample should hold: their number varies by a thirtieth.
+_SAMPLED = 1_000
+# Rows in a range of a heavy group.
+RANGE_ROWS = 1_000_000
+
 
+def heavy_groups(df: DataFrame, keys: list[str], rows: int = HEAVY_ROWS) -> list[int]:
+    """Hashes of the keys of groups of about `rows` rows or more: no more of them than rows / `rows`.
+
+    Groups a little smaller may be among them, which is harmless: both ways give the same rows.
+    """
+    share = min(1.0, _SAMPLED / rows)
+    hashes = df.select(F.xxhash64(*keys).alias("h"))
+    if share < 1.0:
+        hashes = hashes.sample(share, seed=5)
+    least = rows if share == 1.0 else 0.8 * rows * share
+    found = hashes.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") >= least)
+    return [r.h for r in found.select("h").collect()]
 
-def _split(df: DataFrame, keys: list[str], share: float, rows: int, distinct: bool):
+
+def _split(df: DataFrame, keys: list[str], rows: int, distinct: bool):
     """Rows of ordinary groups, and those of heavy ones if there are any; each without repeats."""
-    heavy = heavy_groups(df, keys, share, rows)
+    df = pin(df)
+    heavy = heavy_groups(df, keys, rows)
     light, rest = df, None
     if heavy:
         is_heavy = F.xxhash64(*keys).isin(heavy)
@@ -48,12 +50,17 @@ def _split(df: DataFrame, keys: list[str], share: float, rows: int, distinct: bo
     return light, rest
 
 
+def range_count(df: DataFrame, range_rows: int = RANGE_ROWS) -> int:
+    """Ranges for a pinned table: enough that none has many more than `range_rows` rows."""
+    return max(1, -(-df.count() // range_rows), df.sparkSession.sparkContext.defaultParallelism)
+
+
 def _into_ranges(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     # `__tie` lets even rows with equal keys and order values spread over several ranges.
-    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    df = pin(df)
     return pin(
         df.withColumn("__tie", F.monotonically_increasing_id())
-        .repartitionByRange(ranges, *keys, *order, "__tie")
+        .repartitionByRange(range_count(df), *keys, *order, "__tie")
         .withColumn("__range", F.spark_partition_id())
     )
 
@@ -94,10 +101,10 @@ def _numbered_in_ranges(df: DataFrame, keys: list[str], order: list[str], name:
 
 def number_rows(
     df: DataFrame, keys: list[str], order: list[str], name: str,
-    distinct: bool = False, share: float = HEAVY_SHARE, rows: int = HEAVY_ROWS,
+    distinct: bool = False, rows: int = HEAVY_ROWS,
 ) -> DataFrame:
     """Add `name`: 1, 2, 3.. inside each group, as bigint; on `distinct` rows if asked."""
-    light, heavy = _split(df, keys, share, rows, distinct)
+    light, heavy = _split(df, keys, rows, distinct)
     window = Window.partitionBy(*keys).orderBy(*order)
     out = light.withColumn(name, F.row_number().over(window).cast("bigint"))
     if heavy is None:
@@ -118,10 +125,10 @@ def number_all_rows(df: DataFrame, order: list[str], name: str, first: int = 0)
 
 def look_ahead(
     df: DataFrame, keys: list[str], order: list[str], taken: dict[str, str],
-    distinct: bool = False, share: float = HEAVY_SHARE, rows: int = HEAVY_ROWS,
+    distinct: bool = False, rows: int = HEAVY_ROWS,
 ) -> DataFrame:
     """Add, for each `new name -> column` of `taken`, the column's value in the group's next row."""
-    light, heavy = _split(df, keys, share, rows, distinct)
+    light, heavy = _split(df, keys, rows, distinct)
     window = Window.partitionBy(*keys).orderBy(*order)
     out = light.withColumns({new: F.lead(c).over(window) for new, c in taken.items()})
     if heavy is None:
@@ -145,10 +152,10 @@ def look_ahead(
 
 def fill_forward(
     df: DataFrame, keys: list[str], order: list[str], filled: list[str],
-    share: float = HEAVY_SHARE, rows: int = HEAVY_ROWS,
+    rows: int = HEAVY_ROWS,
 ) -> DataFrame:
     """Replace nulls of the `filled` columns by the group's last known value."""
-    light, heavy = _split(df, keys, share, rows, distinct=False)
+    light, heavy = _split(df, keys, rows, distinct=False)
     window = Window.partitionBy(*keys).orderBy(*order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )

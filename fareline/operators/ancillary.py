@@ -160,21 +160,28 @@ def all_items(charges: DataFrame, fees: DataFrame) -> DataFrame:
 _LISTED = ["ContextCode", "ContextDescription", "ChargeAmount", "SOURCE"]
 
 
-def leg_aggregate(items: DataFrame, most: int = 1_000, **limits) -> DataFrame:
-    """Per leg and class: the items as an array of structs (so their fields stay aligned) and their sum.
+def leg_totals(items: DataFrame) -> DataFrame:
+    """Number and sum of the items of each leg and class: partial sums, whatever the size of a leg."""
+    return items.groupBy(*LEG, "AncilType").agg(
+        F.count("*").alias("items"), sum_or_zero("ChargeAmount").alias("TotalCharge")
+    )
+
+
+def item_positions(items: DataFrame, **limits) -> DataFrame:
+    """The items as rows with their `position` (1, 2, ..) inside their leg and class."""
+    return number_rows(items, [*LEG, "AncilType"], _LISTED, "position", **limits)
+
 
-    A row lists at most `most` items; legs with more go on in rows `chunk` 1, 2, .. and TotalCharge is
-    that of the chunk.
+def leg_aggregate(items: DataFrame) -> DataFrame:
+    """Per leg and class, one row whatever its size: the items as an array of structs (so their fields stay
+    aligned) and their sum.
+
+    The list is the last step, for readers that want it in a row; `leg_totals` and `item_positions`
+    give the same without one.
     """
-    group = [*LEG, "AncilType"]
-    numbered = number_rows(items, group, _LISTED, "__n", **limits)
-    chunk = F.floor((F.col("__n") - 1) / most).cast("int")
-    return (
-        numbered.groupBy(*group, chunk.alias("chunk"))
-        .agg(
-            F.array_sort(F.collect_list(F.struct(*_LISTED))).alias("items"),
-            sum_or_zero("ChargeAmount").alias("TotalCharge"),
-        )
+    return items.groupBy(*LEG, "AncilType").agg(
+        F.array_sort(F.collect_list(F.struct(*_LISTED))).alias("items"),
+        sum_or_zero("ChargeAmount").alias("TotalCharge"),
     )
 
 

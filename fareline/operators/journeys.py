@@ -141,19 +141,24 @@ def journey_profile(
     )
 
 
-def leg_lists(legs: DataFrame, columns: Sequence[str] | None = None, most: int = 1_000, **limits) -> DataFrame:
-    """The distinct legs of each journey as an ordered array of structs.
+def leg_positions(legs: DataFrame, **limits) -> DataFrame:
+    """The distinct legs as rows with their `position` (1, 2, ..) inside their journey."""
+    return number_rows(
+        legs.select(*JOURNEY_LEG_COLUMNS), JOURNEY, LEG_ORDER, "position", distinct=True, **limits
+    )
+
 
-    A row holds at most `most` legs; longer journeys go on in rows `chunk` 1, 2, ..
+def leg_lists(legs: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """The distinct legs of each journey as one ordered array of structs, whatever its length.
+
+    Ties in the order are broken by the other columns. `leg_positions` gives the same as rows.
     """
     rest = [c for c in JOURNEY_LEG_COLUMNS if c not in JOURNEY] if columns is None else list(columns)
-    numbered = number_rows(
-        legs.select(*JOURNEY_LEG_COLUMNS), JOURNEY, LEG_ORDER, "__n", distinct=True, **limits
-    )
-    chunk = F.floor((F.col("__n") - 1) / most).cast("int")
-    ordered = F.array_sort(F.collect_list(F.struct("__n", *rest)))
+    others = [c for c in JOURNEY_LEG_COLUMNS if c not in JOURNEY and c not in LEG_ORDER]
+    ordered = F.array_sort(F.collect_list(F.struct(*LEG_ORDER, *others)))
     return (
-        numbered.groupBy(*JOURNEY, chunk.alias("chunk"))
+        distinct_legs(legs)
+        .groupBy(*JOURNEY)
         .agg(ordered.alias("legs"))
         .withColumn("legs", F.transform("legs", lambda leg: F.struct(*[leg[c].alias(c) for c in rest])))
     )

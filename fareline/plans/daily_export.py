@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fareline import schemas
 from fareline.operators.bounds import key_bounds
@@ -14,7 +15,9 @@ from fareline.operators.export import (
     assign_days, child_of_range, clean_text, conform, drop_accessory, with_constant_nulls,
 )
 from fareline.sources.scans import id_range
-from fareline.sources.sinks import export_name, write_split, write_text
+from fareline.sources.sinks import (
+    export_name, part_names, write_missing_headers, write_split, write_text,
+)
 
 
 @dataclass(frozen=True)
@@ -68,11 +71,12 @@ def _widest(days: DataFrame) -> tuple[int, int]:
 
 def export_rows(
     tables: Mapping[str, DataFrame], name: str, days: DataFrame, *, inclusive_end: bool = True,
-    strict: bool = True, bounds: str = "inclusive",
+    strict: bool = True, bounds: str = "inclusive", keep_range: bool = False,
 ) -> DataFrame:
     """Typed, cleaned rows of all days of a bounds table, with the extract's name in `export`.
 
     The widest ID range of the days prunes the scan; each day's own range and times select its rows.
+    `keep_range` adds the day's own IDs, `day_low` and `day_high` (null on a side that is open).
     """
     cut = LOG_TABLES[name]
     low, high = _widest(days)
@@ -81,32 +85,41 @@ def export_rows(
         F.col("start").alias("day_start"), F.col("end").alias("day_end"),
         F.coalesce("logged_start_id", F.lit(low)).alias("day_low"),
         F.coalesce("logged_end_id", F.lit(high)).alias("day_high"),
+        F.col("logged_start_id").alias("__low"), F.col("logged_end_id").alias("__high"),
     )
     dated = assign_days(rows, cut.time_col, ranges, "day_start", "day_end", inclusive_end)
     dated = dated.where(F.col(cut.id_col).between(F.col("day_low"), F.col("day_high")))
     named = dated.withColumn("export", export_name(name, "day_start", "day_end"))
     kept = drop_accessory(named.select(*rows.columns), cut.time_col).columns
-    cleaned = clean_text(named.select(*kept, "export"), keep=[*schemas.categorical_columns(name), "export"])
-    return cleaned
+    own = {"day_low": "__low", "day_high": "__high"} if keep_range else {}
+    shown = named.select(*kept, "export", *[F.col(c).alias(new) for new, c in own.items()])
+    return clean_text(shown, keep=[*schemas.categorical_columns(name), "export", *own])
 
 
 def export_table(
     tables: Mapping[str, DataFrame], name: str, days: DataFrame, root: str, *, split: bool = False,
     compressed: bool = True, exact_nulls: bool = False, mode: str = "errorifexists", **options,
 ) -> None:
-    """Write one folder per day (and half, with `split`) below `root/name`."""
-    rows = export_rows(tables, name, days, **options)
+    """Write one folder per day below `root/name`; with `split`, one per half of each day's own ID range.
+
+    Days without rows get an extract with a header alone.
+    """
+    rows = export_rows(tables, name, days, keep_range=split, **options)
     path = f"{root}/{name}"
     how = {"compressed": compressed, "exact_nulls": exact_nulls, "mode": mode}
+    names = [r.name for r in days.select(export_name(name, "start", "end").alias("name")).collect()]
     if not split:
         write_text(rows, path, by="export", **how)
-        return
-    cut = LOG_TABLES[name]
-    low, high = _widest(days)
-    known = key_bounds(tables[cut.parent or name], cut.parent_id or cut.id_col).first()
-    # A side left open by the days ends at the table's own last ID.
-    low, high = max(low, known.min_id or 0), min(high, known.max_id or 0)
-    write_split(rows, path, F.col("export"), cut.id_col, low, high, **how)
+    else:
+        cut = LOG_TABLES[name]
+        known = key_bounds(tables[cut.parent or name], cut.parent_id or cut.id_col).first()
+        # A side left open by the day ends at the table's own last ID.
+        low = F.coalesce("day_low", F.lit(known.min_id or 0).cast("bigint"))
+        high = F.coalesce("day_high", F.lit(known.max_id or 0).cast("bigint"))
+        write_split(rows, path, F.col("export"), cut.id_col, low, high, drop=["day_low", "day_high"], **how)
+        names = [part for n in names for part in part_names(n, 2)]
+    written = T.StructType([f for f in rows.schema if f.name not in ("export", "day_low", "day_high")])
+    write_missing_headers(days.sparkSession, path, names, written, **how)
 
 
 def export_all(tables: Mapping[str, DataFrame], days: DataFrame, root: str, **options) -> None:

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fareline import schemas
 from fareline.operators.quality import named, parse_report, time_report, unsigned_report
 from fareline.plans.daily_export import LOG_TABLES
 from fareline.sources.scans import read_text
-from fareline.sources.sinks import combine_parts, source_name
+from fareline.sources.sinks import combine_parts, extract_names, source_name
 
 
 def exported_schema(table: str) -> T.StructType:
@@ -30,10 +31,15 @@ def check_extracts(
     spark: SparkSession, path: str, schema: T.StructType, contains: str = "", first_day: int = 1,
     last_day: int = 31, **options,
 ) -> DataFrame:
-    """Rows and unparsable rows of each extract whose name fits."""
+    """Rows and unparsable rows of each extract whose name fits; 0 for one with a header alone."""
     rows = read_text(spark, path, schema, strict=False, **options)
     rows = rows.withColumn("export", source_name())
-    return parse_report(named(rows, "export", contains, first_day, last_day), "export")
+    report = parse_report(named(rows, "export", contains, first_day, last_day), "export")
+    every = named(extract_names(spark, path), "export", contains, first_day, last_day)
+    return every.join(report, "export", "left").select(
+        "export", F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows"),
+        F.coalesce("bad_rows", F.lit(0)).cast("bigint").alias("bad_rows"), F.coalesce("parses", F.lit(True)).alias("parses"),
+    )
 
 
 def time_ranges(
@@ -42,7 +48,11 @@ def time_ranges(
 ) -> DataFrame:
     """Row count, first and last time of each extract whose name fits."""
     rows = read_text(spark, path, schema, **options).withColumn("export", source_name())
-    return time_report(named(rows, "export", contains, first_day, last_day), "export", time_col)
+    report = time_report(named(rows, "export", contains, first_day, last_day), "export", time_col)
+    every = named(extract_names(spark, path), "export", contains, first_day, last_day)
+    return every.join(report, "export", "left").select(
+        "export", F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows"), "first", "last"
+    )
 
 
 def range_check(df: DataFrame, table: str) -> DataFrame:

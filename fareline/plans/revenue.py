@@ -8,6 +8,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 
 from fareline.operators import ancillary, assembly
+from fareline.session import pin
 
 
 def extract(
@@ -18,7 +19,8 @@ def extract(
     flights = assembly.route_inventory(tables, carrier, origin, destination)
     legs = assembly.legs_on_route(tables, flights, travel_class)
     made = assembly.bookings_between(tables, channel, first, last)
-    booked = assembly.booked_legs(tables, legs, made)
+    # One set of booked legs for all three outputs: the joins before it run once.
+    booked = pin(assembly.booked_legs(tables, legs, made))
     keys = assembly.leg_keys(booked)
     return {
         "bookings": booked,
@@ -32,6 +34,7 @@ def daily_revenue(
     dedupe_bookings: bool = False,
 ) -> DataFrame:
     """Daily revenue by category and in total, in one currency, by booking date."""
+    rates = pin(rates)  # a row or few for each pair; charges, fees and their counts read it again
     items = ancillary.all_items(
         ancillary.to_one_currency(charges, rates), ancillary.to_one_currency(fees, rates)
     )

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,24 +42,54 @@ def write_text(
     writer.csv(path)
 
 
-def part_number(id_col: str, low: int, high: int, parts: int = 2) -> Column:
-    """Which of `parts` equal slices of the ID range a row lies in (1, 2, ..).
+def part_number(id_col: str, low: Column | int, high: Column | int, parts: int = 2) -> Column:
+    """Which of `parts` equal slices of the ID range low..high a row lies in (1, 2, ..), in whole numbers.
 
-    Two parts are cut at the midpoint (low + high) // 2, which belongs to the first.
+    The first slices have one ID more where the range does not divide evenly, so two parts are cut at the
+    midpoint (low + high) div 2, which belongs to the first. Rows before the range, and those without an
+    ID, go to the first part, rows behind it to the last.
     """
-    c = F.col(id_col)
-    if parts == 2:
-        return F.when(c <= (low + high) // 2, 1).otherwise(2)
-    return F.width_bucket(c.cast("double"), F.lit(float(low)), F.lit(float(high + 1)), F.lit(parts)).cast("int")
+    low, high = (x if isinstance(x, Column) else F.lit(x).cast("bigint") for x in (low, high))
+    div = lambda a, b: F.call_function("div", a, b)
+    size, longer = div(high - low + 1, F.lit(parts)), (high - low + 1) % parts
+    at, edge = F.col(id_col).cast("bigint") - low, longer * (size + 1)
+    number = F.when(at < edge, div(at, size + 1)).otherwise(longer + div(at - edge, F.greatest(size, F.lit(1)))) + 1
+    return F.coalesce(F.least(F.lit(parts), F.greatest(F.lit(1), number)), F.lit(1)).cast("int")
+
+
+def part_names(name: str, parts: int) -> list[str]:
+    return [f"{name}_part{k}" for k in range(1, parts + 1)]
 
 
 def write_split(
-    df: DataFrame, path: str, name: Column, id_col: str, low: int, high: int, parts: int = 2,
-    by: str = "export", **options,
+    df: DataFrame, path: str, name: Column, id_col: str, low: Column | int, high: Column | int,
+    parts: int = 2, by: str = "export", drop: Sequence[str] = (), **options,
 ) -> None:
-    """Write an extract in parts named `{name}_part1`, `{name}_part2`, .."""
+    """Write an extract in parts named `{name}_part1`, `{name}_part2`, ..
+
+    The range may differ from row to row; `drop` names columns that serve it alone.
+    """
     part = part_number(id_col, low, high, parts).cast("string")
-    write_text(df.withColumn(by, F.concat(name, F.lit("_part"), part)), path, by=by, **options)
+    write_text(df.withColumn(by, F.concat(name, F.lit("_part"), part)).drop(*drop), path, by=by, **options)
+
+
+def written_values(spark: SparkSession, path: str, by: str = "export") -> set[str]:
+    """The values of `by` that have a folder below `path`: one name for each extract."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return set()
+    names = [status.getPath().getName() for status in files.listStatus(folder)]
+    return {n.split("=", 1)[1] for n in names if n.startswith(f"{by}=")}
+
+
+def write_missing_headers(
+    spark: SparkSession, path: str, names: Iterable[str], schema: T.StructType, by: str = "export", **options
+) -> None:
+    """An extract with a header alone for each name that has none: one small write each."""
+    empty = spark.createDataFrame([], schema)
+    for name in sorted(set(names) - written_values(spark, path, by)):
+        write_text(empty, f"{path}/{by}={name}", **{**options, "mode": "overwrite"})
 
 
 def source_name(path: Column | None = None) -> Column:
@@ -70,12 +100,18 @@ def source_name(path: Column | None = None) -> Column:
     return F.when(folder != "", folder).otherwise(file)
 
 
-def read_parts(spark: SparkSession, path: str, schema: T.StructType, by: str = "export", **options):
+def extract_names(spark: SparkSession, path: str) -> DataFrame:
+    """The names of all extracts below `path`, in `export`, those without rows too; no file is opened."""
+    files = spark.read.format("binaryFile").load(path).select("path")
+    return files.select(source_name(F.col("path")).alias("export")).distinct()
+
+
+def read_parts(spark: SparkSession, path: str, schema: T.StructType, by: str = "export", **reading):
     """Rows of all part extracts below `path`, with the base name before `_part` in column `by`.
 
     Extracts that are not parts are left out.
     """
-    rows = read_text(spark, path, T.StructType([*schema.fields]), **options)
+    rows = read_text(spark, path, T.StructType([*schema.fields]), **reading)
     return (
         rows.withColumn(by, source_name())
         .where(F.col(by).contains("_part"))
@@ -85,11 +121,19 @@ def read_parts(spark: SparkSession, path: str, schema: T.StructType, by: str = "
 
 def combine_parts(
     spark: SparkSession, path: str, out: str, schema: T.StructType, *, by: str = "export",
-    exact_nulls: bool = False, **options,
+    exact_nulls: bool = False, sep: str = ";", multi_line: bool = True, **writing,
 ) -> None:
-    """Rewrite part extracts as one extract per base name."""
-    rows = read_parts(spark, path, schema, by, exact_nulls=exact_nulls)
-    write_text(rows, out, by=by, exact_nulls=exact_nulls, **options)
+    """Rewrite part extracts as one extract per base name.
+
+    `sep` and `exact_nulls` hold for both sides. Without line feeds inside texts, `multi_line=False`
+    reads a large part by many tasks. Bases whose parts have no rows get a header alone.
+    """
+    rows = read_parts(spark, path, schema, by, exact_nulls=exact_nulls, sep=sep, multi_line=multi_line)
+    write_text(rows, out, by=by, exact_nulls=exact_nulls, sep=sep, **writing)
+    parts = extract_names(spark, path).where(F.col("export").contains("_part"))
+    bases = parts.select(F.regexp_extract("export", r"^(.*)_part", 1).alias("base")).distinct()
+    names = [r.base for r in bases.collect()]  # as many as extracts
+    write_missing_headers(spark, out, names, schema, by, exact_nulls=exact_nulls, sep=sep, **writing)
 
 
 def extract_path(root: str, origin: str, destination: str, start: dt.date, end: dt.date, prefix: str = "") -> str:

@@ -78,11 +78,22 @@ def test_reading_once_equals_class_by_class(frame):
 def test_aggregate_and_explode(frame):
     charges, fees = _random_lines()
     items = ancillary.all_items(frame(CHARGES, *charges), frame(FEES, *fees))
-    for most in (1000, 2):
-        listed = ancillary.leg_aggregate(items, most=most)
-        assert max(len(r["items"]) for r in listed.collect()) <= most
-        back = ancillary.explode_lists(ancillary.listed_columns(listed)).select(*items.columns)
-        assert sorted(map(repr, rows(back))) == sorted(map(repr, rows(items)))
+    listed = ancillary.leg_aggregate(items)
+    back = ancillary.explode_lists(ancillary.listed_columns(listed)).select(*items.columns)
+    assert sorted(map(repr, rows(back))) == sorted(map(repr, rows(items)))
+    placed = ancillary.item_positions(items, rows=5).groupBy(*ancillary.LEG, "AncilType").agg({"position": "max"})
+    sizes = {tuple(r)[:4]: len(r["items"]) for r in listed.collect()}
+    assert {tuple(r)[:4]: r[4] for r in placed.collect()} == sizes
+    assert {tuple(r)[:4]: r["items"] for r in ancillary.leg_totals(items).collect()} == sizes
+
+
+def test_a_large_leg_is_one_row(frame):
+    fees = [(1, 1, 1, "XB10", 1, k, 1.0) for k in range(2500)]
+    items = frame("PassengerID int, SegmentID int, InventoryLegID int, ContextCode string, n int, k int, ChargeAmount double", *fees)
+    items = items.selectExpr("*", "'Fees' AS SOURCE", "'Bag' AS ContextDescription", "'Bags' AS AncilType")
+    row, = ancillary.leg_aggregate(items).collect()
+    assert (len(row["items"]), row.TotalCharge) == (2500, 2500.0)
+    assert tuple(ancillary.leg_totals(items).first())[4:] == (2500, 2500.0)
 
 
 @pytest.mark.parametrize("dedupe", [False, True])

@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 
 from fareline import schemas
-from fareline.operators import export, quality
+from fareline.operators import bounds, export, quality
 from fareline.plans import daily_export, maintenance
 from fareline.sources import scans, sinks
 from tests.conftest import rows
@@ -260,3 +260,34 @@ def test_declared_schemas():
               "TreatmentDistinctRanked": 76, "passenger_legs": 36, "inventory_legs": 23, "bookings": 35, "journey_charges": 12, "journey_fees": 19}
     assert {t: len(schemas.struct_of(t)) for t in counts} == counts
     assert schemas.unsigned_limits("TreatmentProduct")["QuantityRequested"] == 4_294_967_295
+
+
+def test_large_ids_and_ids_outside_the_range(frame):
+    low = 2**60
+    t = frame("id bigint", *[(low + k,) for k in range(-3, 13)], (None,))
+    got = {r.id: r.p for r in t.select("id", sinks.part_number("id", low, low + 9, 3).alias("p")).collect()}
+    assert got == {None: 1, **{low + k: 1 for k in range(-3, 4)}, **{low + k: 2 for k in range(4, 7)}, **{low + k: 3 for k in range(7, 13)}}
+
+
+def test_parts_with_other_separator_read_by_lines(frame, spark, path):
+    t = frame("id bigint, x string", *[(k, "a,b") for k in range(1, 12)])
+    sinks.write_split(t, parts := path(), sinks.F.lit("base"), "id", 1, 11, sep=",")
+    sinks.combine_parts(spark, parts, whole := path(), t.schema, sep=",", multi_line=False)
+    assert rows(scans.read_text(spark, whole, t.schema, sep=",").select("id", "x"), "id") == rows(t, "id")
+
+
+def test_every_day_has_extracts(frame, spark, path):
+    """Each day is cut at the middle of its own IDs; a day without rows has a header alone."""
+    stamp = dt.datetime(2024, 1, 1, 12)
+    logged = [(n, stamp + dt.timedelta(days=n // 100 * 2, seconds=n)) for n in range(200)]
+    log = frame("TreatmentID bigint, LoggedUTC timestamp_ntz", *logged)
+    days = bounds.day_bounds(log, "TreatmentID", "LoggedUTC", dt.date(2024, 1, 1), dt.date(2024, 1, 3))
+    for split, wanted in ((False, [100, 0, 100]), (True, [51, 49, 0, 0, 50, 50])):
+        daily_export.export_table({"Treatment": log}, "Treatment", days, root := path(), split=split)
+        schema = maintenance.exported_schema("Treatment")
+        report = maintenance.check_extracts(spark, f"{root}/Treatment", schema).orderBy("export").collect()
+        assert [r.rows for r in report] == wanted and all(r.parses for r in report)
+        times = maintenance.time_ranges(spark, f"{root}/Treatment", schema, "LoggedUTC" if "LoggedUTC" in schema.names else schema.names[0])
+        assert sorted(r.rows for r in times.collect()) == sorted(wanted)
+    maintenance.combine_parts(spark, f"{root}/Treatment", whole := path(), schema)
+    assert sorted(r.rows for r in maintenance.check_extracts(spark, whole, schema).collect()) == [0, 100, 100]

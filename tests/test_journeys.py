@@ -77,7 +77,7 @@ def profile(legs, **kw):
     return journeys.journey_profile(legs, "XY", ["ORG"], ["H"], **kw)
 
 
-@pytest.mark.parametrize("limits", [{}, {"share": 0.0001, "rows": 1}])
+@pytest.mark.parametrize("limits", [{}, {"rows": 1}])
 def test_profile(enriched, limits):
     legs = enriched(
         dict(PassengerID="one"),
@@ -100,12 +100,18 @@ def test_profile(enriched, limits):
     assert not strict["gap"].JourneyStandardAirlineFares
 
 
-def test_leg_lists_are_ordered_and_chunked(enriched):
+def test_leg_lists_are_ordered(enriched):
     legs = enriched(*[dict(SegmentID=f"S{n}", **later(-n)) for n in range(5)])
     whole = journeys.leg_lists(legs, ["SegmentID"]).collect()
     assert [leg.SegmentID for leg in whole[0].legs] == ["S4", "S3", "S2", "S1", "S0"]
-    parts = journeys.leg_lists(legs, ["SegmentID"], most=2).orderBy("chunk").collect()
-    assert [[leg.SegmentID for leg in r.legs] for r in parts] == [["S4", "S3"], ["S2", "S1"], ["S0"]]
+    placed = journeys.leg_positions(legs, rows=1).orderBy("position").collect()
+    assert [(r.position, r.SegmentID) for r in placed] == [(k + 1, f"S{4 - k}") for k in range(5)]
+
+
+def test_a_long_journey_is_one_row(enriched):
+    legs = enriched(*[dict(SegmentID=f"S{n}", **later(n)) for n in range(1500)])
+    row, = journeys.leg_lists(legs, ["SegmentID"]).collect()
+    assert [leg.SegmentID for leg in row.legs] == [f"S{n}" for n in range(1500)]
 
 
 def test_each_switch(frame):
@@ -144,7 +150,7 @@ def test_lid_adjustment(enriched, frame):
     assert [r.AdjustedLid for r in journeys.adjusted_lids(legs, others).collect()] == [173]
 
 
-@pytest.mark.parametrize("limits", [{}, {"share": 0.0001, "rows": 1}])
+@pytest.mark.parametrize("limits", [{}, {"rows": 1}])
 def test_passenger_numbers_do_not_multiply_legs(enriched, limits):
     legs = enriched(dict(PassengerID="P9"), dict(PassengerID="P2"), dict(PassengerID="P2", LegNumber=2), dict(BookingID="B2", PassengerID="P5"))
     assert rows(journeys.passenger_numbers(legs, **limits), "BookingID", "PassengerID") == [("B1", "P2", 0), ("B1", "P9", 1), ("B2", "P5", 0)]
