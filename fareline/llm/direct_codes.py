@@ -112,10 +112,11 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end: int, doc_id: s
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, shard, first = encoder(tokenizer).encode, TaskContext.get().partitionId(), 0
+        made, shard, first = encoder(tokenizer), TaskContext.get().partitionId(), 0
         for batch in batches:
             for part, texts in slices(batch, "__text"):
-                ids, bounds, _, _ = encode(texts, end)
+                made.tidy()
+                ids, bounds, _, _ = made.encode(texts, end)
                 named = pa.ListArray.from_arrays(pa.array([0, len(texts)], pa.int32()), part.column("__id"))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([shard], pa.int32()), pa.array([first]), pa.array([len(ids)]), named,

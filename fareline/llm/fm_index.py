@@ -26,7 +26,7 @@ from fareline.llm.shipping import ship
 from fareline.llm.text import ASCII_ALNUM_OR_BEYOND, expand, hash_words, hashes, slices, spans
 
 WINDOW = 10
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 2 << 20
 SAMPLED = 8
 #: Characters of benchmark text in one broadcast block.
 BLOCK_CHARS = 16_000_000

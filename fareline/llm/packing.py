@@ -131,19 +131,25 @@ def pack(
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, base = encoder(tokenizer).encode, TaskContext.get().partitionId() << 36
+        made, base = encoder(tokenizer), TaskContext.get().partitionId() << 36
         for batch in batches:
-            for part, texts in slices(batch, "__text", SHARD_BYTES):
-                ids, bounds, kinds, first = encode(texts, end)
-                document = np.repeat(np.arange(len(texts)), np.diff(first))
-                pieces = np.array(fill_windows(np.diff(bounds), BM25(document, kinds, len(texts)), window), np.int64)
+            for shard, _ in slices(batch, "__text", SHARD_BYTES):
+                made.tidy()
+                parts = [made.encode(texts, end) for _, texts in slices(shard, "__text")]
+                ids = np.concatenate([p[0] for p in parts])
+                sizes = np.concatenate([np.diff(p[1]) for p in parts])
+                bounds = np.append(0, np.cumsum(sizes))
+                _, terms = np.unique(np.concatenate([p[2] for p in parts]), return_inverse=True)
+                document = np.repeat(np.arange(len(sizes)), np.concatenate([np.diff(p[3]) for p in parts]))
+                del parts
+                pieces = np.array(fill_windows(sizes, BM25(document, terms, len(sizes)), window), np.int64)
                 row, start, length, sequence, offset = pieces.T
                 raw = ids.astype("<u4").tobytes()
                 begin = ((bounds[row] + start) * 4).tolist()
                 held = [raw[i:j] for i, j in zip(begin, ((bounds[row] + start + length) * 4).tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("__id").take(pa.array(row)), pa.array(start), pa.array(length), pa.array(held, pa.binary()),
-                     pa.array(np.diff(bounds)[row]), pa.array(base + sequence), pa.array(offset)],
+                    [shard.column("__id").take(pa.array(row)), pa.array(start), pa.array(length), pa.array(held, pa.binary()),
+                     pa.array(sizes[row]), pa.array(base + sequence), pa.array(offset)],
                     names=schema.names,
                 )
                 base += int(sequence.max()) + 1

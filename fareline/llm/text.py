@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 _rng = np.random.default_rng(20_240_601)
 _BYTE_VALUES = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -106,7 +106,9 @@ def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool =
     """64-bit hashes of the byte strings data[start:end]; A-Z count as a-z if `lower`."""
     values = _BYTE_VALUES[LOWER] if lower else _BYTE_VALUES
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(values[data] * _power(_BASE, len(data))[: len(data)], out=sums[1:])
+    each = values[data]
+    each *= _power(_BASE, len(data))[: len(data)]
+    np.cumsum(each, out=sums[1:])
     back = _power(_BASE_INVERSE, len(data) + 1)
     return mixed((sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(np.uint64))
 

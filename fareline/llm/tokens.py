@@ -16,7 +16,7 @@ from fareline.llm.text import SPACE, Texts, expand, hashes
 
 _tokenizers: dict[str, PieceEncoder] = {}
 #: Pieces kept by one worker; beyond it the table is begun anew (more work, same ids).
-KEPT_PIECES = 4_000_000
+KEPT_PIECES = 2_000_000
 
 
 def cuts(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -44,9 +44,14 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self._forget()
 
+    def tidy(self) -> None:
+        """Begin the table anew if it has grown too large."""
+        if len(self.known) > KEPT_PIECES:
+            self._forget()
+
     def _forget(self) -> None:
         self.known, self.place = np.zeros(0, np.uint64), np.zeros(0, np.int32)
-        self.lengths, self.starts, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.lengths, self.starts, self.ids = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int32)
 
     def _missing(self, kinds: np.ndarray) -> np.ndarray:
         at = np.searchsorted(self.known, kinds)
@@ -56,7 +61,7 @@ class PieceEncoder:
 
     def _learn(self, new: np.ndarray, pieces: list[str]) -> None:
         found = [x.ids for x in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
+        lengths = np.fromiter(map(len, found), np.int32, len(found))
         flat = np.fromiter(itertools.chain.from_iterable(found), np.int32, int(lengths.sum()))
         at, places = np.searchsorted(self.known, new), len(self.lengths) + np.arange(len(new), dtype=np.int32)
         self.known, self.place = np.insert(self.known, at, new), np.insert(self.place, at, places)
@@ -64,11 +69,9 @@ class PieceEncoder:
         self.lengths, self.ids = np.append(self.lengths, lengths), np.append(self.ids, flat)
 
     def encode(self, texts: Texts, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """All ids with `end` after each document, the bounds of each document's ids, the number of its kind for
-        each piece, and the index of each document's first piece."""
+        """All ids with `end` after each document, the bounds of each document's ids, the number of each piece in the
+        table (equal for equal pieces, until the table is begun anew), and the index of each document's first piece."""
         starts, stops, first = cuts(texts)
-        if len(self.known) > KEPT_PIECES:
-            self._forget()
         kinds, example, kind = np.unique(hashes(texts.data, starts, stops), return_index=True, return_inverse=True)
         missing = self._missing(kinds)
         if missing.any():
@@ -76,18 +79,18 @@ class PieceEncoder:
             ranges = zip(starts[shown].tolist(), stops[shown].tolist(), strict=True)
             self._learn(kinds[missing], [raw[i:j].decode() for i, j in ranges])
         place = self.place[np.searchsorted(self.known, kinds)][kind]
-        lengths = self.lengths[place]
+        lengths = self.lengths[place].astype(np.int64)
         ids = self.ids[expand(self.starts[place], lengths)]
         before = np.zeros(len(lengths) + 1, np.int64)
         np.cumsum(lengths, out=before[1:])
         sizes = before[first[1:]] - before[first[:-1]] + 1
         bounds = np.zeros(len(texts) + 1, np.int64)
         np.cumsum(sizes, out=bounds[1:])
-        out = np.full(int(bounds[-1]), end, np.int64)
+        out = np.full(int(bounds[-1]), end, np.int32)
         inner = np.ones(len(out), bool)
         inner[bounds[1:] - 1] = False
         out[inner] = ids
-        return out, bounds, kind, first
+        return out, bounds, place, first
 
 
 def encoder(path: str) -> PieceEncoder:
