@@ -1,6 +1,6 @@
 """Toxicity by two class-conditional Kneser-Ney models with shared backoff counts.
 
-The models spell words: each byte of a word is predicted from those before it in the word. N-grams of four to ten bytes
+The models spell words: each byte of a word is predicted from those before it in the word. N-grams of two to ten bytes
 have counts of their own for toxic and for ordinary text, from a bounded sample of labelled rows; a word counts once
 for each distinct text that holds it. Below them stand, for both classes, trigram counts over all documents, so that a
 rare or unknown expression says as much about its class as its parts do, and no more.
@@ -18,6 +18,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,13 +31,13 @@ from fareline.session import pin
 #: Bound of the labelled sample: rows and characters of each class. A quarter of the rows fits the curve.
 SAMPLE_ROWS, SAMPLE_CHARS = 4_000, 16_000_000
 #: Lengths of the classes' own n-grams, and distinct sampled texts that a word must be in to be learnt.
-LOWEST, HIGHEST = 4, 10
+LOWEST, HIGHEST = 2, 10
 LEAST_TEXTS = 2
 DISCOUNT = 0.75
 #: Nats by which a word's log-likelihoods must differ, and the power of the number of words that divides the sum.
-MARGIN, LENGTH_POWER = 3.0, 0.75
+MARGIN, LENGTH_POWER = 4.0, 0.5
 #: Words whose evidence one worker keeps; beyond it the table is begun anew.
-KEPT_WORDS = 3_000_000
+KEPT_WORDS = 2_000_000
 _BEGIN, _END = 1, 2
 _STEPS = np.random.default_rng(77).integers(1, 2**63, 16, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 #: The shared trigrams fall into this many places by their bytes' hash, contexts and whole trigrams alike.
@@ -259,7 +260,9 @@ def train(
         return Model(shared)
     model = Model(shared, fit_orders([w.encode() for w in words.column("word").to_pylist()], counts))
 
-    held = score(sample.where("__fits").select("__toxic", "__text"), model, "__text").select("__toxic", "evidence").toPandas()
+    shown = docs.sparkSession.sparkContext.broadcast(model)
+    held = _scored(sample.where("__fits").select("__toxic", "__text"), shown, "__text").select("__toxic", "evidence").toPandas()
+    shown.destroy()
     sizes = {r["__toxic"]: r["count"] for r in clear.groupBy("__toxic").count().collect()}
     y = held["__toxic"].to_numpy(float)
     share = np.where(y == 1, sizes.get(1, 0) / max(1, y.sum()), sizes.get(0, 0) / max(1, (1 - y).sum()))
@@ -272,9 +275,11 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     Null and empty texts have the evidence 0. Scores depend on the text alone, so repeated rows have equal ones.
     """
-    kept = ship(docs).drop("evidence", "score")
+    return _scored(ship(docs).drop("evidence", "score"), docs.sparkSession.sparkContext.broadcast(model), text)
+
+
+def _scored(kept: DataFrame, shared: Broadcast, text: str) -> DataFrame:
     schema = T.StructType([*kept.schema, T.StructField("evidence", T.DoubleType()), T.StructField("score", T.DoubleType())])
-    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         learnt = shared.value
