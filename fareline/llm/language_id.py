@@ -72,10 +72,10 @@ def train(docs: DataFrame, lang: str = "lang", text: str = "text") -> tuple[list
 
 
 def text_posteriors(rows: DataFrame, model: tuple[list[str], np.ndarray], text: str) -> DataFrame:
-    """`rows` without the text, with `likelihoods`: a normalised log-likelihood for each language, 0 without a text."""
+    """`rows` without the text, with `__likelihoods`: a normalised log-likelihood for each language, 0 without a text."""
     names, logs = model
     kept = ship(rows)
-    schema = T.StructType([*[f for f in kept.schema if f.name != text], T.StructField("likelihoods", T.ArrayType(T.DoubleType()))])
+    schema = T.StructType([*[f for f in kept.schema if f.name != text], T.StructField("__likelihoods", T.ArrayType(T.DoubleType()))])
     shared = rows.sparkSession.sparkContext.broadcast(logs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -87,7 +87,7 @@ def text_posteriors(rows: DataFrame, model: tuple[list[str], np.ndarray], text:
                 found = np.column_stack([np.bincount(document, row[places], len(texts)) for row in logs]) / (n**(1 - TEXT_POWER))[:, None]
                 found -= found.max(1, keepdims=True)
                 held = pa.array(list(found), pa.list_(pa.float64()))
-                yield pa.RecordBatch.from_arrays([*(part.column(f.name) for f in schema if f.name != "likelihoods"), held], names=schema.names)
+                yield pa.RecordBatch.from_arrays([*(part.column(f.name) for f in schema if f.name != "__likelihoods"), held], names=schema.names)
 
     return kept.mapInArrow(run, schema)
 
@@ -100,7 +100,7 @@ def _shares(logs: str) -> Column:
 
 def _sums(rows: DataFrame, keys: list[str], n: int) -> DataFrame:
     """The sum of `p` for each group, as an array: one partial row a task and group."""
-    sums = rows.groupBy(*keys).agg(*[F.sum(F.get("p", F.lit(k))).alias(f"s{k}") for k in range(n)])
+    sums = rows.groupBy(*keys).agg(*[F.sum(F.get("__p", F.lit(k))).alias(f"s{k}") for k in range(n)])
     return sums.select(*keys, F.array(*[f"s{k}" for k in range(n)]).alias("sums"))
 
 
@@ -122,7 +122,7 @@ def identify(pages: DataFrame, model: tuple[list[str], np.ndarray], url: str = "
         return nothing.withColumn("suffix", F.substring_index("__host", ".", -1)).select(*kept, *added)
     rows = rows.withColumn("suffix", F.substring_index("__host", ".", -1))
     n = len(names)
-    rows = pin(text_posteriors(rows, model, "__html").withColumn("p", _shares("likelihoods")))
+    rows = pin(text_posteriors(rows, model, "__html").withColumn("__p", _shares("__likelihoods")))
 
     corpus = [float(x or 0) for x in (_sums(rows.withColumn("one", F.lit(1)), ["one"], n).select("sums").first() or [[0.0] * n])[0]]
     total = sum(corpus) or 1.0
@@ -136,7 +136,7 @@ def identify(pages: DataFrame, model: tuple[list[str], np.ndarray], url: str = "
     for part, key in ((suffixes, "suffix"), (hosts, "__host"), (codes, "declared")):
         out = out.join(broadcast_if_small(part, BROADCAST_ROWS), key, "left")
     zero = F.array(*[F.lit(0.0)] * n)
-    less = lambda sums: F.zip_with(F.coalesce(sums, zero), F.when(F.col(sums).isNull(), zero).otherwise(F.col("p")), lambda s, p: F.greatest(s - p, F.lit(0.0)))
+    less = lambda sums: F.zip_with(F.coalesce(sums, zero), F.when(F.col(sums).isNull(), zero).otherwise(F.col("__p")), lambda s, p: F.greatest(s - p, F.lit(0.0)))
     weight = lambda a: F.aggregate(a, F.lit(0.0), lambda s, x: s + x)
     out = out.withColumns({"__suffix": less("__suffix"), "__sums": less("__sums"), "__codes": less("__codes")})
     out = out.withColumn("__prior", F.zip_with("__suffix", flat, lambda s, q: s + SUFFIX_WEIGHT * q))
@@ -148,11 +148,11 @@ def identify(pages: DataFrame, model: tuple[list[str], np.ndarray], url: str = "
     says = F.zip_with("__codes", of_all, lambda s, a: (s + DECLARED_WEIGHT / n_codes) / (a + DECLARED_WEIGHT))
     says = F.when(F.col("declared").isNull(), F.array(*[F.lit(1.0)] * n)).otherwise(says)
     out = out.withColumn("__says", says)
-    fused = F.transform(F.arrays_zip("likelihoods", "__prior", "__says"), lambda x: x["likelihoods"] + F.log(x["__prior"]) + F.log(x["__says"]))
+    fused = F.transform(F.arrays_zip("__likelihoods", "__prior", "__says"), lambda x: x["__likelihoods"] + F.log(x["__prior"]) + F.log(x["__says"]))
     out = out.withColumn("__fused", fused).withColumn("__fused", F.transform("__fused", lambda x: x - F.array_max("__fused")))
     out = out.withColumn("__fused", _shares("__fused"))
     named = F.array(*[F.lit(x) for x in names])
     top = lambda a: F.get(named, F.array_position(a, F.array_max(a)).cast("int") - 1)
     return out.withColumns(
-        {"language": top(F.col("__fused")), "confidence": F.array_max("__fused"), "text_language": top(F.col("likelihoods"))}
+        {"language": top(F.col("__fused")), "confidence": F.array_max("__fused"), "text_language": top(F.col("__likelihoods"))}
     ).select(*kept, *added)
