@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -12,8 +13,9 @@ from pyspark.sql import types as T
 from fareline import schemas
 from fareline.operators.bounds import key_bounds
 from fareline.operators.export import (
-    assign_days, child_of_range, clean_text, conform, drop_accessory, with_constant_nulls,
+    assign_days, child_of_range, clean_text, conform, drop_accessory, in_time, with_constant_nulls,
 )
+from fareline.session import pin
 from fareline.sources.scans import id_range
 from fareline.sources.sinks import (
     export_name, part_names, write_missing_headers, write_split, write_text,
@@ -80,7 +82,12 @@ def export_rows(
     """
     cut = LOG_TABLES[name]
     low, high = _widest(days)
-    rows = conform(pull(tables, name, low, high, bounds), schemas.struct_of(name), strict)
+    pulled = pull(tables, name, low, high, bounds)
+    # The days' whole span of time reaches the scan too, for logs that are laid out by time.
+    span = days.agg(F.min("start").alias("first"), F.max("end").alias("last")).first()
+    if span.first is not None:
+        pulled = in_time(pulled, cut.time_col, span.first, span.last)
+    rows = conform(pulled, schemas.struct_of(name), strict)
     ranges = days.select(
         F.col("start").alias("day_start"), F.col("end").alias("day_end"),
         F.coalesce("logged_start_id", F.lit(low)).alias("day_low"),
@@ -123,6 +130,8 @@ def export_table(
 
 
 def export_all(tables: Mapping[str, DataFrame], days: DataFrame, root: str, **options) -> None:
-    """Export every log table: one job each, over all days."""
-    for name in LOG_TABLES:
-        export_table(tables, name, days, root, **options)
+    """Export every log table, each over all days; the tables' jobs share the cluster side by side."""
+    days = pin(days)
+    with ThreadPoolExecutor(len(LOG_TABLES)) as pool:
+        for done in [pool.submit(export_table, tables, name, days, root, **options) for name in LOG_TABLES]:
+            done.result()

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,13 +24,13 @@ def tune(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors see, as named by the session.
 
-    Only a local session without one gets a folder of its own.
+    A local session that names none gets a folder below its warehouse, which it names in any case.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="fareline-")
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/checkpoints"
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
 

@@ -8,23 +8,25 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from fareline.session import tune  # noqa: E402
+from fareline.session import drop_scratch, tune  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master("local[8]")
         .appName("fareline-tests")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "4g")
+        .config("spark.checkpoint.dir", f"file://{tmp_path_factory.mktemp('shared')}")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
-    return tune(session)
+    yield tune(session)
+    drop_scratch(session)
 
 
 @pytest.fixture
