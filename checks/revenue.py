@@ -23,23 +23,27 @@ FIRST, LAST = dt.date(1996, 1, 1), dt.date(2001, 7, 1)
 _FLIGHTS = f"""
     route_flights AS (SELECT * FROM InventoryLeg WHERE CarrierCode = '{CARRIER}' AND Status NOT IN (2, 3) AND Lid > 50)"""
 _MADE = f"""
-    made AS (
-        SELECT bpm.BookingID, CAST(bm.CreatedUTC AS DATE) AS CreatedUTC, bpm.PassengerID, bpm.FirstName, bm.RecordLocator
-        FROM BookingPassenger bpm JOIN Booking bm ON bpm.BookingID = bm.BookingID
-        WHERE bm.ChannelType = {CHANNEL} AND bm.CreatedUTC >= DATE '{FIRST}' AND bm.CreatedUTC <= DATE '{LAST}'
-    )"""
+    sold AS (
+        SELECT BookingID, RecordLocator, CAST(CreatedUTC AS DATE) AS CreatedUTC FROM Booking
+        WHERE ChannelType = {CHANNEL} AND CreatedUTC BETWEEN DATE '{FIRST}' AND DATE '{LAST}'
+    ),
+    made AS (SELECT BookingID, CreatedUTC, PassengerID, FirstName, RecordLocator FROM sold JOIN BookingPassenger USING (BookingID))"""
+# Classes of the wanted compartment first, then the flights that offer them, then who sat there.
 _LEGS = f"""
+    offered AS (
+        SELECT InventoryLegID, ClassOfService, TravelClassCode AS Compartment
+        FROM InventoryLegNest JOIN InventoryLegClass USING (InventoryLegID, ClassNest) WHERE TravelClassCode = '{CLASS}'
+    ),
+    flown AS (
+        SELECT f.*, ClassOfService, Compartment,
+               (SELECT o.DepartureStatus FROM InventoryLegOp o WHERE o.InventoryLegID = f.InventoryLegID) AS DepartureStatus
+        FROM offered JOIN route_flights f USING (InventoryLegID)
+    ),
     route_legs AS (
-        SELECT il.InventoryLegID, pjl.PassengerID, pjl.SegmentID, iln.TravelClassCode AS Compartment, ilc.ClassOfService, il.STDUTC,
-               il.STAUTC, il.STD, il.STA, pjl.LegNumber, il.FlightNumber, il.OperatingFlightNumber, il.Status, ilo.DepartureStatus,
-               il.DepartureStation AS DepartureStationLeg, il.ArrivalStation AS ArrivalStationLeg, il.CarrierCode,
-               pjl.BookingStatus, pjl.LiftStatus, il.Capacity, il.AdjustedCapacity, il.Lid
-        FROM PassengerJourneyLeg pjl
-        JOIN route_flights il ON pjl.InventoryLegID = il.InventoryLegID
-        LEFT JOIN InventoryLegOp ilo ON pjl.InventoryLegID = ilo.InventoryLegID
-        LEFT JOIN InventoryLegClass ilc ON ilc.InventoryLegID = il.InventoryLegID
-        LEFT JOIN InventoryLegNest iln ON iln.InventoryLegID = ilc.InventoryLegID AND iln.ClassNest = ilc.ClassNest
-        WHERE iln.TravelClassCode = '{CLASS}'
+        SELECT InventoryLegID, leg.PassengerID, leg.SegmentID, Compartment, ClassOfService, STDUTC, STAUTC, STD, STA, leg.LegNumber,
+               FlightNumber, OperatingFlightNumber, flown.Status, DepartureStatus, DepartureStation AS DepartureStationLeg,
+               ArrivalStation AS ArrivalStationLeg, CarrierCode, leg.BookingStatus, leg.LiftStatus, Capacity, AdjustedCapacity, Lid
+        FROM flown JOIN PassengerJourneyLeg leg USING (InventoryLegID)
     )"""
 _BOOKED = """
     booked AS (
@@ -88,21 +92,25 @@ def a4_lite(spark, sf_dir):
     return assembly.leg_keys(_extract(spark, sf_dir)["bookings"])
 
 
-@query("a5_described_charges", _EXTRACT + """
-    SELECT pjc.*, f1.Description AS ChargeCodeDescription, f2.Description AS TicketCodeDescription, q.InventoryLegID
-    FROM PassengerJourneyCharge pjc JOIN lite q ON pjc.PassengerID = q.PassengerID AND pjc.SegmentID = q.SegmentID
-    LEFT JOIN Fee f1 ON pjc.ChargeCode = f1.FeeCode LEFT JOIN Fee f2 ON pjc.TicketCode = f2.FeeCode""")
+@query("a5_described_charges", _EXTRACT + """,
+    fee_name AS (SELECT map_from_entries(list((FeeCode, Description))) AS of_code FROM Fee)
+    SELECT charge.*, of_code[ChargeCode] AS ChargeCodeDescription, of_code[TicketCode] AS TicketCodeDescription, InventoryLegID
+    FROM lite JOIN PassengerJourneyCharge charge USING (PassengerID, SegmentID), fee_name""")
 def a5(spark, sf_dir):
     return _extract(spark, sf_dir)["charges"]
 
 
-@query("a6_described_fees", _EXTRACT + """
-    SELECT pf.*, q.SegmentID, f.Description AS FeeCodeDescription, s.Name AS SSRCodeDescription,
-           pfc.ChargeNumber, pfc.ChargeType, pfc.ChargeDetail, pfc.ChargeAmount, pfc.CurrencyCode
-    FROM PassengerFee pf JOIN lite q ON q.PassengerID = pf.PassengerID AND q.InventoryLegID = pf.InventoryLegID
-    LEFT JOIN Fee f ON pf.FeeCode = f.FeeCode
-    LEFT JOIN PassengerFeeCharge pfc ON pfc.PassengerID = pf.PassengerID AND pfc.FeeNumber = pf.FeeNumber
-    LEFT JOIN SSR s ON pf.SSRCode = s.SSRCode""")
+@query("a6_described_fees", _EXTRACT + """,
+    fee_line AS (
+        SELECT fee.*, line.ChargeNumber, line.ChargeType, line.ChargeDetail, line.ChargeAmount, line.CurrencyCode
+        FROM PassengerFeeCharge line RIGHT JOIN PassengerFee fee USING (PassengerID, FeeNumber)
+    ),
+    fee_name AS (SELECT map_from_entries(list((FeeCode, Description))) AS of_code FROM Fee),
+    service AS (SELECT map_from_entries(list((SSRCode, Name))) AS of_code FROM SSR)
+    SELECT fee_line.* EXCLUDE (ChargeNumber, ChargeType, ChargeDetail, ChargeAmount, CurrencyCode), SegmentID,
+           fee_name.of_code[FeeCode] AS FeeCodeDescription, service.of_code[SSRCode] AS SSRCodeDescription,
+           ChargeNumber, ChargeType, ChargeDetail, ChargeAmount, CurrencyCode
+    FROM lite JOIN fee_line USING (PassengerID, InventoryLegID), fee_name, service""")
 def a6(spark, sf_dir):
     return _extract(spark, sf_dir)["fees"]
 
