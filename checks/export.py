@@ -231,8 +231,7 @@ def p13_join(spark, sf_dir):
     )
 
 
-@query("p14_drop_accessory_column", f"""
-    SELECT {_CHILD_COLUMNS} FROM lineitem JOIN orders ON l_orderkey = o_orderkey""")
+@query("p14_drop_accessory_column", _CHILD.format(cols=_CHILD_COLUMNS, lo=">=", hi="<="))
 def p14(spark, sf_dir):
     return export.drop_accessory(_child(spark, sf_dir, "inclusive"), "o_orderdate")
 
