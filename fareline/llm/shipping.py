@@ -9,10 +9,16 @@ from pathlib import Path
 from pyspark.sql import DataFrame
 
 _shipped: set[str] = set()
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def ship(df: DataFrame) -> DataFrame:
-    """`df` itself; its session's workers can import this package from now on."""
+    """`df` itself; its session's workers can import this package from now on.
+
+    Rows hold whole texts here, so Arrow batches get fewer rows than Spark's default, if that is set.
+    """
+    if df.sparkSession.conf.get(_BATCH, "10000") == "10000":
+        df.sparkSession.conf.set(_BATCH, "2000")
     context = df.sparkSession.sparkContext
     if context.applicationId not in _shipped:
         package = Path(__file__).resolve().parent.parent

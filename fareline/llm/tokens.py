@@ -16,7 +16,7 @@ from fareline.llm.text import SPACE, Texts, expand, hashes
 
 _tokenizers: dict[str, PieceEncoder] = {}
 #: Pieces kept by one worker; beyond it the table is begun anew (more work, same ids).
-KEPT_PIECES = 2_000_000
+KEPT_PIECES = 1_500_000
 
 
 def cuts(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -51,7 +51,7 @@ class PieceEncoder:
 
     def _forget(self) -> None:
         self.known, self.place = np.zeros(0, np.uint64), np.zeros(0, np.int32)
-        self.lengths, self.starts, self.ids = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.lengths, self.starts, self.ids = np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.int32)
 
     def _missing(self, kinds: np.ndarray) -> np.ndarray:
         at = np.searchsorted(self.known, kinds)
@@ -60,12 +60,14 @@ class PieceEncoder:
         return self.known[np.minimum(at, len(self.known) - 1)] != kinds
 
     def _learn(self, new: np.ndarray, pieces: list[str]) -> None:
-        found = [x.ids for x in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        found: list[list[int]] = []
+        for k in range(0, len(pieces), 4_000):
+            found += [x.ids for x in self.tokenizer.encode_batch_fast(pieces[k : k + 4_000], add_special_tokens=False)]
         lengths = np.fromiter(map(len, found), np.int32, len(found))
         flat = np.fromiter(itertools.chain.from_iterable(found), np.int32, int(lengths.sum()))
         at, places = np.searchsorted(self.known, new), len(self.lengths) + np.arange(len(new), dtype=np.int32)
         self.known, self.place = np.insert(self.known, at, new), np.insert(self.place, at, places)
-        self.starts = np.append(self.starts, len(self.ids) + np.cumsum(lengths) - lengths)
+        self.starts = np.append(self.starts, (len(self.ids) + np.cumsum(lengths) - lengths).astype(np.int32))
         self.lengths, self.ids = np.append(self.lengths, lengths), np.append(self.ids, flat)
 
     def encode(self, texts: Texts, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -80,7 +82,7 @@ class PieceEncoder:
             self._learn(kinds[missing], [raw[i:j].decode() for i, j in ranges])
         place = self.place[np.searchsorted(self.known, kinds)][kind]
         lengths = self.lengths[place].astype(np.int64)
-        ids = self.ids[expand(self.starts[place], lengths)]
+        ids = self.ids[expand(self.starts[place].astype(np.int64), lengths)]
         before = np.zeros(len(lengths) + 1, np.int64)
         np.cumsum(lengths, out=before[1:])
         sizes = before[first[1:]] - before[first[:-1]] + 1

@@ -37,7 +37,7 @@ DISCOUNT = 0.75
 #: Nats by which a word's log-likelihoods must differ, and the power of the number of words that divides the sum.
 MARGIN, LENGTH_POWER = 4.0, 0.5
 #: Words whose evidence one worker keeps; beyond it the table is begun anew.
-KEPT_WORDS = 2_000_000
+KEPT_WORDS = 1_000_000
 _BEGIN, _END = 1, 2
 _STEPS = np.random.default_rng(77).integers(1, 2**63, 16, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 #: The shared trigrams fall into this many places by their bytes' hash, contexts and whole trigrams alike.
