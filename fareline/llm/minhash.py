@@ -254,7 +254,8 @@ def near_duplicates(
         more.append(job.crowded_links(pin(many)))
     found = more[0] if len(more) == 1 else more[0].unionByName(more[1])
     if not found.isEmpty():
-        label = components(links.unionByName(found))
+        named = label.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        label = components(named.unionByName(found))
 
     final = sets.join(label.withColumnRenamed("node", "rep"), "rep", "left")
     final = pin(final.select("h1", "h2", "n", F.coalesce("component", "rep").alias("component")))
