@@ -1,20 +1,23 @@
-"""Toxicity by two class-conditional Kneser-Ney models with shared backoff counts.
+"""Toxicity by two class-conditional Kneser-Ney models of words with shared backoff counts.
 
-The models spell words: each byte of a word is predicted from those before it in the word. N-grams of two to ten bytes
-have counts of their own for toxic and for ordinary text, from a bounded sample of labelled rows; a word counts once
-for each distinct text that holds it. Below them stand, for both classes, trigram counts over all documents, so that a
-rare or unknown expression says as much about its class as its parts do, and no more.
+Each class has counts of words and pairs of words from a bounded sample of labelled rows. Below them stand the corpus
+counts: a Spark table of every word of all documents, with its count and the number of texts that hold it (its contexts),
+so that it grows with the input. Below these stand models that spell words, each byte from those before it in the word,
+with n-grams of both classes of two to ten bytes and pairs of bytes of the corpus words as the last resort.
 
-A document's evidence sums, over its distinct words, the toxic minus the ordinary log-likelihood as far as it exceeds a
-margin (what chance makes): words that are likelier in ordinary text do not clear a document of its toxic ones. It is
-normalised by a power of the number of these words. A logistic curve, fitted on sampled rows that the models have not
-seen, makes it a score.
+A class takes its share of a word's corpus count by how well it spells the word: of two words that the sample lacks, the
+one with toxic parts is likelier in toxic text.
+
+A document's evidence is its toxic minus its ordinary log-likelihood, over all words as often as they occur, divided by
+their number. Beside it stands what single words say that are spelled in a clearly toxic way, since a few of them vanish
+in the mean of a long text. A logistic curve over both, fitted on sampled rows that the models have not seen, makes a
+score.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -25,23 +28,23 @@ from pyspark.sql import types as T
 
 from fareline.llm.fm_index import word_list
 from fareline.llm.shipping import ship
-from fareline.llm.text import ASCII_ALNUM_OR_BEYOND, LOWER, Texts, expand, hashes, mixed, slices, spans
+from fareline.llm.text import ASCII_ALNUM_OR_BEYOND, LOWER, Texts, expand, hash_words, hashes, mixed, slices, spans
 from fareline.session import pin
 
 #: Bound of the labelled sample: rows and characters of each class. A quarter of the rows fits the curve.
 SAMPLE_ROWS, SAMPLE_CHARS = 4_000, 16_000_000
-#: Lengths of the classes' own n-grams, and distinct sampled texts that a word must be in to be learnt.
+#: Lengths of the classes' own n-grams of bytes, and distinct sampled texts that a word must be in for its spelling to be learnt.
 LOWEST, HIGHEST = 2, 10
 LEAST_TEXTS = 2
 DISCOUNT = 0.75
-#: Nats by which a word's log-likelihoods must differ, and the power of the number of words that divides the sum.
-MARGIN, LENGTH_POWER = 4.0, 0.5
-#: Words whose evidence one worker keeps; beyond it the table is begun anew.
-KEPT_WORDS = 1_000_000
+#: Words of most contexts whose counts every worker holds; others are joined. Results do not depend on it.
+HEAD_WORDS = 500_000
+#: Nats by which the spelling of a word must differ to be clearly toxic.
+MARGIN = 4.0
 _BEGIN, _END = 1, 2
 _STEPS = np.random.default_rng(77).integers(1, 2**63, 16, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-#: The shared trigrams fall into this many places by their bytes' hash, contexts and whole trigrams alike.
-SHARED_PLACES = 1 << 18
+#: All pairs of bytes, in their order; their contexts, single bytes, stand behind them.
+SHARED_PLACES = 1 << 16
 
 
 def spelled(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -66,28 +69,74 @@ def grams(letters: np.ndarray, place: np.ndarray, n: int) -> np.ndarray:
 
 
 def _shared_places(letters: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    whole = grams(letters, place, 3) % np.uint64(SHARED_PLACES)
-    context = np.zeros(len(letters), np.uint64)
-    context[1:] = grams(letters, place, 2)[:-1] % np.uint64(SHARED_PLACES)
-    return whole.astype(np.int64), context.astype(np.int64) + SHARED_PLACES
+    before = np.zeros(len(letters), np.int64)
+    before[1:] = letters[:-1]
+    return before * 256 + letters, before + SHARED_PLACES
+
 
+def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The words of each slice with their count and their texts."""
+    for batch in batches:
+        for _, texts in slices(batch, "__text", 4 << 20):
+            starts, ends, first = spans(texts, ASCII_ALNUM_OR_BEYOND)
+            if not len(starts):
+                continue
+            _, example, kind = np.unique(hashes(texts.data, starts, ends, lower=True), return_index=True, return_inverse=True)
+            pairs = np.unique(np.repeat(np.arange(len(texts)), np.diff(first)) * len(example) + kind)
+            raw = LOWER[texts.data].tobytes()
+            words = [raw[i:j] for i, j in zip(starts[example].tolist(), ends[example].tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(words, pa.binary()), pa.array(np.bincount(kind, minlength=len(example))),
+                 pa.array(np.bincount(pairs % len(example), minlength=len(example)))],
+                names=["word", "n", "contexts"],
+            )
+
+
+def _joined(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The words' bytes one after the other, and where each begins and ends."""
+    lengths = np.array([len(w) for w in words], np.int64)
+    ends = np.cumsum(lengths)
+    return np.frombuffer(b"".join(words), np.uint8), ends - lengths, ends
 
-def _shared_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Trigrams and their contexts over words, counted for the whole task."""
+
+def _byte_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of bytes and their contexts in the words of the corpus, each word once."""
     counts = np.zeros(2 * SHARED_PLACES, np.int64)
     for batch in batches:
-        for _, texts in slices(batch, "__text"):
-            starts, ends, _ = spans(texts, ASCII_ALNUM_OR_BEYOND)
-            _, example, n = np.unique(hashes(texts.data, starts, ends, lower=True), return_index=True, return_counts=True)
-            letters, first, place = spelled(texts.data, starts[example], ends[example])
-            weight = np.repeat(n, np.diff(np.append(first, len(letters))))
+        if batch.num_rows:
+            letters, _, place = spelled(*_joined(batch.column("word").to_pylist()))
             for places in _shared_places(letters, place):
-                on = place > 0
-                counts += np.bincount(places[on], weight[on], 2 * SHARED_PLACES).astype(np.int64)
+                counts += np.bincount(places[place > 0], minlength=2 * SHARED_PLACES)
     some = np.flatnonzero(counts)
-    for k in range(0, len(some), 100_000):
-        at = some[k : k + 100_000]
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], names=["place", "n"])
+    yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[some])], names=["place", "n"])
+
+
+def _pairs(before: np.ndarray, word: np.ndarray) -> np.ndarray:
+    return mixed(before * _STEPS[1] + word * _STEPS[0])
+
+
+def _word_pairs(texts: Texts) -> tuple[np.ndarray, ...]:
+    """Starts, ends, first words; the hash of each word and of the one before it (0 before a text's first)."""
+    starts, ends, first = spans(texts, ASCII_ALNUM_OR_BEYOND)
+    word = hashes(texts.data, starts, ends, lower=True)
+    before = np.zeros(len(word), np.uint64)
+    before[1:] = word[:-1]
+    before[first[:-1][np.diff(first) > 0]] = 0
+    return starts, ends, first, word, before
+
+
+def _pair_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs of words of each slice with the number of texts of both classes that hold them."""
+    for batch in batches:
+        for part, texts in slices(batch, "__text"):
+            _, _, first, word, before = _word_pairs(texts)
+            _, one, kind = np.unique(_pairs(before, word), return_index=True, return_inverse=True)
+            pairs = np.unique(np.repeat(np.arange(len(texts)), np.diff(first)) * max(1, len(one)) + kind)
+            toxic, kind = part.column("__toxic").to_numpy()[pairs // max(1, len(one))], pairs % max(1, len(one))
+            n = [np.bincount(kind, toxic == c, len(one)).astype(np.int64) for c in (0, 1)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(before[one].view(np.int64)), pa.array(word[one].view(np.int64)), *map(pa.array, n)], names=["v", "w", "ordinary", "toxic"]
+            )
 
 
 @dataclass
@@ -112,22 +161,80 @@ def _columns(places: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
     return np.column_stack([np.bincount(places, values[:, c], n) for c in (0, 1)]).astype(np.float32)
 
 
+def _discounts(counts: np.ndarray) -> np.ndarray:
+    """What modified Kneser-Ney takes from counts of 1, 2 and more (from 0: nothing), by the counts of counts."""
+    n1, n2, n3, n4 = (max(float((counts == k).sum()), 1.0) for k in (1, 2, 3, 4))
+    y = n1 / (n1 + 2 * n2)
+    taken = np.array([1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3])
+    return np.append(0.0, np.clip(taken, [0.1, 0.1, 0.1], [1.0, 2.0, 3.0]))
+
+
+@dataclass
+class Words:
+    """Both classes' words and pairs of words, counted by texts and discounted; between them the pairs of both together."""
+
+    words: Order
+    pairs: Order
+    both: Order
+    left: np.ndarray = field(default_factory=lambda: np.ones(2))  # times its chance in the corpus is that of a word a class lacks
+
+    @classmethod
+    def fit(cls, kinds: np.ndarray, counts: np.ndarray, before: np.ndarray, word: np.ndarray, pair_counts: np.ndarray) -> Words:
+        """From distinct words and distinct pairs, as hashes, with the texts of both classes that hold them."""
+        key, together = _pairs(before, word), np.repeat(pair_counts.sum(1, keepdims=True), 2, axis=1)
+        nothing = np.zeros(len(kinds), np.uint64)
+        return cls(cls._order(kinds, counts, nothing), cls._order(key, pair_counts, before), cls._order(key, together, before))
+
+    @staticmethod
+    def _order(keys: np.ndarray, counts: np.ndarray, context: np.ndarray) -> Order:
+        """What is in fewer than LEAST_TEXTS texts goes to the reserve whole."""
+        taken = np.column_stack([_discounts(counts[:, c])[np.minimum(counts[:, c], 3).astype(int)] for c in (0, 1)])
+        kept = counts.sum(1) >= LEAST_TEXTS
+        taken = np.where(kept[:, None], taken, counts)
+        contexts, at = np.unique(context, return_inverse=True)
+        totals, reserves = _columns(at, counts, len(contexts)), _columns(at, taken, len(contexts))
+        keys, left = keys[kept], (counts - taken)[kept].astype(np.float32)
+        order = np.argsort(keys)
+        return Order(keys[order], left[order], contexts, totals, reserves)
+
+    def shares(self, before: np.ndarray, word: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For both classes (a, b): a word's chance is a + b * its chance in the corpus."""
+        at, known = _find(self.words.keys, word)
+        own = [np.where(known, self.words.counts[at, c], 0) / max(1.0, float(self.words.totals[0, c])) for c in (0, 1)]
+        out = [(own[c].astype(float), np.where(own[c] > 0, 0.0, self.left[c])) for c in (0, 1)]
+        pair = _pairs(before, word)
+        for order, context, key in ((self.both, before, pair), (self.pairs, before, pair)):
+            there, seen = _find(order.contexts, context)
+            at, known = _find(order.keys, key)
+            for c in (0, 1) if len(order.keys) else ():
+                total = np.where(seen, order.totals[there, c], 0).astype(float)
+                left, own = order.reserves[there, c] / np.maximum(total, 1), np.where(known, order.counts[at, c], 0) / np.maximum(total, 1)
+                a, b = out[c]
+                out[c] = np.where(total > 0, own + left * a, a), np.where(total > 0, left * b, b)
+        return out
+
+
 @dataclass
 class Model:
     """Column 0 of all counts is ordinary, column 1 toxic."""
 
-    shared: np.ndarray  # log probability of a trigram's last byte by place, from the corpus
+    shared: np.ndarray  # counts of pairs of bytes and of bytes, over the words of the corpus
     orders: list[Order] = field(default_factory=list)
-    curve: tuple[float, float] = (0.0, -4.0)
-    power: float = LENGTH_POWER
-    seen: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
-    seen_evidence: np.ndarray = field(default_factory=lambda: np.zeros(0, np.float32))
-
-    def word_evidence(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """The toxic minus the ordinary log-likelihood of each word."""
+    curve: tuple[float, ...] = (0.0, 0.0, -4.0)  # slopes of both kinds of evidence, offset
+    words: Words | None = None
+    corpus: DataFrame | None = None  # (h, contexts) of the words beyond the head; stays with the driver
+    shown: Broadcast | None = None  # all but these two and the curve, for the workers
+    kinds: int = 0
+    total: float = 1.0
+    split: np.ndarray = field(default_factory=lambda: np.ones(2))  # makes the classes' shares of the corpus counts sum to 1
+    head: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
+    head_counts: np.ndarray = field(default_factory=lambda: np.zeros((0, 3)))  # contexts and both spelling log-likelihoods
+
+    def spelling(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The ordinary and the toxic log-likelihood of each word by its bytes, a row each."""
         letters, first, place = spelled(data, starts, ends)
         if not len(letters) or not self.orders:
-            return np.zeros(len(starts))
+            return np.zeros((2, len(starts)))
         whole, context = _shared_places(letters, place)
         base = np.clip((self.shared[whole] + 0.01) / (self.shared[context] + 1), 1e-6, 1.0)
         chances = [base, base]
@@ -142,36 +249,56 @@ class Model:
                 own = (np.maximum(count - DISCOUNT, 0) + order.reserves[there, c] * chances[c][on]) / np.maximum(total, 1)
                 chances[c] = chances[c].copy()
                 chances[c][on] = np.where(total > 0, own, chances[c][on])
-        difference = np.log(chances[1]) - np.log(chances[0])
-        difference[first] = 0
-        return np.add.reduceat(difference, first)
-
-    def evidence(self, texts: Texts) -> np.ndarray:
-        """Each document's evidence; 0 without words."""
-        starts, ends, first = spans(texts, ASCII_ALNUM_OR_BEYOND)
-        if not len(starts):
-            return np.zeros(len(texts))
-        kinds, example, kind = np.unique(hashes(texts.data, starts, ends, lower=True), return_index=True, return_inverse=True)
-        each = self._known_evidence(kinds, texts.data, starts[example], ends[example])
-        pairs = np.unique(np.repeat(np.arange(len(texts)), np.diff(first)) * len(example) + kind)
-        document = pairs // len(example)
-        n = np.bincount(document, minlength=len(texts))
-        return np.bincount(document, each[pairs % len(example)], len(texts)) / np.maximum(n, 1) ** self.power
-
-    def _known_evidence(self, kinds: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """What each word counts in a document; words seen before are looked up by their hash."""
-        if len(self.seen) > KEPT_WORDS:
-            self.seen, self.seen_evidence = self.seen[:0], self.seen_evidence[:0]
-        at, known = _find(self.seen, kinds)
-        out = np.zeros(len(kinds), np.float32)
-        out[known] = self.seen_evidence[at[known]]
-        new = ~known
-        if new.any():
-            raw = self.word_evidence(data, starts[new], ends[new])
-            out[new] = np.maximum(raw - MARGIN, 0)
-            at = np.searchsorted(self.seen, kinds[new])
-            self.seen, self.seen_evidence = np.insert(self.seen, at, kinds[new]), np.insert(self.seen_evidence, at, out[new])
-        return out
+        logs = np.log(np.array(chances))
+        logs[:, first] = 0
+        return np.add.reduceat(logs, first, axis=1)
+
+    def word_evidence(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The toxic minus the ordinary log-likelihood of each word by its bytes."""
+        ordinary, toxic = self.spelling(data, starts, ends)
+        return toxic - ordinary
+
+    def corpus_shares(self, logs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For both classes (p, q): a word's chance in the corpus is p + q * its discounted contexts."""
+        mean = np.logaddexp(logs[0], logs[1]) - np.log(2)
+        return DISCOUNT * self.kinds * np.exp(logs) / self.total, np.exp(logs - mean) / self.split[:, None] / self.total
+
+    def parts(self, texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, tuple[np.ndarray, ...]]:
+        """Each text's difference over the words of the head, its number of words, what its distinct clearly toxic words
+        say (by the root of the number of distinct words), and what must be joined.
+
+        That is: text, hash of the word, number, and p and q of both classes, whose p + q * discounted contexts is the
+        chance of the word.
+        """
+        starts, ends, first, word, before = _word_pairs(texts)
+        n_words = np.diff(first)
+        if not len(word):
+            none = np.zeros(0)
+            return np.zeros(len(texts)), n_words, np.zeros(len(texts)), (none.astype(np.int64), none.astype(np.uint64), none.astype(np.int64), *[none] * 4)
+        _, one, kind = np.unique(_pairs(before, word), return_index=True, return_inverse=True)
+        kinds, example, of = np.unique(word[one], return_index=True, return_inverse=True)
+        at, known = _find(self.head, kinds)
+        logs, contexts = np.zeros((2, len(kinds))), np.zeros(len(kinds))
+        logs[:, known], contexts[known] = self.head_counts[at[known], 1:].T, self.head_counts[at[known], 0]
+        rest = one[example[~known]]
+        if len(rest):
+            logs[:, ~known] = self.spelling(texts.data, starts[rest], ends[rest])
+        p, q = (x[:, of] for x in self.corpus_shares(logs))
+        share = self.words.shares(before[one], word[one])
+        p = np.array([share[c][0] + share[c][1] * p[c] for c in (0, 1)])
+        q = np.array([share[c][1] * q[c] for c in (0, 1)])
+        chance = p + q * np.maximum(contexts - DISCOUNT, 0)[of]
+        here = np.where(known[of], np.log(np.maximum(chance[1], 1e-300)) - np.log(np.maximum(chance[0], 1e-300)), 0.0)
+        document = np.repeat(np.arange(len(texts)), n_words)
+        sums = np.bincount(document, here[kind], len(texts))
+        held = np.unique(document * len(kinds) + of[kind])
+        clear = np.maximum(logs[1] - logs[0] - MARGIN, 0)[held % len(kinds)]
+        held = held // len(kinds)
+        clear = np.bincount(held, clear, len(texts)) / np.maximum(np.bincount(held, minlength=len(texts)), 1) ** 0.5
+        open_ = ~known[of][kind]
+        pairs, n = np.unique(document[open_] * len(one) + kind[open_], return_counts=True)
+        document, kind = pairs // len(one), pairs % len(one)
+        return sums, n_words, clear, (document, word[one][kind], n, p[0, kind], q[0, kind], p[1, kind], q[1, kind])
 
 
 def fit_orders(words: list[bytes], counts: np.ndarray) -> list[Order]:
@@ -207,21 +334,21 @@ def fit_orders(words: list[bytes], counts: np.ndarray) -> list[Order]:
     return orders
 
 
-def fit_curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of a logistic curve, by Newton steps with a weak pull of the scaled slope to 0."""
+def fit_curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, ...]:
+    """Slopes (one for each column of x) and offset of a logistic curve, by Newton steps with a weak pull of the scaled slopes to 0."""
     if len(x) < 2 or y.min() == y.max():
-        return 0.0, (4.0 if len(y) and y.min() == 1 else -4.0)
-    scale = float(x.std()) or 1.0
-    z, weight = x / scale, weight / weight.mean()
-    at = np.zeros(2)
+        return *[0.0] * x.shape[1], (4.0 if len(y) and y.min() == 1 else -4.0)
+    scale = np.where(x.std(0) > 0, x.std(0), 1.0)
+    z, weight = np.column_stack([x / scale, np.ones(len(x))]), weight / weight.mean()
+    pull = np.append(np.full(x.shape[1], 0.01), 0.0)
+    at = np.zeros(z.shape[1])
     for _ in range(60):
-        p = 1 / (1 + np.exp(-np.clip(at[0] * z + at[1], -30, 30)))
-        r, s = weight * (p - y), weight * p * (1 - p) + 1e-9
-        gradient = np.array([(r * z).sum() + 0.01 * at[0], r.sum()])
-        hessian = np.array([[(s * z * z).sum() + 0.01, (s * z).sum()], [(s * z).sum(), s.sum()]])
+        p = 1 / (1 + np.exp(-np.clip(z @ at, -30, 30)))
+        gradient = z.T @ (weight * (p - y)) + pull * at
+        hessian = (z * (weight * p * (1 - p) + 1e-9)[:, None]).T @ z + np.diag(pull)
         step = np.linalg.solve(hessian, gradient)
         at = at - step * min(1.0, 5.0 / max(1e-9, float(np.abs(step).max())))
-    return float(at[0] / scale), float(at[1])
+    return *(at[:-1] / scale).tolist(), float(at[-1])
 
 
 def train(
@@ -247,47 +374,134 @@ def train(
     within = within.where((F.col("sum") <= chars) | (F.col("k") <= 2)).select("__id", (F.col("k") % 4 == 0).alias("__fits"))
     sample = pin(found.join(F.broadcast(within), "__id"))
 
+    counted = texts.mapInArrow(_word_counts, "word binary, n long, contexts long")
+    counted = pin(counted.groupBy("word").agg(F.sum("n").alias("n"), F.sum("contexts").alias("contexts")))
     shared = np.zeros(2 * SHARED_PLACES)
-    counted = texts.mapInArrow(_shared_counts, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
-    shared[counted.column("place").to_numpy()] = counted.column("n").to_numpy()
+    spelt = counted.select("word").mapInArrow(_byte_pairs, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
+    shared[spelt.column("place").to_numpy()] = spelt.column("n").to_numpy()
 
-    # A row for each word of the bounded sample.
-    seen = sample.where("not __fits").dropDuplicates(["__toxic", "__text"]).select("__toxic", F.explode(F.array_distinct(word_list("__text"))).alias("word"))
+    learnt = sample.where("not __fits").dropDuplicates(["__toxic", "__text"]).select("__toxic", "__text")
+    # A row for each word, and for each pair of words, of the bounded sample.
+    seen = learnt.select("__toxic", F.explode(F.array_distinct(word_list("__text"))).alias("word"))
     words = seen.groupBy("word").agg(F.sum(1 - F.col("__toxic")).alias("ordinary"), F.sum("__toxic").alias("toxic"))
-    words = words.where(F.col("ordinary") + F.col("toxic") >= LEAST_TEXTS).toArrow()
+    words = words.toArrow()
     counts = np.column_stack([words.column(c).to_numpy() for c in ("ordinary", "toxic")]).astype(float)
-    if not len(counts) or not counts.sum(0).all():
+    spelt, often = [w.encode() for w in words.column("word").to_pylist()], counts.sum(1) >= LEAST_TEXTS
+    if not often.any() or not counts[often].sum(0).all():
         return Model(shared)
-    model = Model(shared, fit_orders([w.encode() for w in words.column("word").to_pylist()], counts))
-
-    shown = docs.sparkSession.sparkContext.broadcast(model)
-    held = _scored(sample.where("__fits").select("__toxic", "__text"), shown, "__text").select("__toxic", "evidence").toPandas()
-    shown.destroy()
+    model = Model(shared, fit_orders([w for w, on in zip(spelt, often.tolist(), strict=True) if on], counts[often]))
+    pairs = learnt.mapInArrow(_pair_counts, "v long, w long, ordinary long, toxic long").groupBy("v", "w")
+    pairs = pairs.agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic")).toArrow()
+    before, word = (pairs.column(c).to_numpy().view(np.uint64) for c in "vw")
+    pair_counts = np.column_stack([pairs.column(c).to_numpy() for c in ("ordinary", "toxic")]).astype(float)
+    model.words = Words.fit(hash_words(spelt), counts, before, word, pair_counts)
+    _with_corpus(model, counted)
+
+    held = _evidence(sample.where("__fits").select(F.col("__id").alias("__key"), "__text"), model)
+    held = sample.where("__fits").select("__id", "__toxic").join(held, F.col("__id") == F.col("__key"), "left")
+    held = held.select("__toxic", *[F.coalesce(c, F.lit(0.0)).alias(c) for c in ("evidence", "__clear")]).toPandas()
     sizes = {r["__toxic"]: r["count"] for r in clear.groupBy("__toxic").count().collect()}
     y = held["__toxic"].to_numpy(float)
     share = np.where(y == 1, sizes.get(1, 0) / max(1, y.sum()), sizes.get(0, 0) / max(1, (1 - y).sum()))
-    model.curve = fit_curve(held["evidence"].to_numpy(), y, share)
+    model.curve = fit_curve(held[["evidence", "__clear"]].to_numpy(), y, share)
     return model
 
 
+def _with_corpus(model: Model, counted: DataFrame) -> None:
+    """Give the model the table of words, its sums, and its head."""
+    spark = counted.sparkSession
+    # As many rows as there are different numbers of texts that a word can be in.
+    sizes = counted.groupBy("contexts").agg(F.count("*").alias("n")).toPandas().sort_values("contexts", ascending=False)
+    model.kinds, model.total = int(sizes.n.sum()), max(1.0, float((sizes.n * sizes.contexts).sum()))
+    within = sizes.contexts[sizes.n.cumsum() <= HEAD_WORDS]
+    least = int(within.min()) if len(within) else 1 << 62
+    learnt = model.words.words
+    shown = spark.sparkContext.broadcast((Model(model.shared, model.orders), learnt.keys, learnt.counts > 0))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                where = _joined(batch.column("word").to_pylist())
+                contexts, (speller, keys, owned) = batch.column("contexts").to_numpy(), shown.value
+                logs = speller.spelling(*where)
+                mean = np.logaddexp(logs[0], logs[1]) - np.log(2)
+                h, on = hashes(*where), contexts >= least
+                at, known = _find(keys, h)
+                parts = np.exp(logs - mean) * np.maximum(contexts - DISCOUNT, 0), np.exp(logs)
+                own = owned[at].T & known
+                sums = parts[0].sum(1)
+                held = np.array([(x * own).sum(1) for x in parts])
+                h = pa.concat_arrays([pa.nulls(1, pa.int64()), pa.array(h.view(np.int64))])
+                # The first row has the sums; logs are only kept for the head.
+                kept = [pa.array(np.append(sums[c], np.where(on, logs[c], 0.0))) for c in (0, 1)]
+                yield pa.RecordBatch.from_arrays(
+                    [h, pa.array(np.append(0, contexts)), *kept, pa.array(np.append(False, on)),
+                     pa.array([held.ravel().tolist(), *[None] * len(on)], pa.list_(pa.float64()))],
+                    names=[*"h contexts ordinary toxic head held".split()],
+                )
+
+    found = pin(counted.select("word", "contexts").mapInArrow(run, "h long, contexts long, ordinary double, toxic double, head boolean, held array<double>"))
+    shown.destroy()
+    sums = found.where("h is null").agg(F.sum("ordinary"), F.sum("toxic"), *[F.sum(F.get("held", F.lit(k))) for k in range(4)]).first()
+    head = found.where("head").select("h", "contexts", "ordinary", "toxic").toArrow()
+    whole = max(model.total - DISCOUNT * model.kinds, 1e-9)
+    sums = np.array([x or 0.0 for x in sums])
+    model.split = np.maximum(sums[:2] / whole, 1e-9)
+    # What the corpus gives to words that a class has of its own; the others share the reserve.
+    held = (sums[2:4] / model.split + DISCOUNT * model.kinds * sums[4:]) / model.total
+    reserve = model.words.words.reserves[0] / np.maximum(model.words.words.totals[0], 1)
+    model.words.left = reserve / np.maximum(1 - held, 1e-3)
+    h = head.column("h").to_numpy().view(np.uint64)
+    order = np.argsort(h)
+    model.head, model.head_counts = h[order], np.column_stack([head.column(c).to_numpy() for c in ("contexts", "ordinary", "toxic")])[order]
+    model.corpus = found.where("h is not null and not head").select("h", "contexts")
+
+
 def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """`docs` with `evidence` and `score` (0 to 1); columns of these names are replaced.
 
-    Null and empty texts have the evidence 0. Scores depend on the text alone, so repeated rows have equal ones.
+    Null and empty texts have the evidence 0. Scores depend on the text alone, so repeated rows have equal ones. Words
+    that the corpus of `train` lacks count as words of no context.
     """
-    return _scored(ship(docs).drop("evidence", "score"), docs.sparkSession.sparkContext.broadcast(model), text)
-
-
-def _scored(kept: DataFrame, shared: Broadcast, text: str) -> DataFrame:
-    schema = T.StructType([*kept.schema, T.StructField("evidence", T.DoubleType()), T.StructField("score", T.DoubleType())])
+    kept = ship(docs).drop("evidence", "score").withColumn("__key", F.xxhash64(text))
+    if model.words is None:
+        found = kept.drop("__key").withColumns({"evidence": F.lit(0.0), "__clear": F.lit(0.0)})
+    else:
+        each = _evidence(kept.select("__key", F.col(text).alias("__text")).where("__text != ''"), model)
+        found = kept.join(each, "__key", "left").drop("__key")
+        found = found.withColumns({c: F.coalesce(c, F.lit(0.0)) for c in ("evidence", "__clear")})
+    whole, clear, offset = model.curve
+    at = whole * F.col("evidence") + clear * F.col("__clear") + offset
+    return found.withColumn("score", 1 / (1 + F.exp(-F.least(F.greatest(at, F.lit(-30.0)), F.lit(30.0))))).drop("__clear")
+
+
+def _evidence(texts: DataFrame, model: Model) -> DataFrame:
+    """(__key, evidence, __clear) of each key of `texts` (__key, __text); rows of one key have one text."""
+    if model.shown is None:
+        model.shown = texts.sparkSession.sparkContext.broadcast(replace(model, corpus=None))
+    shared = model.shown
+    key = texts.schema["__key"]
+    chances = ["p0", "q0", "p1", "q1"]
+    schema = T.StructType(
+        [key, *(T.StructField(c, T.LongType()) for c in ("h", "n", "words")), *(T.StructField(c, T.DoubleType()) for c in ("sum", "clear", *chances))]
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        learnt = shared.value
-        slope, offset = learnt.curve
         for batch in batches:
-            for part, texts in slices(batch, text):
-                x = learnt.evidence(texts).astype(float)
-                p = 1 / (1 + np.exp(-np.clip(slope * x + offset, -30, 30)))
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(x), pa.array(p)], names=schema.names)
-
-    return kept.mapInArrow(run, schema)
+            for part, texts in slices(batch, "__text"):
+                sums, n_words, clear, (document, h, n, *rest) = shared.value.parts(texts)
+                keys, none = part.column("__key"), np.zeros(len(sums))
+                # A row for the text, which meets no word, and one for each pair of which the second word is not in the head.
+                own = [keys, pa.array(mixed(np.arange(len(sums), dtype=np.uint64)).view(np.int64)), pa.array(none.astype(np.int64)), pa.array(n_words), pa.array(sums), pa.array(clear)]
+                yield pa.RecordBatch.from_arrays([*own, *[pa.array(none)] * 4], names=schema.names)
+                zero = np.zeros(len(h))
+                more = [keys.take(pa.array(document)), pa.array(h.view(np.int64)), pa.array(n), pa.array(zero.astype(np.int64)), pa.array(zero), pa.array(zero)]
+                yield pa.RecordBatch.from_arrays([*more, *map(pa.array, rest)], names=schema.names)
+
+    rows = texts.mapInArrow(run, schema).join(model.corpus, "h", "left")
+    held = F.greatest(F.coalesce("contexts", F.lit(0)) - DISCOUNT, F.lit(0.0))
+    log = lambda c: F.log(F.greatest(F.col(f"p{c}") + F.col(f"q{c}") * held, F.lit(1e-300)))
+    # A head's row has n = 0.
+    each = F.col("sum") + F.when(F.col("n") > 0, F.col("n") * (log(1) - log(0))).otherwise(0.0)
+    total = rows.groupBy("__key").agg(F.sum(each).alias("sum"), F.sum("words").alias("words"), F.max("clear").alias("__clear"))
+    return total.select("__key", F.when(F.col("words") > 0, F.col("sum") / F.col("words")).otherwise(0.0).alias("evidence"), "__clear")

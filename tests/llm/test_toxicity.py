@@ -87,3 +87,19 @@ def test_without_labels_or_rows(frame, rows):
     assert len({r.score for r in tox.score(docs, model).collect()}) == 1
     assert len({r.score for r in tox.score(docs, tox.train(docs, frame("doc_id long, toxic int", (1, 1), (2, 1)))).collect()}) == 1
     assert tox.score(docs.limit(0), tox.train(docs.limit(0), none)).collect() == []
+
+
+def test_corpus_counts_grow_and_enter(frame, rows, monkeypatch):
+    labels = frame("doc_id long, toxic int", *[(i, y) for i, _, y in rows])
+    docs = [(i, t) for i, t, _ in rows]
+    more = [(1000 + k, f"word{k} other{k} grumkop blorfs") for k in range(300)]
+    small, large = (tox.train(frame("doc_id long, text string", *r), labels) for r in (docs, docs + more))
+    assert large.kinds == small.kinds + 600 and large.total == small.total + 1200
+    asked = frame("doc_id long, text string", (1, "ta grumkop ro"), (2, "word7 other8 notthere ta"))
+    whole = [{r.doc_id: r.evidence for r in tox.score(asked, m).collect()} for m in (small, large)]
+    assert whole[0][2] != whole[1][2]
+    # Words of the head and joined ones give the same.
+    monkeypatch.setattr(tox, "HEAD_WORDS", 50)
+    joined = tox.train(frame("doc_id long, text string", *docs, *more), labels)
+    assert len(joined.head) <= 50 < len(large.head)
+    assert {r.doc_id: r.evidence for r in tox.score(asked, joined).collect()} == pytest.approx(whole[1], rel=1e-6)
