@@ -64,6 +64,13 @@ def test_toxic_documents_go(spark, stages):
     assert sum(i in kept for i in clean) >= 0.95 * len(clean)
 
 
+def test_labelled_toxic_documents_are_found(spark, stages):
+    before, after = stages["toxicity"]
+    kept = {r.doc_id for r in after}
+    toxic = [r.doc_id for r in spark.read.parquet(f"{SF}/labels.parquet").where("toxic = 1").collect() if r.doc_id in before]
+    assert toxic and sum(i not in kept for i in toxic) > 0.5 * len(toxic)
+
+
 def test_shared_lines_go(stages):
     before, after = stages["line_dedup"]
     common = boilerplate([(r.text, r.source) for r in before.values()], 10)

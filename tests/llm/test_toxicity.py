@@ -89,6 +89,20 @@ def test_without_labels_or_rows(frame, rows):
     assert tox.score(docs.limit(0), tox.train(docs.limit(0), none)).collect() == []
 
 
+def test_toxic_by_word_order(frame):
+    rng = random.Random(4)
+    some = lambda n: [rng.choice("red blue green black white grey pink brown".split()) for _ in range(n)]
+    rows = []
+    for i in range(240):
+        # The same ordinary words, in another order.
+        phrase = ["you", "will", "lose"] if i % 2 else ["lose", "will", "you"]
+        rows.append((i, " ".join(some(6) + phrase + some(6) + phrase + some(6)), i % 2))
+    docs = frame("doc_id long, text string", *[(i, t) for i, t, _ in rows])
+    model = tox.train(docs, frame("doc_id long, toxic int", *[(i, y) for i, _, y in rows if i < 160]))
+    held = [r for r in tox.score(docs, model).collect() if r.doc_id >= 160]
+    assert np.mean([(r.score >= 0.5) == r.doc_id % 2 for r in held]) > 0.95
+
+
 def test_corpus_counts_grow_and_enter(frame, rows, monkeypatch):
     labels = frame("doc_id long, toxic int", *[(i, y) for i, _, y in rows])
     docs = [(i, t) for i, t, _ in rows]
