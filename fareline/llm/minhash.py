@@ -36,6 +36,8 @@ HALVES, ROWS = 8, 3
 CROWDED = 24
 #: Shingles in a block of a crowd: from the first number on a crowd has several blocks, and none has more than the second.
 BLOCK = 50_000, 1_000_000
+#: Documents in a block of a crowd, on the average; documents of a pair of blocks that are compared with all others at once.
+BLOCK_DOCS, STRIP = 2_000, 512
 #: IDs that may be broadcast, after they have been counted.
 BROADCAST_IDS = 1_000_000
 
@@ -169,8 +171,8 @@ class _Job:
         named = own.join(edges.select(F.col("node").alias("id"), F.col("component").alias("crowd")), "id")
         sets = self.full_sets(named.select("id")).join(named, "id")
         sets = pin(sets.withColumn("n", F.size("set").cast("long")))
-        sizes = sets.groupBy("crowd").agg(F.sum("n").alias("total"), F.min("component").alias("lo"), F.max("component").alias("hi"))
-        most = F.greatest(F.lit(1), F.least(F.lit(40), F.ceil(F.col("total") / BLOCK[0])), F.ceil(F.col("total") / BLOCK[1])).cast("int")
+        sizes = sets.groupBy("crowd").agg(F.sum("n").alias("total"), F.count("*").alias("docs"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+        most = F.greatest(F.lit(1), F.least(F.lit(40), F.ceil(F.col("total") / BLOCK[0])), F.ceil(F.col("total") / BLOCK[1]), F.ceil(F.col("docs") / BLOCK_DOCS)).cast("int")
         sizes = sizes.where("lo < hi").select("crowd", most.alias("blocks"))
         dealt = sets.join(broadcast_if_small(pin(sizes)), "crowd").withColumn("block", F.pmod(F.xxhash64("id", F.lit(3)), F.col("blocks")).cast("int"))
         dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -192,15 +194,26 @@ def _links_within(percent: int):
         row, kind = row[on], place[kind[on]]
         order = np.argsort(kind, kind="stable")
         row, kind = row[order], kind[order]
-        both = np.zeros((len(n), len(n)), np.float32)
-        for low in range(0, int(place[-1]) + 1, 2048) if len(place) else ():
-            i, j = np.searchsorted(kind, (low, low + 2048))
-            held = np.zeros((len(n), 2048), np.float32)
-            held[row[i:j], kind[i:j] - low] = 1
-            both += held @ held.T
-        linked = both * 100 >= (n[:, None] + n[None, :] - both) * percent
-        linked &= component[:, None] < component[None, :]
-        a, b = np.nonzero(linked)
+        found = []
+        # A strip of rows against all documents at a time: memory is linear in the documents of the group.
+        for top in range(0, len(n), STRIP):
+            end = min(top + STRIP, len(n))
+            both = np.zeros((end - top, len(n)), np.float32)
+            # Only shingles that a row of the strip has.
+            mine = np.unique(kind[(row >= top) & (row < end)])
+            at = np.minimum(np.searchsorted(mine, kind), max(0, len(mine) - 1))
+            on = mine[at] == kind if len(mine) else np.zeros(len(kind), bool)
+            rows, places = row[on], at[on]
+            for low in range(0, len(mine), 2048):
+                i, j = np.searchsorted(places, (low, low + 2048))
+                held = np.zeros((len(n), min(2048, len(mine) - low)), np.float32)
+                held[rows[i:j], places[i:j] - low] = 1
+                both += held[top:end] @ held.T
+            linked = both * 100 >= (n[top:end, None] + n[None, :] - both) * percent
+            linked &= component[top:end, None] < component[None, :]
+            x, y = np.nonzero(linked)
+            found.append((x + top, y))
+        a, b = (np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.int64) for k in (0, 1))
         ids = group.column("id").combine_chunks()
         return pa.table({"a": ids.take(pa.array(a)), "b": ids.take(pa.array(b))})
 

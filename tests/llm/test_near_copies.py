@@ -1,9 +1,13 @@
 import random
+import tracemalloc
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from fareline.llm.graph import components
-from fareline.llm.minhash import near_duplicates
+from fareline.llm import minhash
+from fareline.llm.minhash import _links_within, near_duplicates
 from tests.llm.brute import near_copies, roots, shingles
 
 SCHEMA = "doc_id long, text string, component_id string, n int, id int, key int"
@@ -57,3 +61,26 @@ def test_components_of_paths_stars_and_loops(frame):
     wanted = roots({n for link in links for n in link}, links)
     assert got == {n: r for n, r in wanted.items() if n != 3}
     assert components(frame("a long, b long")).collect() == []
+
+
+def test_pair_of_blocks_needs_linear_memory():
+    """Many short templated texts in one group, as a crowd deals them."""
+    rng, n = np.random.default_rng(3), 6_000
+    sets = [rng.choice(400, 20, replace=False) for _ in range(n)]
+    sets[17] = sets[5_900]
+    group = pa.table({"id": np.arange(n), "set": pa.array([s.tolist() for s in sets], pa.list_(pa.int64())), "component": np.arange(n)})
+    tracemalloc.start()
+    got = _links_within(80)(group)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got.to_pylist() == [{"a": 17, "b": 5_900}]
+    assert peak < 4 * n * n  # a matrix of all pairs alone has this size
+
+
+def test_blocks_are_bounded_in_documents(frame, texts, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK_DOCS", 5)
+    monkeypatch.setattr(minhash, "STRIP", 3)
+    docs = dict(enumerate(texts, 10))
+    given = frame(SCHEMA, *[(i, t, "x", 1, None, 2) for i, t in docs.items()])
+    got = {r.doc_id: r.component_id for r in near_duplicates(given, crowded=3).collect()}
+    assert got == near_copies(docs, 85)
