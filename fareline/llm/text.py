@@ -6,6 +6,7 @@ is a slice of its own), so that a task's memory does not depend on how many rows
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,11 +14,10 @@ import pyarrow as pa
 
 SLICE_BYTES = 1 << 20
 
-_rng = np.random.default_rng(20_240_601)
-_BYTE_VALUES = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_BASE = 0x9E3779B97F4A7C15
-_BASE_INVERSE = pow(_BASE, -1, 2**64)
-_powers = {}
+#: Longer byte strings are hashed one by one, by a cryptographic function.
+LONG = 256
+_START, _STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+_TAILS = np.array([(1 << 8 * k) - 1 for k in range(8)], np.uint64)
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -86,15 +86,6 @@ def spans(texts: Texts, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
     return starts, ends, np.searchsorted(starts, texts.bounds)
 
 
-def _power(base: int, n: int) -> np.ndarray:
-    known = _powers.get(base)
-    if known is None or len(known) < n:
-        steps = np.full(max(n, SLICE_BYTES + 1), base, np.uint64)
-        steps[0] = 1
-        known = _powers[base] = np.multiply.accumulate(steps)
-    return known
-
-
 def mixed(h: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit hashes (a bijection)."""
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -103,14 +94,49 @@ def mixed(h: np.ndarray) -> np.ndarray:
 
 
 def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False) -> np.ndarray:
-    """64-bit hashes of the byte strings data[start:end]; A-Z count as a-z if `lower`."""
-    values = _BYTE_VALUES[LOWER] if lower else _BYTE_VALUES
-    sums = np.zeros(len(data) + 1, np.uint64)
-    each = values[data]
-    each *= _power(_BASE, len(data))[: len(data)]
-    np.cumsum(each, out=sums[1:])
-    back = _power(_BASE_INVERSE, len(data) + 1)
-    return mixed((sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(np.uint64))
+    """64-bit hashes of the byte strings data[start:end]; A-Z count as a-z if `lower`.
+
+    Eight bytes at a time are mixed into a running hash, so that no sum or power structure of the bytes survives.
+    """
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = LOWER[data] if lower else data
+    eight = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+    lengths = (ends - starts).astype(np.int64)
+    out = mixed(lengths.astype(np.uint64) * _STEP + _START)
+    rows = np.flatnonzero((lengths > 0) & (lengths <= LONG))
+    at, left = starts[rows], lengths[rows]
+    while len(rows):
+        chunk = eight[at]
+        short = left < 8
+        chunk[short] &= _TAILS[left[short]]
+        out[rows] = mixed((out[rows] ^ chunk) * _STEP + _START)
+        more = left > 8
+        rows, at, left = rows[more], at[more] + 8, left[more] - 8
+    for k in np.flatnonzero(lengths > LONG).tolist():
+        out[k] = int.from_bytes(hashlib.blake2b(padded[starts[k] : ends[k]].tobytes(), digest_size=8).digest(), "little")
+    return out
+
+
+def equal_ranges(one: np.ndarray, at: np.ndarray, two: np.ndarray, to: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Whether one[at:at+length] equals two[to:to+length], for each of the given ranges."""
+    out = np.ones(len(lengths), bool)
+    for k in np.flatnonzero(lengths > LONG).tolist():
+        out[k] = np.array_equal(one[at[k] : at[k] + lengths[k]], two[to[k] : to[k] + lengths[k]])
+    rows = np.flatnonzero((lengths > 0) & (lengths <= LONG))
+    views = []
+    for data in (one, two):
+        padded = np.zeros(len(data) + 8, np.uint8)
+        padded[: len(data)] = data
+        views.append(np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,)))
+    at, to, left = at[rows], to[rows], lengths[rows]
+    while len(rows):
+        differ = views[0][at] ^ views[1][to]
+        short = left < 8
+        differ[short] &= _TAILS[left[short]]
+        out[rows[differ != 0]] = False
+        more = left > 8
+        rows, at, to, left = rows[more], at[more] + 8, to[more] + 8, left[more] - 8
+    return out
 
 
 def hash_words(words: list[bytes]) -> np.ndarray:

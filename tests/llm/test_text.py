@@ -6,7 +6,8 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from fareline.llm.text import ASCII_ALNUM_OR_BEYOND, SPACE, Texts, hash_words, hashes, slices, spans
+from fareline.llm import tokens
+from fareline.llm.text import ASCII_ALNUM_OR_BEYOND, SPACE, Texts, equal_ranges, hash_words, hashes, slices, spans
 from fareline.llm.tokens import PieceEncoder
 from tests.llm.brute import plain_words, spaced_words
 
@@ -25,6 +26,35 @@ def test_words_and_hashes(inside, words):
     assert len(set(hash_words(sorted(set(flat))).tolist())) == len(set(flat))
 
 
+def thue_morse(n):
+    """Two words whose sums of powers agree modulo 2^64 whatever the base."""
+    bits = [bin(k).count("1") % 2 for k in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+@pytest.mark.parametrize("size", [8, 64, 256, 1024, 4096])
+def test_words_of_even_structure_differ(size):
+    assert len(set(hash_words([w.encode() for w in thue_morse(size)]).tolist())) == 2
+
+
+def test_equal_ranges():
+    one = np.frombuffer(b"abcdefghijkl" + b"x" * 300 + b"y", np.uint8)
+    two = np.frombuffer(b"--abcdefghiJkl" + b"x" * 301, np.uint8)
+    at, to, lengths = np.array([0, 0, 0, 12, 12, 5]), np.array([2, 2, 0, 14, 14, 7]), np.array([9, 10, 0, 300, 301, 0])
+    assert equal_ranges(one, at, two, to, lengths).tolist() == [True, False, True, True, False, True]
+
+
+def test_pieces_that_share_a_hash_keep_their_ids(monkeypatch):
+    monkeypatch.setattr(tokens, "hashes", lambda data, starts, stops: (stops - starts).astype(np.uint64))
+    encode = PieceEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+    whole = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    given = ["one two six ten", "ten six", *thue_morse(1024), "two one"]
+    for _ in range(2):
+        ids, bounds, _, _ = encode.encode(Texts(pa.array(given)), 7)
+        for k, text in enumerate(given):
+            assert ids[bounds[k] : bounds[k + 1]].tolist() == [*whole.encode(text).ids, 7]
+
+
 def test_slices_hold_whole_documents():
     batch = pa.RecordBatch.from_arrays([pa.array(["ab", None, "c" * 100, "", "d"]), pa.array(range(5))], ["t", "n"])
     parts = [part.column("n").to_pylist() for part, _ in slices(batch, "t", 10)]
@@ -35,7 +65,7 @@ def test_slices_hold_whole_documents():
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
 def test_piecewise_ids_are_those_of_whole_texts(name):
     rng = random.Random(3)
-    bits = [" ", "  ", "\n", "\t", " ", " ", "　", "\x85", "a", "B", "é", "́", "'s", "'LL", "12", "!?", "<|endoftext|>", "Σ", "ǆ", "日本"]
+    bits = [" ", "  ", "\n", "\t", " ", " ", "　", "\x85", "a", "B", "é", "́", "'s", "'LL", "12", "!?", "<|endoftext|>", "\x01", "Σ", "ǆ", "日本"]
     given = ODD + ["".join(rng.choice(bits) for _ in range(rng.randrange(40))) for _ in range(300)]
     encode = PieceEncoder(public_tokenizers.path(name))
     whole = Tokenizer.from_file(public_tokenizers.path(name))
