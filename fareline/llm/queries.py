@@ -15,6 +15,7 @@ from fareline.llm.packing import pack
 from fareline.llm.pivot_index import top_k
 from fareline.llm.registry import query, table
 from fareline.llm.secret_scan import find_secrets
+from fareline.llm.token_pairs import align_corpus
 from fareline.llm.toxicity import score, train
 from fareline.llm.url_lists import host_of, judge_captures
 from fareline.session import new_path
@@ -194,3 +195,9 @@ def language_identification(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = language_id.train(table(spark, sf_dir, "documents"))
     found = language_id.identify(table(spark, sf_dir, "pages"), model)
     return found.select("page_id", "language", F.round("confidence", 6).alias("confidence"), "text_language", "declared", "suffix")
+
+
+@query("op12_cross_tokenizer_alignment")
+def cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return align_corpus(table(spark, sf_dir, "documents"), *paths)[0]

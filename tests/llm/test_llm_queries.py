@@ -13,7 +13,7 @@ from tests.llm.brute import boilerplate, leaks, near_copies, normal_line, plain_
 from tests.test_entry import _sorted
 
 SF = "/root/testdata/sf0.001"
-TABLES = "documents embeddings pages benchmark labels".split()
+TABLES = "documents embeddings pages benchmark labels conversations".split()
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="given tables not here")
 
 
@@ -26,7 +26,7 @@ def duck():
 
 
 def test_every_operator_has_one_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert QUERIES.keys() | {"pipeline"} <= entry.queries().keys()
     assert ORACLES.keys() <= entry.oracle_sql().keys()
 
