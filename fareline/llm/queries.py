@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fareline.llm.conversations import damage, repair, summarize
 from fareline.llm.direct_codes import read_tokens, write_tokens
 from fareline.llm.fm_index import find_leaks
 from fareline.llm import language_id
@@ -201,3 +202,8 @@ def language_identification(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
     return align_corpus(table(spark, sf_dir, "documents"), *paths)[0]
+
+
+@query("op11_conversation_repair")
+def conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return summarize(repair(damage(table(spark, sf_dir, "conversations")), gone="gone"))
