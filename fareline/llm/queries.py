@@ -13,6 +13,7 @@ from fareline.llm import language_id
 from fareline.llm.line_dedup import remove_boilerplate
 from fareline.llm.minhash import near_duplicates
 from fareline.llm.packing import pack
+from fareline.llm.personal_data import find_personal_data
 from fareline.llm.pivot_index import top_k
 from fareline.llm.registry import query, table
 from fareline.llm.secret_scan import find_secrets
@@ -207,3 +208,15 @@ def cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op11_conversation_repair")
 def conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summarize(repair(damage(table(spark, sf_dir, "conversations")), gone="gone"))
+
+
+@query("op13_personal_data")
+def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_personal_data(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    of = lambda *kinds: F.filter("personal", lambda s: s["kind"].isin(*kinds))
+    base = ("email", "ip", "card", "phone")
+    return found.select(
+        "doc_id", *[F.size(of(k)).cast("long").alias(f"n_{k}") for k in base], F.sha2(joined(of(*base)), 256).alias("base_sha256"),
+        joined(F.col("personal")).alias("spans"),
+    )
