@@ -9,7 +9,7 @@ from checks.standins import BOUNDS, log_days
 from fareline.operators import bounds, quality
 from fareline.plans import maintenance
 from fareline.session import new_path
-from fareline.sources import scans, sinks
+from fareline.sources import multiline, scans, sinks
 
 _DAY_NAME = "'events_' || strftime(ts, '%Y-%m-%d') || '_to_' || strftime(ts, '%Y-%m-%d')"
 
@@ -30,6 +30,16 @@ def s3(spark, sf_dir):
     return scans.read_text(spark, path, events.schema)
 
 
+@query("s3_divided_multi_line_scan", """
+    SELECT doc_id, text, lang, source, n_chars FROM documents""")
+def s3_divided(spark, sf_dir):
+    """Texts with line feeds in one file, read by as many tasks as the file has parts."""
+    documents = table(spark, sf_dir, "documents")
+    path = new_path(spark, "text")
+    sinks.write_text(documents, path, exact_nulls=True)
+    return multiline.read_text_divided(spark, path, documents.schema, exact_nulls=True)
+
+
 @query("s4_text_sink", """
     SELECT doc_id, md5(text) AS text_md5, CAST(length(text) AS BIGINT) AS n, lang, source FROM documents""")
 def s4(spark, sf_dir):
@@ -98,6 +108,20 @@ def s7(spark, sf_dir):
     return scans.read_text(spark, whole, schema).withColumn("export", sinks.source_name())
 
 
+@query("s7_combine_divided_parts", """
+    SELECT lang || '_all' AS export, doc_id, text, lang, source, n_chars FROM documents WHERE lang IS NOT NULL""")
+def s7_divided(spark, sf_dir):
+    """Parts whose texts hold line feeds, combined by reading each part in divided form."""
+    documents = table(spark, sf_dir, "documents").where("lang is not null")
+    parts, whole = new_path(spark, "parts"), new_path(spark, "whole")
+    span = bounds.key_bounds(documents, "doc_id").first()
+    name = F.concat("lang", F.lit("_all"))
+    sinks.write_split(documents, parts, name, "doc_id", span.min_id, span.max_id, 3, exact_nulls=True)
+    sinks.combine_parts(spark, parts, whole, documents.schema, exact_nulls=True, divided=True)
+    rows = multiline.read_text_divided(spark, whole, documents.schema, exact_nulls=True, file="file")
+    return rows.withColumn("export", sinks.source_name(F.col("file"))).drop("file")
+
+
 @query("s8_extract_cache", """
     SELECT event_type, CAST(count(*) AS BIGINT) AS rows, CAST(0 AS BIGINT) AS pulled_again FROM events GROUP BY 1""")
 def s8(spark, sf_dir):

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fareline.sources.multiline import read_text_divided
 from fareline.sources.scans import EXACT_NULLS, TEXT, read_text
 
 
@@ -106,14 +107,21 @@ def extract_names(spark: SparkSession, path: str) -> DataFrame:
     return files.select(source_name(F.col("path")).alias("export")).distinct()
 
 
-def read_parts(spark: SparkSession, path: str, schema: T.StructType, by: str = "export", **reading):
+def read_parts(
+    spark: SparkSession, path: str, schema: T.StructType, by: str = "export", divided: bool = False, **reading
+) -> DataFrame:
     """Rows of all part extracts below `path`, with the base name before `_part` in column `by`.
 
-    Extracts that are not parts are left out.
+    Extracts that are not parts are left out. `divided` reads a large part by many tasks, line feeds inside texts or not.
     """
-    rows = read_text(spark, path, T.StructType([*schema.fields]), **reading)
+    if divided:
+        reading = {k: v for k, v in reading.items() if k != "multi_line"}
+        rows, file = read_text_divided(spark, path, schema, file="__file", **reading), F.col("__file")
+    else:
+        rows, file = read_text(spark, path, T.StructType([*schema.fields]), **reading), None
     return (
-        rows.withColumn(by, source_name())
+        rows.withColumn(by, source_name(file))
+        .drop("__file")
         .where(F.col(by).contains("_part"))
         .withColumn(by, F.regexp_extract(by, r"^(.*)_part", 1))
     )
@@ -121,14 +129,16 @@ def read_parts(spark: SparkSession, path: str, schema: T.StructType, by: str = "
 
 def combine_parts(
     spark: SparkSession, path: str, out: str, schema: T.StructType, *, by: str = "export",
-    exact_nulls: bool = False, sep: str = ";", multi_line: bool = True, **writing,
+    exact_nulls: bool = False, sep: str = ";", multi_line: bool = True, divided: bool = False, **writing,
 ) -> None:
     """Rewrite part extracts as one extract per base name.
 
-    `sep` and `exact_nulls` hold for both sides. Without line feeds inside texts, `multi_line=False`
-    reads a large part by many tasks. Bases whose parts have no rows get a header alone.
+    `sep` and `exact_nulls` hold for both sides. `divided` reads a large part by many tasks, and so does
+    `multi_line=False` where no text holds a line feed, with less work. Bases whose parts have no rows get a header alone.
     """
-    rows = read_parts(spark, path, schema, by, exact_nulls=exact_nulls, sep=sep, multi_line=multi_line)
+    rows = read_parts(
+        spark, path, schema, by, divided, exact_nulls=exact_nulls, sep=sep, multi_line=multi_line
+    )
     write_text(rows, out, by=by, exact_nulls=exact_nulls, sep=sep, **writing)
     parts = extract_names(spark, path).where(F.col("export").contains("_part"))
     bases = parts.select(F.regexp_extract("export", r"^(.*)_part", 1).alias("base")).distinct()
