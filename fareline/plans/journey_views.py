@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fareline.operators import assembly, curve, journeys
+from fareline.operators.export import conform
 from fareline.operators.journeys import TripRules
+from fareline.schemas import struct_of
 from fareline.sources.sinks import cached_extract, extract_path
 
 
@@ -33,15 +35,17 @@ class RouteStudy:
     # Inputs -----------------------------------------------------------------------------------------
 
     def pull_legs(self, tables: Mapping[str, DataFrame]) -> DataFrame:
-        """Passenger legs from source tables, with keys and status names."""
+        """Passenger legs from source tables, with keys and status names, under the declared schema."""
         legs = assembly.passenger_legs(tables, self.origin, self.destination, self.start, self.end)
-        return journeys.with_status_names(journeys.with_keys(legs))
+        typed = conform(legs, struct_of("passenger_legs"))
+        return conform(journeys.with_status_names(journeys.with_keys(typed)), struct_of("enriched_passenger_legs"))
 
     def pull_inventory(self, tables: Mapping[str, DataFrame]) -> DataFrame:
-        """Inventory legs from source tables, with flight keys and status names."""
+        """Inventory legs from source tables, with flight keys and status names, under the declared schema."""
         legs = assembly.inventory_legs(tables, self.origin, self.destination, self.start, self.end)
-        keyed = journeys.with_flight_keys(legs, "DepartureStation", "ArrivalStation")
-        return journeys.with_status_names(keyed)
+        typed = conform(legs, struct_of("inventory_legs"))
+        keyed = journeys.with_flight_keys(typed, "DepartureStation", "ArrivalStation")
+        return conform(journeys.with_status_names(keyed), struct_of("enriched_inventory_legs"))
 
     def load(
         self, spark: SparkSession, tables: Mapping[str, DataFrame], root: str, force: bool = False,
