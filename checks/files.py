@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.registry import query, table
-from checks.standins import BOUNDS, log_days
+from checks.standins import BOUNDS, log_days, log_tables
+from fareline import schemas
 from fareline.operators import bounds, quality
-from fareline.plans import maintenance
+from fareline.plans import ledger, maintenance
 from fareline.session import new_path
 from fareline.sources import multiline, scans, sinks
 
@@ -182,3 +183,22 @@ def q3(spark, sf_dir):
     late = quality.named(rows, "export", "-01-", first_day=24).select("export").distinct().withColumn("late_january", F.lit(True))
     counted = rows.groupBy("export", quality.name_day("export").alias("name_day")).agg(F.count("*").alias("rows"))
     return counted.join(late, "export", "left").withColumn("late_january", F.coalesce("late_january", F.lit(False)))
+
+
+@query("p16_export_run_again", "WITH" + BOUNDS + """
+    SELECT 'Treatment_' || strftime(b.start, '%Y-%m-%d') || '_to_' || strftime(b.start, '%Y-%m-%d') AS export,
+           CAST(count(e.event_id) AS BIGINT) AS rows, count(*) FILTER (WHERE e.event_type = 'error' AND e.value <> 0) > 0 AS written_again
+    FROM bounds b LEFT JOIN events e ON e.ts BETWEEN b.start AND b.end_time
+     AND e.event_id BETWEEN coalesce(b.logged_start_id, e.event_id) AND coalesce(b.logged_end_id, e.event_id)
+    GROUP BY b.start""")
+def p16_again(spark, sf_dir):
+    """All days exported; values of error events changed; then only their days are exported again."""
+    tables, root = log_tables(spark, sf_dir), new_path(spark, "ledger")
+    days = bounds.day_bounds(tables["Treatment"], "TreatmentID", "LoggedUTC", *log_days(spark, sf_dir))
+    ledger.export_changed(tables, "Treatment", days, root)
+    doubled = F.when(F.col("ClientCode") == "error", F.col("SamplingRandomNumber") * 2).otherwise(F.col("SamplingRandomNumber"))
+    changed = tables | {"Treatment": tables["Treatment"].withColumn("SamplingRandomNumber", doubled)}
+    again = ledger.export_changed(changed, "Treatment", days, root)
+    rows = scans.read_text(spark, f"{root}/Treatment", schemas.struct_of("Treatment")).groupBy(sinks.source_name().alias("export")).count()
+    kept = ledger.read_ledger(spark, root).join(rows, "export", "left")
+    return kept.select("export", F.coalesce("count", F.lit(0)).cast("bigint").alias("rows"), F.col("export").isin(again).alias("written_again"))

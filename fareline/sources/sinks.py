@@ -22,10 +22,12 @@ def export_name(table: str, start: Column | str, end: Column | str, suffix: Colu
 
 def write_text(
     df: DataFrame, path: str, *, by: str | None = None, compressed: bool = False,
-    exact_nulls: bool = False, mode: str = "errorifexists", sep: str = ";",
+    exact_nulls: bool = False, mode: str = "errorifexists", sep: str = ";", replace_values: bool = False,
 ) -> None:
     """Delimited text with a header, quoted only where needed, one folder per value of `by`.
 
+    `replace_values` replaces the folders of the values that are written, and leaves those of other values as they are.
+
     Rows are first gathered by `by`, so that a value gets few files. The rebalance step splits a value
     that holds much of the table over many tasks and merges small ones, by measured size.
     """
@@ -40,6 +42,8 @@ def write_text(
         writer = writer.option("compression", "gzip")
     if by is not None:
         writer = writer.partitionBy(by)
+    if replace_values:
+        writer = writer.option("partitionOverwriteMode", "dynamic").mode("overwrite")
     writer.csv(path)
 
 
@@ -84,13 +88,25 @@ def written_values(spark: SparkSession, path: str, by: str = "export") -> set[st
     return {n.split("=", 1)[1] for n in names if n.startswith(f"{by}=")}
 
 
+def header_line(names: Iterable[str], sep: str = ";") -> str:
+    """The header that `write_text` puts above columns of these names."""
+    quoted = ['"' + n.replace('"', '""') + '"' if any(c in n for c in (sep, '"', "\n", "\r")) else n for n in names]
+    return sep.join(quoted)
+
+
 def write_missing_headers(
     spark: SparkSession, path: str, names: Iterable[str], schema: T.StructType, by: str = "export", **options
 ) -> None:
-    """An extract with a header alone for each name that has none: one small write each."""
-    empty = spark.createDataFrame([], schema)
-    for name in sorted(set(names) - written_values(spark, path, by)):
-        write_text(empty, f"{path}/{by}={name}", **{**options, "mode": "overwrite"})
+    """An extract with a header alone for each name that has none: one write for all of them."""
+    missing = sorted(set(names) - written_values(spark, path, by))
+    if not missing:
+        return
+    header = F.lit(header_line(schema.names, options.get("sep", ";"))).alias("value")
+    rows = spark.createDataFrame([(n,) for n in missing], T.StructType([T.StructField(by, T.StringType())]))
+    writer = rows.select(by, header).write.mode("append").partitionBy(by)
+    if options.get("compressed"):
+        writer = writer.option("compression", "gzip")
+    writer.text(path)
 
 
 def source_name(path: Column | None = None) -> Column:
