@@ -148,7 +148,7 @@ class FMIndex:
 class Phrases:
     """The distinct windows of a block of benchmark items, as symbols, and the items of each."""
 
-    def __init__(self, items: list[tuple[str, list[str]]], window: int):
+    def __init__(self, items: list[tuple[str | None, list[str]]], window: int):
         words = sorted({w.encode() for _, text in items for w in text})
         known = hash_words(words) if words else np.zeros(0, np.uint64)
         order = np.argsort(known)
@@ -158,12 +158,13 @@ class Phrases:
         for item, text in items:
             symbols = [number[w] for w in text]
             for k in range(max(1, len(symbols) - window + 1) if symbols else 0):
-                found.setdefault(tuple(symbols[k : k + window]), set()).add(item)
+                # Windows of items without an ID are searched too; they name no item.
+                found.setdefault(tuple(symbols[k : k + window]), set()).update([] if item is None else [item])
         self.lengths = np.array([len(w) for w in found], np.int64)
         self.symbols = np.zeros((len(found), window), np.int64)
         for k, w in enumerate(found):
             self.symbols[k, : len(w)] = w
-        names = sorted({name for _, name in ((0, i) for i, _ in items)})
+        names = sorted({name for name, _ in items if name is not None})
         place = {name: k for k, name in enumerate(names)}
         self.items = np.array(names, object)
         self.item_of = np.array([place[i] for s in found.values() for i in sorted(s)], np.int64)
@@ -237,9 +238,9 @@ FOUND = [T.StructField("__n_words", T.LongType()), T.StructField("__spans", SPAN
 _ARROW = [pa.int64(), pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())])), pa.list_(pa.string())]
 
 
-def _blocks(benchmark: DataFrame, item: str, text: str, chars: int) -> Iterator[list[tuple[str, list[str]]]]:
+def _blocks(benchmark: DataFrame, item: str, text: str, chars: int) -> Iterator[list[tuple[str | None, list[str]]]]:
     """Items with words, in blocks of bounded size; the driver holds one block at a time."""
-    rows = benchmark.where(F.col(item).isNotNull()).select(F.col(item).cast("string").alias("item"), word_list(text).alias("words"))
+    rows = benchmark.select(F.col(item).cast("string").alias("item"), word_list(text).alias("words"))
     block, size = [], 0
     for row in rows.where(F.size("words") > 0).toLocalIterator():
         block.append((row.item, row.words))
@@ -260,8 +261,8 @@ def find_leaks(
     Adds `n_words`, `spans` (merged half-open ranges of word numbers) and `items` (IDs as text, sorted, without
     repeats); columns of `docs` with these names are replaced. Words are lower-cased runs of letters, digits and
     characters beyond ASCII. A window has `window` words of one item; an item with fewer words is one window. Null and
-    empty texts have no words and no spans; items without words or without an ID take no part; repeated rows each get
-    their own result; an empty table on either side gives rows without spans.
+    empty texts have no words and no spans; items without words take no part, and those without an ID count in `spans`
+    alone; repeated rows each get their own result; an empty table on either side gives rows without spans.
     """
     added = ["__n_words", "__spans", "__items"]
     out = ship(docs).drop("n_words", "spans", "items").withColumns(

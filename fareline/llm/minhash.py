@@ -29,9 +29,8 @@ from fareline.session import broadcast_if_small, pin
 
 SHINGLE = 5
 PERCENT = 85
-#: Half keys in each collection, and minhashes in each half key. At a similarity of 0.85 a pair misses all
-#: HALVES * HALVES tables with a probability of 0.1 %.
-HALVES, ROWS = 8, 3
+#: Minhashes in each half key, and the probability with which a pair at the least similarity may miss all tables.
+ROWS, MISSED = 3, 0.001
 #: Buckets of up to this many distinct sets have their pairs listed.
 CROWDED = 24
 #: Shingles in a block of a crowd: from the first number on a crowd has several blocks, and none has more than the second.
@@ -79,6 +78,15 @@ def shingle_sets(texts: Texts, size: int = SHINGLE) -> tuple[np.ndarray, np.ndar
     return mixed(out[new]), kept[bounds]
 
 
+def halves_for(percent: int, rows: int = ROWS, missed: float = MISSED) -> int:
+    """Half keys in each of the two collections so that a pair at `percent` misses all tables with a probability of at most
+    `missed`: it meets in a table if it has an equal half key in both collections."""
+    halves = 1
+    while 1 - (1 - (1 - (percent / 100) ** rows) ** halves) ** 2 > missed:
+        halves += 1
+    return halves
+
+
 def _signatures(halves: int, rows: int, size: int):
     n_hashes = 2 * halves * rows
 
@@ -222,7 +230,7 @@ def _links_within(percent: int):
 
 def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, shingle: int = SHINGLE,
-    halves: int = HALVES, rows: int = ROWS, crowded: int = CROWDED,
+    halves: int | None = None, rows: int = ROWS, crowded: int = CROWDED,
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row.
 
@@ -232,6 +240,7 @@ def near_duplicates(
     name; a row without an ID has no links, a null component, and is kept. An empty table gives no rows; other columns
     take no part.
     """
+    halves = halves or halves_for(percent, rows)
     given = ship(docs).select(F.col(doc_id).alias("__id"), F.col(text).alias("__text"))
     job = _Job(given.where("__id is not null"), percent, shingle, halves, rows)
     schema = T.StructType(

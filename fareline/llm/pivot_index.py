@@ -29,6 +29,10 @@ ANNULUS, QUERY_BLOCK = 512, 4096
 SLACK = 1e-9
 
 
+#: Squared length from which scores may not fit into 64 bits, and a floor below all scores.
+LONGEST, LEAST = float(2**63), np.iinfo(np.int64).min
+
+
 def scaled(vector: Column, scale: int) -> Column:
     """floor(scale * x) of each component, as an array of longs; null if a component is null or not finite."""
     sound = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
@@ -71,10 +75,12 @@ class Index:
 
     def __init__(self, vectors: DataFrame, id: str, vector: str, n_pivots: int = PIVOTS, sample: int = SAMPLE):
         rows = ship(vectors).where(F.col(id).isNotNull() & F.col(vector).isNotNull()).select(F.col(id).cast("long").alias("id"), F.col(vector).alias("v"))
-        norm = F.aggregate("v", F.lit(0).cast("long"), lambda s, x: s + x * x)
+        norm = F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
         self.vectors = rows
         top = rows.agg(F.max(norm), F.max(F.size("v"))).first()
         self.norm2, self.width = float(top[0] or 0), int(top[1] or 0)
+        if self.norm2 >= LONGEST:
+            raise OverflowError(f"a squared length of {self.norm2:.3g}: scores would not fit into 64 bits")
         drawn = rows.orderBy(F.xxhash64("id"), "id").limit(sample).toArrow()
         self.pivots = np.zeros((1, self.width + 1))
         if drawn.num_rows:
@@ -137,10 +143,10 @@ class Index:
             shared = context.broadcast((ids, asked, norms, away, home, floor))
             return self.annuli.mapInArrow(_scanner(shared, own, k, self.norm2, self.width), "query_id long, vec_id long, score long")
 
-        near = pin(scan(True, np.full(len(ids), -np.inf)).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).drop("rank"))
+        near = pin(scan(True, np.full(len(ids), LEAST)).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).drop("rank"))
         # A number for each query of the block.
         last = near.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").alias("floor")).where(F.col("n") >= k).toArrow()
-        floor = np.full(len(ids), -np.inf)
+        floor = np.full(len(ids), LEAST)
         order = np.argsort(ids)
         floor[order[np.searchsorted(ids[order], last.column("query_id").to_numpy())]] = last.column("floor").to_numpy()
         both = near.unionByName(scan(False, floor)).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
@@ -150,6 +156,12 @@ class Index:
 def _scanner(shared, own: bool, k: int, norm2: float, width: int):
     """Scan the annuli of each query's own pivot, or those of all others that can reach its floor."""
 
+    def exact(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        # Sums of products below 2^53 are whole in doubles, which multiply much faster.
+        if norm2 < 2**53:
+            return (one @ two.T.astype(float)).astype(np.int64)
+        return one.astype(np.int64) @ two.T.astype(np.int64)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, asked, norms, away, home, floor = shared.value
         held = [np.zeros(0, np.int64)] * 3
@@ -165,7 +177,7 @@ def _scanner(shared, own: bool, k: int, norm2: float, width: int):
                 vectors = np.frombuffer(batch.column("vectors")[n].as_py(), "<i8").reshape(-1, width)
                 order = np.argsort(vec_ids)
                 vec_ids, vectors = vec_ids[order], vectors[order]
-                scores = (asked[rows] @ vectors.T.astype(float)).astype(np.int64)
+                scores = exact(asked[rows], vectors)
                 keep = (scores >= floor[rows, None]) & (vec_ids[None, :] != ids[rows, None])
                 if scores.shape[1] > k:  # the k best of each query, ties to the smaller ID: a stable order
                     top = np.argsort(np.where(keep, -scores, np.iinfo(np.int64).max), axis=1, kind="stable")[:, :k]
@@ -198,7 +210,8 @@ def top_k(
 
     Components become floor(scale * x). Rows without an ID, without a vector, or with a null or non-finite component
     take no part; vectors of different lengths are filled up with zeros; rows of the query's own ID are no candidates;
-    other repeated rows count each; a query with fewer candidates gets all; an empty table gives no rows.
+    other repeated rows count each; a query with fewer candidates gets all; an empty table gives no rows. Scores are exact;
+    vectors so long that a score may not fit into 64 bits are an OverflowError.
     """
     rows = vectors.withColumn("__v", scaled(F.col(vector), scale)).where("__v is not null")
     return Index(rows.select(id, "__v"), id, "__v").search(rows.where(queries).select(id, "__v"), id, "__v", k)

@@ -38,7 +38,7 @@ LOWEST, HIGHEST = 2, 10
 LEAST_TEXTS = 2
 DISCOUNT = 0.75
 #: Words of most contexts whose counts every worker holds; others are joined. Results do not depend on it.
-HEAD_WORDS = 500_000
+HEAD_WORDS = 200_000
 #: Nats by which the spelling of a word must differ to be clearly toxic.
 MARGIN = 4.0
 _BEGIN, _END = 1, 2
@@ -399,11 +399,11 @@ def train(
 
     held = _evidence(sample.where("__fits").select(F.col("__id").alias("__key"), "__text"), model)
     held = sample.where("__fits").select("__id", "__toxic").join(held, F.col("__id") == F.col("__key"), "left")
-    held = held.select("__toxic", *[F.coalesce(c, F.lit(0.0)).alias(c) for c in ("evidence", "__clear")]).toPandas()
+    held = held.select("__toxic", *[F.coalesce(c, F.lit(0.0)).alias(c) for c in ("evidence", "__clear")]).toArrow()
     sizes = {r["__toxic"]: r["count"] for r in clear.groupBy("__toxic").count().collect()}
-    y = held["__toxic"].to_numpy(float)
+    y = held.column("__toxic").to_numpy().astype(float)
     share = np.where(y == 1, sizes.get(1, 0) / max(1, y.sum()), sizes.get(0, 0) / max(1, (1 - y).sum()))
-    model.curve = fit_curve(held[["evidence", "__clear"]].to_numpy(), y, share)
+    model.curve = fit_curve(np.column_stack([held.column(c).to_numpy() for c in ("evidence", "__clear")]), y, share)
     return model
 
 
@@ -411,9 +411,10 @@ def _with_corpus(model: Model, counted: DataFrame) -> None:
     """Give the model the table of words, its sums, and its head."""
     spark = counted.sparkSession
     # As many rows as there are different numbers of texts that a word can be in.
-    sizes = counted.groupBy("contexts").agg(F.count("*").alias("n")).toPandas().sort_values("contexts", ascending=False)
-    model.kinds, model.total = int(sizes.n.sum()), max(1.0, float((sizes.n * sizes.contexts).sum()))
-    within = sizes.contexts[sizes.n.cumsum() <= HEAD_WORDS]
+    sizes = counted.groupBy("contexts").agg(F.count("*").alias("n")).toArrow().sort_by([("contexts", "descending")])
+    n, contexts = sizes.column("n").to_numpy(), sizes.column("contexts").to_numpy()
+    model.kinds, model.total = int(n.sum()), max(1.0, float((n * contexts).sum()))
+    within = contexts[np.cumsum(n) <= HEAD_WORDS]
     least = int(within.min()) if len(within) else 1 << 62
     learnt = model.words.words
     shown = spark.sparkContext.broadcast((Model(model.shared, model.orders), learnt.keys, learnt.counts > 0))

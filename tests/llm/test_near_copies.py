@@ -30,6 +30,8 @@ def texts():
     out = [*_family(rng, 60, 9), *_family(rng, 12, 4), *_family(rng, 2, 2), "A b\tc", "a B c", "a b", "x y z p q", "", None, " \n", None]
     out += [" ".join(f"u{rng.randrange(10**6)}" for _ in range(n)) for n in (4, 5, 6, 20_000)]
     out += [out[0], out[0].upper(), out[70]]
+    # Words of equal sums of powers: no copies of each other.
+    out += [" ".join("".join("ab"[(bin(k).count("1") + t) % 2] for k in range(1024)) + str(n) for n in range(8)) for t in (0, 1)]
     rng.shuffle(out)
     return out
 
@@ -84,3 +86,10 @@ def test_blocks_are_bounded_in_documents(frame, texts, monkeypatch):
     given = frame(SCHEMA, *[(i, t, "x", 1, None, 2) for i, t in docs.items()])
     got = {r.doc_id: r.component_id for r in near_duplicates(given, crowded=3).collect()}
     assert got == near_copies(docs, 85)
+
+
+def test_half_keys_follow_from_the_similarity():
+    assert minhash.halves_for(85) == 8 and minhash.halves_for(80) == 11
+    for percent in (50, 80, 85, 95):
+        missed = 1 - (1 - (1 - (percent / 100) ** 3) ** minhash.halves_for(percent)) ** 2
+        assert missed <= 0.001

@@ -36,3 +36,18 @@ def test_blocks_of_queries_and_small_tables(frame):
     few = frame("vec_id long, embedding array<double>", (0, [1.0]), (3, [2.0]))
     assert [tuple(r) for r in top_k(few, F.col("vec_id") == 0, scale=1).collect()] == [(0, 1, 3, 2)]
     assert top_k(few.limit(0), F.lit(True)).collect() == []
+
+
+def test_large_components_are_exact_or_an_error(frame):
+    rng = np.random.default_rng(4)
+    x = rng.integers(-(10**6), 10**6, (300, 5)) + 0.5
+    given = frame("vec_id long, embedding array<double>", *[(k, [float(v) for v in e]) for k, e in enumerate(x)])
+    vectors = np.floor(1024 * x).astype(int).tolist()
+    got = sorted(map(tuple, top_k(given, F.col("vec_id") % 50 == 0, k=9).collect()))
+    wanted = []
+    for i in range(0, 300, 50):
+        scores = sorted((-sum(a * b for a, b in zip(vectors[i], c, strict=True)), j) for j, c in enumerate(vectors) if j != i)[:9]
+        wanted += [(i, rank, j, -s) for rank, (s, j) in enumerate(scores, 1)]
+    assert got == sorted(wanted) and max(abs(s) for *_, s in got) > 2**53
+    with pytest.raises(OverflowError):
+        top_k(frame("vec_id long, embedding array<double>", (0, [1e7] * 5), (1, [1.0] * 5)), F.col("vec_id") == 0)
