@@ -395,6 +395,9 @@ def train(
     before, word = (pairs.column(c).to_numpy().view(np.uint64) for c in "vw")
     pair_counts = np.column_stack([pairs.column(c).to_numpy() for c in ("ordinary", "toxic")]).astype(float)
     model.words = Words.fit(hash_words(spelt), counts, before, word, pair_counts)
+    # The driver holds the model alone from here on.
+    del words, spelt, often, counts, pairs, before, word, pair_counts
+    pa.default_memory_pool().release_unused()
     _with_corpus(model, counted)
 
     held = _evidence(sample.where("__fits").select(F.col("__id").alias("__key"), "__text"), model)
@@ -443,6 +446,7 @@ def _with_corpus(model: Model, counted: DataFrame) -> None:
 
     found = pin(counted.select("word", "contexts").mapInArrow(run, "h long, contexts long, ordinary double, toxic double, head boolean, held array<double>"))
     shown.destroy()
+    del shown
     sums = found.where("h is null").agg(F.sum("ordinary"), F.sum("toxic"), *[F.sum(F.get("held", F.lit(k))) for k in range(4)]).first()
     head = found.where("head").select("h", "contexts", "ordinary", "toxic").toArrow()
     whole = max(model.total - DISCOUNT * model.kinds, 1e-9)
