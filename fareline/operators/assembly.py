@@ -1,6 +1,7 @@
 """Passenger legs, bookings, charges and fees put together from normalised source tables.
 
-Small dimensions are joined without hints: the optimizer broadcasts them by their measured size.
+Small dimensions are joined without hints: the optimizer broadcasts them by their size. Tables with rows for each flight
+are joined by a shuffle: estimates from compressed files are far below what they hold, most of all after an explode.
 Tables are passed by name in a mapping: InventoryLeg, InventoryLegOp, InventoryLegClass,
 InventoryLegNest, PassengerJourneyLeg, PassengerJourneySegment, BookingPassenger, Booking,
 Organization, Domain, PassengerJourneyCharge, PassengerFee, PassengerFeeCharge, Fee, SSR.
@@ -15,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fareline.codes import NOT_OPERATING
+from fareline.session import broadcast_if_small
 
 Tables = Mapping[str, DataFrame]
 
@@ -22,6 +24,8 @@ Tables = Mapping[str, DataFrame]
 LID_FLOOR = 50
 # Months looked at around a date range when inventory is pulled.
 INVENTORY_MARGIN_MONTHS = 14
+# Flights of a route, as bare IDs, that every task may hold: some 50 MB at most.
+ROUTE_FLIGHTS = 500_000
 
 
 def _at(value) -> Column:
@@ -38,7 +42,8 @@ def _flights(tables: Tables, origin: str | None, destination: str | None, low: C
 
 
 def _flyers(tables: Tables, flights: DataFrame) -> DataFrame:
-    return tables["PassengerJourneyLeg"].join(flights, "InventoryLegID", "left_semi").select("PassengerID")
+    legs = tables["PassengerJourneyLeg"]
+    return legs.join(broadcast_if_small(flights, ROUTE_FLIGHTS, trust_estimate=False), "InventoryLegID", "left_semi").select("PassengerID")
 
 
 def route_passengers(
@@ -82,26 +87,28 @@ _FLIGHT_COLUMNS = [
 _PASSENGER_LEG_COLUMNS = ["PassengerID", "SegmentID", "LegNumber", "BookingStatus", "LiftStatus"]
 
 
+def _shuffled(per_flight: DataFrame) -> DataFrame:
+    """A table with rows for each flight, never broadcast on an estimate; adaptive execution still splits skew."""
+    return per_flight.hint("merge")
+
+
 def _operations(tables: Tables) -> DataFrame:
-    return tables["InventoryLegOp"].select("InventoryLegID", "DepartureStatus")
+    return _shuffled(tables["InventoryLegOp"].select("InventoryLegID", "DepartureStatus"))
 
 
 def _classes_of_flights(tables: Tables, flights: DataFrame) -> DataFrame:
-    """Flights with one row per class of service and its nest."""
+    """Flights with one row per class of service and its nest, which meet before the wide flights do."""
     classes = tables["InventoryLegClass"].select("InventoryLegID", "ClassOfService", "ClassNest")
     nests = tables["InventoryLegNest"].select(
         "InventoryLegID", "ClassNest", F.col("TravelClassCode").alias("Compartment")
     )
-    return (
-        flights.select(
-            "InventoryLegID", *_FLIGHT_COLUMNS,
-            F.col("DepartureStation").alias("DepartureStationLeg"),
-            F.col("ArrivalStation").alias("ArrivalStationLeg"),
-        )
-        .join(classes, "InventoryLegID", "left")
-        .join(nests, ["InventoryLegID", "ClassNest"], "left")
-        .drop("ClassNest")
+    nested = classes.join(_shuffled(nests), ["InventoryLegID", "ClassNest"], "left").drop("ClassNest")
+    wide = flights.select(
+        "InventoryLegID", *_FLIGHT_COLUMNS,
+        F.col("DepartureStation").alias("DepartureStationLeg"),
+        F.col("ArrivalStation").alias("ArrivalStationLeg"),
     )
+    return _shuffled(wide.join(_shuffled(nested), "InventoryLegID", "left"))
 
 
 def described_legs(tables: Tables) -> DataFrame:
@@ -183,9 +190,9 @@ def inventory_legs(
     legs = tables["PassengerJourneyLeg"].select("InventoryLegID", *_PASSENGER_LEG_COLUMNS)
     return (
         legs.join(wanted, "PassengerID", "left_semi")
-        .join(flights, "InventoryLegID", "left")
+        .join(_shuffled(flights), "InventoryLegID", "left")
         .join(_operations(tables), "InventoryLegID", "left")
-        .join(nests, "InventoryLegID", "left")
+        .join(_shuffled(nests), "InventoryLegID", "left")
         .drop("InventoryLegID")
     )
 

@@ -60,14 +60,15 @@ def pin(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
+def broadcast_if_small(df: DataFrame, max_rows: int = 10_000, trust_estimate: bool = True) -> DataFrame:
     """Hint a broadcast only after counting that `df` has at most `max_rows` rows.
 
-    Beyond that the join stays a shuffle join, which adaptive execution can split on skew.
+    Beyond that the join stays a shuffle join, which adaptive execution can split on skew; without `trust_estimate` even
+    where the optimizer takes `df` for small, as it does with compressed files.
     """
     if df.limit(max_rows + 1).count() <= max_rows:
         return F.broadcast(df)
-    return df
+    return df if trust_estimate else df.hint("merge")
 
 
 def spread(df: DataFrame) -> DataFrame:
