@@ -57,7 +57,4 @@ def p13_any(spark, sf_dir):
     length = (60 * F.pow(F.lit(4), F.col("s_suppkey") % 12)).cast("bigint")
     spans = table(spark, sf_dir, "supplier").select("s_suppkey", first.alias("first"))
     spans = spans.withColumn("last", F.timestamp_add("SECOND", length, F.col("first")))
-    met = intervals.assign_intervals(events, "ts", spans, "first", "last")
-    return met.groupBy("s_suppkey", "first", "last").agg(
-        F.count("*").alias("rows"), F.min("event_id").alias("first_id"), F.max("event_id").alias("last_id")
-    )
+    return intervals.totals_in_intervals(events, "ts", spans, "event_id", "first", "last", ("rows", "first_id", "last_id"))

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import contextlib
+import datetime as dt
 import io
 
-from fareline.operators import assembly
+from fareline.operators import assembly, intervals
 
 
 def plan(df):
@@ -39,3 +40,19 @@ def test_tables_of_flights_are_not_broadcast_on_an_estimate(spark, frame):
     segments = frame("SegmentID long, PassengerID long, ClassOfService string")
     for legs in (assembly.described_legs(tables), assembly.legs_in_class(tables, segments)):
         assert "BroadcastExchange" not in plan(legs)
+
+
+def test_totals_of_intervals_make_no_pairs(spark, frame):
+    at = lambda s, us=0: dt.datetime(2024, 1, 1) + dt.timedelta(seconds=s, microseconds=us)
+    points = [(k, at(k // 3, k % 3 * 400_000)) for k in range(30_000)] + [(30_000, None)]
+    df = spark.createDataFrame(points, "id long, ts timestamp_ntz")
+    spans = [(0, at(0), at(20_000)), (1, at(5, 1), at(5, 400_000)), (2, at(7, 500_000), at(9_000, 399_999)), (3, at(50), at(50)),
+             (4, at(99), at(98)), (5, at(20_001), at(90_000)), (6, at(-9), at(3_700)), (7, None, at(5)), (8, at(10), at(11)), (9, at(10, 1), at(12))]
+    wide = frame("k long, first timestamp_ntz, last timestamp_ntz", *spans, spans[0])
+    totals = intervals.totals_in_intervals(df, "ts", wide, "id", "first", "last")
+    want = {}
+    for k, a, b in [*spans, spans[0]]:
+        ids = [i for i, t in points if t and a and a <= t <= b]
+        if ids:
+            want[k] = (want.get(k, (0,))[0] + len(ids), min(ids), max(ids))
+    assert {r.k: (r["rows"], r.lowest, r.highest) for r in totals.collect()} == want
