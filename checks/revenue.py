@@ -283,10 +283,9 @@ def a13(spark, sf_dir):
 def a13_large(spark, sf_dir):
     """All items of a class on one leg."""
     items = ancillary.all_items(*_priced(spark, sf_dir)).withColumns({c: F.lit(0) for c in ancillary.LEG})
-    text = F.transform("items", lambda i: F.concat_ws(":", i["ContextCode"], i["ContextDescription"], i["SOURCE"]))
-    return ancillary.leg_aggregate(items).select(
-        "AncilType", F.size("items").cast("bigint").alias("items"), F.md5(F.array_join(text, "|").cast("binary")).alias("listed"),
-        F.round("TotalCharge", 1).alias("TotalCharge"),
+    text = F.concat_ws(":", "ContextCode", "ContextDescription", "SOURCE")
+    return ancillary.leg_digests(items, text).select(
+        "AncilType", "items", F.col("digest").alias("listed"), F.round("TotalCharge", 1).alias("TotalCharge")
     )
 
 

@@ -8,8 +8,15 @@ number of rows, pinned, numbered inside each range, and corrected by per-range t
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fareline.session import pin
 
@@ -19,6 +26,8 @@ HEAVY_ROWS = 1_000_000
 _SAMPLED = 1_000
 # Rows in a range of a heavy group.
 RANGE_ROWS = 1_000_000
+# Characters in a page of a group's joined text, give or take one row.
+PAGE_CHARS = 4_096
 
 
 def heavy_groups(df: DataFrame, keys: list[str], rows: int = HEAVY_ROWS) -> list[int]:
@@ -178,3 +187,78 @@ def fill_forward(
         {c: F.coalesce(F.last(c, ignorenulls=True).over(inside), F.col(f"__known_{c}")) for c in filled}
     )
     return out.unionByName(stitched.select(*out.columns))
+
+
+def _arrow(schema: T.StructType) -> pa.Schema:
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    return to_arrow_schema(schema)
+
+
+def digest_in_order(
+    df: DataFrame, keys: list[str], order: list[str], text: Column, separator: str = "|", pinned: bool = False
+) -> DataFrame:
+    """Per group its rows (`n`) and the MD5 of its texts, joined in order (`digest`; null without any text).
+
+    No row ever holds a group: the table is sorted by ranges, each range makes pages of joined texts, and the pages of a
+    group pass through one digest, a batch at a time. That last step is sequential by nature, but it keeps nothing.
+    """
+    df = df if pinned else pin(df)
+    placed = (
+        df.withColumn("__tie", F.monotonically_increasing_id())
+        .repartitionByRange(range_count(df), *keys, *order, "__tie")
+        .sortWithinPartitions(*keys, *order, "__tie")
+        .select(*keys, F.monotonically_increasing_id().alias("__place"), text.alias("__text"))
+    )
+    own = [placed.schema[k] for k in keys]
+    page = T.StructType([*own, *[T.StructField(c, T.LongType()) for c in ("__place", "n", "__known")], T.StructField("__page", T.StringType())])
+    width = PAGE_CHARS
+
+    def pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            new = np.zeros(batch.num_rows, bool)
+            new[0] = True
+            for k in keys:
+                a, b = batch.column(k)[:-1], batch.column(k)[1:]
+                differ = pc.coalesce(pc.not_equal(a, b), pc.xor(pc.is_null(a), pc.is_null(b)))
+                new[1:] |= differ.to_numpy(zero_copy_only=False)
+            texts = batch.column("__text")
+            filled = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy()) // width
+            new[1:] |= filled[1:] != filled[:-1]
+            starts = np.flatnonzero(new)
+            ends = np.append(starts[1:], len(new))
+            known = [[t for t in texts[i : j].to_pylist() if t is not None] for i, j in zip(starts.tolist(), ends.tolist(), strict=True)]
+            first = batch.select([*keys, "__place"]).take(pa.array(starts))
+            more = [pa.array(ends - starts), pa.array([len(x) for x in known], pa.int64()), pa.array([separator.join(x) for x in known], pa.string())]
+            yield pa.RecordBatch.from_arrays([*first.columns, *more], names=page.names)
+
+    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, n, seen, whole = None, 0, False, hashlib.md5()
+        for batch in batches:
+            columns = [batch.column(c).to_pylist() for c in [*keys, "n", "__known", "__page"]]
+            done = []
+            for *key, count, known, joined in zip(*columns, strict=True):
+                if key != at:
+                    if at is not None:
+                        done.append((*at, n, whole.hexdigest() if seen else None))
+                    at, n, seen, whole = key, 0, False, hashlib.md5()
+                n += count
+                if known:
+                    whole.update(((separator if seen else "") + joined).encode())
+                    seen = True
+            if done:
+                yield made(done)
+        if at is not None:
+            yield made([(*at, n, whole.hexdigest() if seen else None)])
+
+    out = T.StructType([*own, T.StructField("n", T.LongType()), T.StructField("digest", T.StringType())])
+    types = [pa.field(f.name, t.type) for f, t in zip(out, _arrow(out), strict=True)]
+
+    def made(found: list[tuple]) -> pa.RecordBatch:
+        columns = zip(*found, strict=True)
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, types, strict=True)], schema=pa.schema(types))
+
+    together = placed.mapInArrow(pages, page).repartition(*keys).sortWithinPartitions(*keys, "__place")
+    return together.mapInArrow(digests, out)

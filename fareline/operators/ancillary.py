@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fareline import codes
 from fareline.functions.nulls import row_sum, sum_or_zero
-from fareline.functions.ordered import number_rows
-from fareline.session import broadcast_if_small
+from fareline.functions.ordered import digest_in_order, number_rows
+from fareline.session import broadcast_if_small, pin
 
 LEG = ["PassengerID", "SegmentID", "InventoryLegID"]
 ITEM = [*LEG, "ContextCode", "ChargeAmount", "SOURCE"]
@@ -172,6 +172,15 @@ def item_positions(items: DataFrame, **limits) -> DataFrame:
     return number_rows(items, [*LEG, "AncilType"], _LISTED, "position", **limits)
 
 
+def leg_digests(items: DataFrame, text: Column) -> DataFrame:
+    """`leg_totals` with the MD5 of the leg's item texts, in the order of `item_positions`, joined by "|"."""
+    items = pin(items)
+    group = [*LEG, "AncilType"]
+    digests = digest_in_order(items, group, _LISTED, text, pinned=True).withColumnsRenamed({c: f"__{c}" for c in group})
+    same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in group]
+    return leg_totals(items).join(digests, same).drop("n", *[f"__{c}" for c in group])
+
+
 def leg_aggregate(items: DataFrame) -> DataFrame:
     """Per leg and class, one row whatever its size: the items as an array of structs (so their fields stay
     aligned) and their sum.

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from fareline import codes
 from fareline.functions.nulls import all_true, any_true, join_text, strip_space, timestamp_text
-from fareline.functions.ordered import look_ahead, number_all_rows, number_rows
+from fareline.functions.ordered import digest_in_order, look_ahead, number_all_rows, number_rows
 
 JOURNEY = ["JourneyKey", "BookingID", "PassengerID", "TripNumber", "JourneyNumber"]
 # The leg columns a journey is made of; legs equal in all of them count once.
@@ -164,6 +164,11 @@ def leg_lists(legs: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     )
 
 
+def leg_digests(legs: DataFrame, text: Column) -> DataFrame:
+    """Per journey the number `n` of distinct legs and the MD5 of their texts joined by "|", however long it is."""
+    return digest_in_order(distinct_legs(legs), JOURNEY, LEG_ORDER, text)
+
+
 def with_journey_flags(profile: DataFrame, indirect: DataFrame, groups: DataFrame) -> DataFrame:
     """Add Indirect and GroupBooking, false where the lookups have no row."""
     return (

@@ -4,8 +4,14 @@ from __future__ import annotations
 
 import contextlib
 import datetime as dt
+import hashlib
 import io
+import random
 
+from pyspark.sql import functions as F
+
+from __spark_entry__ import QUERIES
+from fareline.functions import ordered
 from fareline.operators import assembly, intervals
 
 
@@ -56,3 +62,18 @@ def test_totals_of_intervals_make_no_pairs(spark, frame):
         if ids:
             want[k] = (want.get(k, (0,))[0] + len(ids), min(ids), max(ids))
     assert {r.k: (r["rows"], r.lowest, r.highest) for r in totals.collect()} == want
+
+
+def test_digests_of_groups_hold_no_group_in_a_row(spark, frame):
+    rng = random.Random(3)
+    data = [(k, i, None if i % 7 == 0 else f"é{i}" * (i % 5)) for k in ("a", "b", None) for i in range(900)] + [("c", 1, None)]
+    rng.shuffle(data)
+    found = ordered.digest_in_order(frame("k string, o int, v string", *data).repartition(5), ["k"], ["o"], F.col("v"))
+    want = {}
+    for k in ("a", "b", "c", None):
+        own = sorted((o, v) for x, o, v in data if x == k)
+        texts = [v for _, v in own if v is not None]
+        want[k] = (len(own), hashlib.md5("|".join(texts).encode()).hexdigest() if texts else None)
+    assert {r.k: (r.n, r.digest) for r in found.collect()} == want
+    for name in ("n12_long_journeys", "a13_large_legs"):
+        assert "collect_list" not in plan(QUERIES[name](spark, "/root/testdata/sf0.001"))
