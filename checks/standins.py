@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from checks.registry import table
 from fareline.operators import journeys
-from fareline.session import new_path, spread
+from fareline.session import broadcast_if_small, new_path, spread
 from fareline.sources.sinks import cached_extract
 
 # Offer log ------------------------------------------------------------------------------------------
@@ -83,6 +83,9 @@ def log_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 # Passenger legs -------------------------------------------------------------------------------------
 
+# Suppliers with their region, two short columns, that every task may hold: some 40 MB at most.
+SUPPLIERS_HELD = 500_000
+
 
 def _percent(c: str) -> Column:
     return F.round(F.col(c) * 100).cast("int")
@@ -96,17 +99,19 @@ def raw_legs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines as passenger legs between the regions of supplier and customer."""
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
     places = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "r_name")
+    places = broadcast_if_small(places)
     suppliers = table(spark, sf_dir, "supplier").join(places, F.col("s_nationkey") == F.col("n_nationkey")).select(
         "s_suppkey", F.col("r_name").alias("from")
     )
     customers = table(spark, sf_dir, "customer").join(places, F.col("c_nationkey") == F.col("n_nationkey")).select(
         "c_custkey", F.col("r_name").alias("to")
     )
+    # The far more numerous lines meet orders that know their customer, so that they are not shuffled for it.
+    orders = table(spark, sf_dir, "orders").join(customers, F.col("o_custkey") == F.col("c_custkey")).drop("c_custkey")
     lines = (
         spread(table(spark, sf_dir, "lineitem"))
-        .join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(customers, F.col("o_custkey") == F.col("c_custkey"))
+        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(broadcast_if_small(suppliers, SUPPLIERS_HELD), F.col("l_suppkey") == F.col("s_suppkey"))
     )
     n = F.col("l_linenumber")
     quantity = F.col("l_quantity").cast("int")

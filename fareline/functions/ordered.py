@@ -44,9 +44,12 @@ def heavy_groups(df: DataFrame, keys: list[str], rows: int = HEAVY_ROWS) -> list
     return [r.h for r in found.select("h").collect()]
 
 
-def _split(df: DataFrame, keys: list[str], rows: int, distinct: bool):
-    """Rows of ordinary groups, and those of heavy ones if there are any; each without repeats."""
-    df = pin(df)
+def _split(df: DataFrame, keys: list[str], rows: int, distinct: bool, pinned: bool = False, place: list[str] | None = None):
+    """Rows of ordinary groups, and those of heavy ones if there are any; each without repeats.
+
+    A table that is `pinned` already is not pinned again. Groups are placed by `place`, some of their keys.
+    """
+    df = df if pinned else pin(df)
     heavy = heavy_groups(df, keys, rows)
     light, rest = df, None
     if heavy:
@@ -54,7 +57,7 @@ def _split(df: DataFrame, keys: list[str], rows: int, distinct: bool):
         light, rest = df.where(~is_heavy), df.where(is_heavy)
     if distinct:
         # Placed by group once, rows are de-duplicated and ordered without a further shuffle.
-        light = light.repartition(*keys).distinct()
+        light = light.repartition(*(place or keys)).distinct()
         rest = None if rest is None else rest.distinct()
     return light, rest
 
@@ -127,17 +130,24 @@ def number_all_rows(df: DataFrame, order: list[str], name: str, first: int = 0)
     No single task sees the whole table: rows are numbered inside ranges and shifted by the number of
     rows in earlier ranges. Pins the table, since range edges come from sampling.
     """
-    keyed = df.withColumn("__all", F.lit(0))
-    out = _numbered_in_ranges(keyed, ["__all"], order, name)
-    return out.withColumn(name, F.col(name) - 1 + first).drop("__all")
+    df = pin(df).withColumn("__tie", F.monotonically_increasing_id())
+    ranges = df.repartitionByRange(range_count(df), *order, "__tie").sortWithinPartitions(*order, "__tie").drop("__tie")
+    # The number of the range stands in the upper bits, the place inside it in the lower 33: no second shuffle.
+    ranges = pin(ranges.withColumn("__place", F.monotonically_increasing_id()))
+    of = F.shiftright("__place", 33)
+    totals = ranges.groupBy(of.alias("__at")).agg(F.count("*").alias("__n"))
+    earlier = Window.orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)
+    before = totals.select("__at", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"))
+    place = F.col("__place").bitwiseAND(F.lit((1 << 33) - 1))
+    return ranges.join(F.broadcast(before), of == F.col("__at")).withColumn(name, place + F.col("__before") + first).drop("__place", "__at", "__before")
 
 
 def look_ahead(
     df: DataFrame, keys: list[str], order: list[str], taken: dict[str, str],
-    distinct: bool = False, rows: int = HEAVY_ROWS,
+    distinct: bool = False, rows: int = HEAVY_ROWS, pinned: bool = False, place: list[str] | None = None,
 ) -> DataFrame:
     """Add, for each `new name -> column` of `taken`, the column's value in the group's next row."""
-    light, heavy = _split(df, keys, rows, distinct)
+    light, heavy = _split(df, keys, rows, distinct, pinned, place)
     window = Window.partitionBy(*keys).orderBy(*order)
     out = light.withColumns({new: F.lead(c).over(window) for new, c in taken.items()})
     if heavy is None:

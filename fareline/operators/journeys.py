@@ -15,6 +15,8 @@ from fareline.functions.nulls import all_true, any_true, join_text, strip_space,
 from fareline.functions.ordered import digest_in_order, look_ahead, number_all_rows, number_rows
 
 JOURNEY = ["JourneyKey", "BookingID", "PassengerID", "TripNumber", "JourneyNumber"]
+# The columns that journeys share with the lookup of indirect ones: placed by them, they meet it without a further shuffle.
+_PLACE = ["PassengerID", "JourneyNumber"]
 # The leg columns a journey is made of; legs equal in all of them count once.
 JOURNEY_LEG_COLUMNS = [
     "JourneyKey", "Key", "BookingID", "PassengerID", "SegmentID", "Compartment", "ClassOfService",
@@ -108,7 +110,7 @@ def leg_links(legs: DataFrame, **limits) -> DataFrame:
     """
     legs = legs.select(*JOURNEY_LEG_COLUMNS)
     ahead = look_ahead(
-        legs, JOURNEY, LEG_ORDER, {"__next": "DepartureStation"}, distinct=True, **limits
+        legs, JOURNEY, LEG_ORDER, {"__next": "DepartureStation"}, distinct=True, place=_PLACE, **limits
     )
     return ahead.withColumn("links", F.col("__next") == F.col("ArrivalStation")).drop("__next")
 
@@ -156,8 +158,9 @@ def leg_lists(legs: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     rest = [c for c in JOURNEY_LEG_COLUMNS if c not in JOURNEY] if columns is None else list(columns)
     others = [c for c in JOURNEY_LEG_COLUMNS if c not in JOURNEY and c not in LEG_ORDER]
     ordered = F.array_sort(F.collect_list(F.struct(*LEG_ORDER, *others)))
+    # Placed by journey once, legs are de-duplicated and listed without a further shuffle.
     return (
-        distinct_legs(legs)
+        distinct_legs(legs.select(*JOURNEY_LEG_COLUMNS).repartition(*JOURNEY))
         .groupBy(*JOURNEY)
         .agg(ordered.alias("legs"))
         .withColumn("legs", F.transform("legs", lambda leg: F.struct(*[leg[c].alias(c) for c in rest])))

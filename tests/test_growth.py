@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from __spark_entry__ import QUERIES
 from fareline.functions import ordered
-from fareline.operators import assembly, intervals
+from fareline.operators import assembly, intervals, journeys
 
 
 def plan(df):
@@ -77,3 +77,12 @@ def test_digests_of_groups_hold_no_group_in_a_row(spark, frame):
     assert {r.k: (r.n, r.digest) for r in found.collect()} == want
     for name in ("n12_long_journeys", "a13_large_legs"):
         assert "collect_list" not in plan(QUERIES[name](spark, "/root/testdata/sf0.001"))
+
+
+def test_listed_journeys_and_row_ids_shuffle_their_rows_once(spark, frame):
+    legs = frame(", ".join(f"{c} string" for c in journeys.JOURNEY_LEG_COLUMNS), ("x",) * len(journeys.JOURNEY_LEG_COLUMNS))
+    assert plan(journeys.leg_lists(legs)).count("Exchange hashpartitioning") == 1
+    numbered = ordered.number_all_rows(frame("v int", *[(k,) for k in range(500, 0, -1)]), ["v"], "id")
+    # What is left is the counts of ranges; the rows are numbered where they stand.
+    assert "Exchange hashpartitioning(__range" not in plan(numbered) and "hashpartitioning(__all" not in plan(numbered)
+    assert [r.v - r.id for r in numbered.collect()] == [1] * 500
