@@ -161,9 +161,12 @@ def _columns(places: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
     return np.column_stack([np.bincount(places, values[:, c], n) for c in (0, 1)]).astype(np.float32)
 
 
-def _discounts(counts: np.ndarray) -> np.ndarray:
-    """What modified Kneser-Ney takes from counts of 1, 2 and more (from 0: nothing), by the counts of counts."""
-    n1, n2, n3, n4 = (max(float((counts == k).sum()), 1.0) for k in (1, 2, 3, 4))
+def _discounts(counts: np.ndarray, once: float = 0.0) -> np.ndarray:
+    """What modified Kneser-Ney takes from counts of 1, 2 and more (from 0: nothing), by the counts of counts.
+
+    `once` more than those in `counts` are 1.
+    """
+    n1, n2, n3, n4 = (max(float((counts == k).sum()) + (once if k == 1 else 0.0), 1.0) for k in (1, 2, 3, 4))
     y = n1 / (n1 + 2 * n2)
     taken = np.array([1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3])
     return np.append(0.0, np.clip(taken, [0.1, 0.1, 0.1], [1.0, 2.0, 3.0]))
@@ -179,20 +182,34 @@ class Words:
     left: np.ndarray = field(default_factory=lambda: np.ones(2))  # times its chance in the corpus is that of a word a class lacks
 
     @classmethod
-    def fit(cls, kinds: np.ndarray, counts: np.ndarray, before: np.ndarray, word: np.ndarray, pair_counts: np.ndarray) -> Words:
-        """From distinct words and distinct pairs, as hashes, with the texts of both classes that hold them."""
-        key, together = _pairs(before, word), np.repeat(pair_counts.sum(1, keepdims=True), 2, axis=1)
-        nothing = np.zeros(len(kinds), np.uint64)
-        return cls(cls._order(kinds, counts, nothing), cls._order(key, pair_counts, before), cls._order(key, together, before))
+    def fit(
+        cls, kinds: np.ndarray, counts: np.ndarray, before: np.ndarray, word: np.ndarray, pair_counts: np.ndarray,
+        single: np.ndarray | None = None, single_counts: np.ndarray | None = None,
+    ) -> Words:
+        """From distinct words and distinct pairs, as hashes, with the texts of both classes that hold them.
+
+        Pairs in a single text may come as sums by their first word (`single`, `single_counts`) instead: most pairs are.
+        """
+        single = np.zeros(0, np.uint64) if single is None else single
+        single_counts = np.zeros((0, 2)) if single_counts is None else single_counts
+        both = lambda n: np.repeat(n.sum(1, keepdims=True), 2, axis=1)
+        key, nothing = _pairs(before, word), np.zeros(len(kinds), np.uint64)
+        return cls(
+            cls._order(kinds, counts, nothing), cls._order(key, pair_counts, before, single, single_counts),
+            cls._order(key, both(pair_counts), before, single, both(single_counts)),
+        )
 
     @staticmethod
-    def _order(keys: np.ndarray, counts: np.ndarray, context: np.ndarray) -> Order:
-        """What is in fewer than LEAST_TEXTS texts goes to the reserve whole."""
-        taken = np.column_stack([_discounts(counts[:, c])[np.minimum(counts[:, c], 3).astype(int)] for c in (0, 1)])
+    def _order(
+        keys: np.ndarray, counts: np.ndarray, context: np.ndarray, single: np.ndarray | None = None, single_counts: np.ndarray | None = None
+    ) -> Order:
+        """What is in fewer than LEAST_TEXTS texts goes to the reserve whole, as do the sums of what is in a single one."""
+        once = np.zeros((0, 2)) if single_counts is None else single_counts
+        taken = np.column_stack([_discounts(counts[:, c], once[:, c].sum())[np.minimum(counts[:, c], 3).astype(int)] for c in (0, 1)])
         kept = counts.sum(1) >= LEAST_TEXTS
         taken = np.where(kept[:, None], taken, counts)
-        contexts, at = np.unique(context, return_inverse=True)
-        totals, reserves = _columns(at, counts, len(contexts)), _columns(at, taken, len(contexts))
+        contexts, at = np.unique(context if single is None else np.concatenate([context, single]), return_inverse=True)
+        totals, reserves = (_columns(at, np.concatenate([x, once]), len(contexts)) for x in (counts, taken))
         keys, left = keys[kept], (counts - taken)[kept].astype(np.float32)
         order = np.argsort(keys)
         return Order(keys[order], left[order], contexts, totals, reserves)
@@ -391,12 +408,18 @@ def train(
         return Model(shared)
     model = Model(shared, fit_orders([w for w, on in zip(spelt, often.tolist(), strict=True) if on], counts[often]))
     pairs = learnt.mapInArrow(_pair_counts, "v long, w long, ordinary long, toxic long").groupBy("v", "w")
-    pairs = pairs.agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic")).toArrow()
-    before, word = (pairs.column(c).to_numpy().view(np.uint64) for c in "vw")
-    pair_counts = np.column_stack([pairs.column(c).to_numpy() for c in ("ordinary", "toxic")]).astype(float)
-    model.words = Words.fit(hash_words(spelt), counts, before, word, pair_counts)
+    pairs = pin(pairs.agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic")))
+    # Most pairs are in a single text: the driver gets their sums by first word, as many as there are words.
+    single = F.col("ordinary") + F.col("toxic") == 1
+    alone = pairs.where(single).groupBy("v").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic")).toArrow()
+    pairs = pairs.where(~single).toArrow()
+    hashed = lambda t, c: t.column(c).to_numpy().view(np.uint64)
+    numbers = lambda t: np.column_stack([t.column(c).to_numpy() for c in ("ordinary", "toxic")]).astype(float)
+    model.words = Words.fit(
+        hash_words(spelt), counts, hashed(pairs, "v"), hashed(pairs, "w"), numbers(pairs), hashed(alone, "v"), numbers(alone)
+    )
     # The driver holds the model alone from here on.
-    del words, spelt, often, counts, pairs, before, word, pair_counts
+    del words, spelt, often, counts, pairs, alone
     pa.default_memory_pool().release_unused()
     _with_corpus(model, counted)
 
