@@ -21,6 +21,7 @@ from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -45,6 +46,8 @@ _BEGIN, _END = 1, 2
 _STEPS = np.random.default_rng(77).integers(1, 2**63, 16, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 #: All pairs of bytes, in their order; their contexts, single bytes, stand behind them.
 SHARED_PLACES = 1 << 16
+#: Places that are hashed together, and shares of the contexts that are fitted together: bounds of the driver's memory.
+BLOCK, CONTEXT_BITS = 1 << 18, 3
 
 
 def spelled(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -60,12 +63,15 @@ def spelled(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.
 def grams(letters: np.ndarray, place: np.ndarray, n: int) -> np.ndarray:
     """A hash of the last n bytes at each place; from the word's begin where it is nearer."""
     out = np.zeros(len(letters), np.uint64)
-    for k in range(n):
-        part = np.zeros(len(letters), np.uint64)
-        part[k:] = letters[: len(letters) - k]
-        part[place < k] = 0
-        out += part * _STEPS[k]
-    return mixed(out)
+    for first in range(0, len(letters), BLOCK):
+        last = min(first + BLOCK, len(letters))
+        for k in range(n):
+            low = max(first, k)
+            part = letters[low - k : last - k] * _STEPS[k]
+            part[place[low:last] < k] = 0
+            out[low:last] += part
+        out[first:last] = mixed(out[first:last])
+    return out
 
 
 def _shared_places(letters: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -141,13 +147,18 @@ def _pair_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 @dataclass
 class Order:
-    """N-grams of one length: sorted hashes with both classes' counts; their contexts with totals and what discounts leave."""
+    """N-grams of one length: sorted hashes with both classes' counts; their contexts with totals and what discounts leave.
+
+    A single column stands for both classes. N-grams that all have the same count may stand in `once`, as hashes alone.
+    """
 
     keys: np.ndarray
     counts: np.ndarray
     contexts: np.ndarray
     totals: np.ndarray
     reserves: np.ndarray
+    once: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
+    once_count: float = 0.0
 
 
 def _find(known: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -161,9 +172,12 @@ def _columns(places: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
     return np.column_stack([np.bincount(places, values[:, c], n) for c in (0, 1)]).astype(np.float32)
 
 
-def _discounts(counts: np.ndarray) -> np.ndarray:
-    """What modified Kneser-Ney takes from counts of 1, 2 and more (from 0: nothing), by the counts of counts."""
-    n1, n2, n3, n4 = (max(float((counts == k).sum()), 1.0) for k in (1, 2, 3, 4))
+def _discounts(counts: np.ndarray, once: int = 0) -> np.ndarray:
+    """What modified Kneser-Ney takes from counts of 1, 2 and more (from 0: nothing), by the counts of counts.
+
+    `once` further counts are 1.
+    """
+    n1, n2, n3, n4 = (max(float((counts == k).sum()) + (once if k == 1 else 0), 1.0) for k in (1, 2, 3, 4))
     y = n1 / (n1 + 2 * n2)
     taken = np.array([1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3])
     return np.append(0.0, np.clip(taken, [0.1, 0.1, 0.1], [1.0, 2.0, 3.0]))
@@ -179,23 +193,40 @@ class Words:
     left: np.ndarray = field(default_factory=lambda: np.ones(2))  # times its chance in the corpus is that of a word a class lacks
 
     @classmethod
-    def fit(cls, kinds: np.ndarray, counts: np.ndarray, before: np.ndarray, word: np.ndarray, pair_counts: np.ndarray) -> Words:
-        """From distinct words and distinct pairs, as hashes, with the texts of both classes that hold them."""
-        key, together = _pairs(before, word), np.repeat(pair_counts.sum(1, keepdims=True), 2, axis=1)
-        nothing = np.zeros(len(kinds), np.uint64)
-        return cls(cls._order(kinds, counts, nothing), cls._order(key, pair_counts, before), cls._order(key, together, before))
+    def fit(
+        cls, kinds: np.ndarray, counts: np.ndarray, kinds_once: np.ndarray, firsts: np.ndarray, totals: np.ndarray,
+        at: np.ndarray, word: np.ndarray, pair_counts: np.ndarray, once_at: np.ndarray, once: np.ndarray, pairs_once: np.ndarray,
+    ) -> Words:
+        """From words and pairs that at least LEAST_TEXTS texts hold, with the texts of both classes, and from those of one text.
+
+        Of words of one text the number in each class is enough (`kinds_once`); of pairs also that by first word
+        (`pairs_once`), and their hashes, since both classes together keep them. `firsts` are the hashes of the pairs'
+        first words, sorted, with both classes' texts of all their pairs (`totals`); `at` and `once_at` are places in them.
+        """
+        nothing = np.zeros(1, np.uint64)
+        words = cls._order(kinds, counts, nothing, (counts.sum(0) + kinds_once)[None], np.zeros(len(kinds), np.int64), kinds_once[None])
+        key = _pairs(firsts[at], word)
+        order = np.argsort(key)
+        key, at, pair_counts = key[order], at[order], pair_counts[order]
+        pairs = cls._order(key, pair_counts, firsts, totals, at, pairs_once)
+        together, all_once = pair_counts.sum(1), pairs_once.sum(1)
+        discounts = _discounts(together, int(all_once.sum()))
+        taken = discounts[np.minimum(together, 3).astype(int)]
+        reserves = np.bincount(at, taken, len(firsts)) + discounts[1] * all_once
+        both = Order(
+            pairs.keys, (together - taken).astype(np.float32)[:, None], firsts, totals.sum(1, keepdims=True).astype(np.float32),
+            reserves.astype(np.float32)[:, None], np.sort(_pairs(firsts[once_at], once)), float(np.float32(1 - discounts[1])),
+        )
+        return cls(words, pairs, both)
 
     @staticmethod
-    def _order(keys: np.ndarray, counts: np.ndarray, context: np.ndarray) -> Order:
-        """What is in fewer than LEAST_TEXTS texts goes to the reserve whole."""
-        taken = np.column_stack([_discounts(counts[:, c])[np.minimum(counts[:, c], 3).astype(int)] for c in (0, 1)])
-        kept = counts.sum(1) >= LEAST_TEXTS
-        taken = np.where(kept[:, None], taken, counts)
-        contexts, at = np.unique(context, return_inverse=True)
-        totals, reserves = _columns(at, counts, len(contexts)), _columns(at, taken, len(contexts))
-        keys, left = keys[kept], (counts - taken)[kept].astype(np.float32)
+    def _order(keys: np.ndarray, counts: np.ndarray, contexts: np.ndarray, totals: np.ndarray, at: np.ndarray, once: np.ndarray) -> Order:
+        """What is in fewer than LEAST_TEXTS texts goes to the reserve whole: `once`, by context."""
+        taken = [_discounts(counts[:, c], int(once[:, c].sum()))[np.minimum(counts[:, c], 3).astype(int)] for c in (0, 1)]
+        reserves = np.column_stack([np.bincount(at, taken[c], len(contexts)) + once[:, c] for c in (0, 1)]).astype(np.float32)
+        left = np.column_stack([(counts[:, c] - taken[c]).astype(np.float32) for c in (0, 1)])
         order = np.argsort(keys)
-        return Order(keys[order], left[order], contexts, totals, reserves)
+        return Order(keys[order], left[order], contexts, totals.astype(np.float32), reserves)
 
     def shares(self, before: np.ndarray, word: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
         """For both classes (a, b): a word's chance is a + b * its chance in the corpus."""
@@ -206,9 +237,12 @@ class Words:
         for order, context, key in ((self.both, before, pair), (self.pairs, before, pair)):
             there, seen = _find(order.contexts, context)
             at, known = _find(order.keys, key)
-            for c in (0, 1) if len(order.keys) else ():
-                total = np.where(seen, order.totals[there, c], 0).astype(float)
-                left, own = order.reserves[there, c] / np.maximum(total, 1), np.where(known, order.counts[at, c], 0) / np.maximum(total, 1)
+            rare = np.where(_find(order.once, key)[1], order.once_count, 0.0)
+            for c in (0, 1) if len(order.contexts) else ():
+                column = min(c, order.totals.shape[1] - 1)
+                total = np.where(seen, order.totals[there, column], 0).astype(float)
+                count = np.where(known, order.counts[at, column], 0) if len(order.keys) else 0.0
+                left, own = order.reserves[there, column] / np.maximum(total, 1), (count + rare) / np.maximum(total, 1)
                 a, b = out[c]
                 out[c] = np.where(total > 0, own + left * a, a), np.where(total > 0, left * b, b)
         return out
@@ -223,7 +257,8 @@ class Model:
     curve: tuple[float, ...] = (0.0, 0.0, -4.0)  # slopes of both kinds of evidence, offset
     words: Words | None = None
     corpus: DataFrame | None = None  # (h, contexts) of the words beyond the head; stays with the driver
-    shown: Broadcast | None = None  # all but these two and the curve, for the workers
+    speller: Broadcast | None = None  # the model without words, for the workers
+    shown: Broadcast | None = None  # all but these three, the orders and the curve, for the workers
     kinds: int = 0
     total: float = 1.0
     split: np.ndarray = field(default_factory=lambda: np.ones(2))  # makes the classes' shares of the corpus counts sum to 1
@@ -308,32 +343,45 @@ def fit_orders(words: list[bytes], counts: np.ndarray) -> list[Order]:
     """
     if not words:
         return []
-    lengths = np.array([len(w) for w in words], np.int64)
-    ends = np.cumsum(lengths)
-    letters, _, place = spelled(np.frombuffer(b"".join(words), np.uint8), ends - lengths, ends)
-    weight = np.repeat(counts, lengths + 2, axis=0)
+    letters, _, place = spelled(*_joined(words))
+    place = place.astype(np.int32)
+    word = np.repeat(np.arange(len(words), dtype=np.int32), [len(w) + 2 for w in words])
     orders = []
+    shorter, own = grams(letters, place, LOWEST - 1), grams(letters, place, LOWEST)
     for n in range(LOWEST, HIGHEST + 1):
-        on = np.flatnonzero(place >= n - 1)
-        all_grams, before = grams(letters, place, n), np.zeros(len(letters), np.uint64)
-        before[1:] = grams(letters, place, n - 1)[:-1]
-        gram, ctx, value = all_grams[on], before[on], weight[on]
-        if n < HIGHEST:
-            inside = place[on] >= n
-            longer = grams(letters, place, n + 1)[on]
-            gram_in, ctx_in = gram[inside], ctx[inside]
-            _, one, back = np.unique(longer[inside], return_index=True, return_inverse=True)
-            held = (_columns(back, value[inside], len(one)) > 0).astype(np.float32)
-            gram = np.concatenate([gram_in[one], gram[~inside]])
-            ctx = np.concatenate([ctx_in[one], ctx[~inside]])
-            value = np.concatenate([held, value[~inside]])
-        keys, one, back = np.unique(gram, return_index=True, return_inverse=True)
-        table = _columns(back, value, len(keys))
-        contexts, at = np.unique(ctx[one], return_inverse=True)
-        orders.append(Order(keys, table, contexts, _columns(at, table, len(contexts)), _columns(at, np.minimum(table, DISCOUNT), len(contexts))))
+        longer = grams(letters, place, n + 1) if n < HIGHEST else None
+        # A context has all that is counted of it in one share; shares follow one another in order.
+        share = (shorter >> np.uint64(64 - CONTEXT_BITS)).astype(np.uint8)
+        parts = []
+        for k in range(1 << CONTEXT_BITS):
+            on = np.flatnonzero(place >= n - 1)
+            on = on[share[on - 1] == k]
+            inside = None if longer is None else place[on] >= n
+            parts.append(_fit_order(own[on], shorter[on - 1], counts[word[on]], inside, None if longer is None else longer[on[inside]]))
+        keys, *rest = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.argsort(keys)
+        orders.append(Order(keys[order], rest[0][order], *rest[1:]))
+        shorter, own = own, longer
     return orders
 
 
+def _fit_order(
+    gram: np.ndarray, ctx: np.ndarray, value: np.ndarray, inside: np.ndarray | None, longer: np.ndarray | None
+) -> tuple[np.ndarray, ...]:
+    """An order's arrays from the n-grams, contexts and counts of some places; those `inside` a word have `longer` ones."""
+    if inside is not None:
+        gram_in, ctx_in = gram[inside], ctx[inside]
+        _, one, back = np.unique(longer, return_index=True, return_inverse=True)
+        held = (_columns(back, value[inside], len(one)) > 0).astype(np.float32)
+        gram = np.concatenate([gram_in[one], gram[~inside]])
+        ctx = np.concatenate([ctx_in[one], ctx[~inside]])
+        value = np.concatenate([held, value[~inside]])
+    keys, one, back = np.unique(gram, return_index=True, return_inverse=True)
+    table = _columns(back, value, len(keys))
+    contexts, at = np.unique(ctx[one], return_inverse=True)
+    return keys, table, contexts, _columns(at, table, len(contexts)), _columns(at, np.minimum(table, DISCOUNT), len(contexts))
+
+
 def fit_curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, ...]:
     """Slopes (one for each column of x) and offset of a logistic curve, by Newton steps with a weak pull of the scaled slopes to 0."""
     if len(x) < 2 or y.min() == y.max():
@@ -372,7 +420,7 @@ def train(
     so_far = Window.partitionBy("__toxic").orderBy(order, "__id").rowsBetween(Window.unboundedPreceding, 0)
     within = found.select("__id", F.sum(F.length("__text")).over(so_far).alias("sum"), F.row_number().over(so_far).alias("k"))
     within = within.where((F.col("sum") <= chars) | (F.col("k") <= 2)).select("__id", (F.col("k") % 4 == 0).alias("__fits"))
-    sample = pin(found.join(F.broadcast(within), "__id"))
+    sample = found.join(F.broadcast(pin(within)), "__id")
 
     counted = texts.mapInArrow(_word_counts, "word binary, n long, contexts long")
     counted = pin(counted.groupBy("word").agg(F.sum("n").alias("n"), F.sum("contexts").alias("contexts")))
@@ -383,20 +431,18 @@ def train(
     learnt = sample.where("not __fits").dropDuplicates(["__toxic", "__text"]).select("__toxic", "__text")
     # A row for each word, and for each pair of words, of the bounded sample.
     seen = learnt.select("__toxic", F.explode(F.array_distinct(word_list("__text"))).alias("word"))
-    words = seen.groupBy("word").agg(F.sum(1 - F.col("__toxic")).alias("ordinary"), F.sum("__toxic").alias("toxic"))
-    words = words.toArrow()
+    words = pin(seen.groupBy("word").agg(F.sum(1 - F.col("__toxic")).alias("ordinary"), F.sum("__toxic").alias("toxic")))
+    often = F.col("ordinary") + F.col("toxic") >= LEAST_TEXTS
+    rare = words.where(~often).agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("ordinary", "toxic")]).first()
+    words = words.where(often).toArrow()
     counts = np.column_stack([words.column(c).to_numpy() for c in ("ordinary", "toxic")]).astype(float)
-    spelt, often = [w.encode() for w in words.column("word").to_pylist()], counts.sum(1) >= LEAST_TEXTS
-    if not often.any() or not counts[often].sum(0).all():
+    if not len(counts) or not counts.sum(0).all():
         return Model(shared)
-    model = Model(shared, fit_orders([w for w, on in zip(spelt, often.tolist(), strict=True) if on], counts[often]))
-    pairs = learnt.mapInArrow(_pair_counts, "v long, w long, ordinary long, toxic long").groupBy("v", "w")
-    pairs = pairs.agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic")).toArrow()
-    before, word = (pairs.column(c).to_numpy().view(np.uint64) for c in "vw")
-    pair_counts = np.column_stack([pairs.column(c).to_numpy() for c in ("ordinary", "toxic")]).astype(float)
-    model.words = Words.fit(hash_words(spelt), counts, before, word, pair_counts)
+    spelt = [w.encode() for w in words.column("word").to_pylist()]
+    model = Model(shared, fit_orders(spelt, counts))
+    model.words = Words.fit(hash_words(spelt), counts, np.array(list(rare), float), *_collected_pairs(learnt))
     # The driver holds the model alone from here on.
-    del words, spelt, often, counts, pairs, before, word, pair_counts
+    del words, spelt, counts
     pa.default_memory_pool().release_unused()
     _with_corpus(model, counted)
 
@@ -410,6 +456,31 @@ def train(
     return model
 
 
+def _collected_pairs(learnt: DataFrame) -> tuple[np.ndarray, ...]:
+    """The pairs of words of the bounded sample as `Words.fit` takes them; those of a single text come as the second word alone."""
+    pairs = learnt.mapInArrow(_pair_counts, "v long, w long, ordinary long, toxic long")
+    # Placed by first word once, pairs are counted and listed without a further shuffle.
+    pairs = pairs.repartition("v").groupBy("v", "w").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
+    single = F.col("ordinary") + F.col("toxic") < LEAST_TEXTS
+    rows = pairs.groupBy("v").agg(
+        F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"),
+        F.sum(F.when(single, F.col("toxic")).otherwise(0)).alias("rare"),
+        F.collect_list(F.when(single, F.col("w"))).alias("once"),
+        *[F.collect_list(F.when(~single, F.col(c).cast(kind))).alias(f"more_{c}") for c, kind in (("w", "long"), ("ordinary", "int"), ("toxic", "int"))],
+    ).toArrow()
+    order = np.argsort(rows.column("v").to_numpy().view(np.uint64))
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    flat = lambda c: pc.list_flatten(rows.column(c)).to_numpy()
+    many, few = (pc.list_value_length(rows.column(c)).to_numpy() for c in ("more_w", "once"))
+    totals, rare = np.column_stack([rows.column(c).to_numpy() for c in ("ordinary", "toxic")]), rows.column("rare").to_numpy()
+    return (
+        rows.column("v").to_numpy().view(np.uint64)[order], totals[order].astype(float),
+        np.repeat(place, many), flat("more_w").view(np.uint64), np.column_stack([flat("more_ordinary"), flat("more_toxic")]).astype(float),
+        np.repeat(place, few), flat("once").view(np.uint64), np.column_stack([few - rare, rare])[order].astype(float),
+    )
+
+
 def _with_corpus(model: Model, counted: DataFrame) -> None:
     """Give the model the table of words, its sums, and its head."""
     spark = counted.sparkSession
@@ -420,14 +491,15 @@ def _with_corpus(model: Model, counted: DataFrame) -> None:
     within = contexts[np.cumsum(n) <= HEAD_WORDS]
     least = int(within.min()) if len(within) else 1 << 62
     learnt = model.words.words
-    shown = spark.sparkContext.broadcast((Model(model.shared, model.orders), learnt.keys, learnt.counts > 0))
+    speller = model.speller = spark.sparkContext.broadcast(Model(model.shared, model.orders))
+    shown = spark.sparkContext.broadcast((learnt.keys, learnt.counts > 0))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 where = _joined(batch.column("word").to_pylist())
-                contexts, (speller, keys, owned) = batch.column("contexts").to_numpy(), shown.value
-                logs = speller.spelling(*where)
+                contexts, (keys, owned) = batch.column("contexts").to_numpy(), shown.value
+                logs = speller.value.spelling(*where)
                 mean = np.logaddexp(logs[0], logs[1]) - np.log(2)
                 h, on = hashes(*where), contexts >= least
                 at, known = _find(keys, h)
@@ -483,8 +555,9 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 def _evidence(texts: DataFrame, model: Model) -> DataFrame:
     """(__key, evidence, __clear) of each key of `texts` (__key, __text); rows of one key have one text."""
     if model.shown is None:
-        model.shown = texts.sparkSession.sparkContext.broadcast(replace(model, corpus=None))
-    shared = model.shown
+        rest = replace(model, corpus=None, speller=None, shared=model.shared[:0], orders=[])
+        model.shown = texts.sparkSession.sparkContext.broadcast(rest)
+    shared, speller = model.shown, model.speller
     key = texts.schema["__key"]
     chances = ["p0", "q0", "p1", "q1"]
     schema = T.StructType(
@@ -492,9 +565,10 @@ def _evidence(texts: DataFrame, model: Model) -> DataFrame:
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        whole = replace(shared.value, shared=speller.value.shared, orders=speller.value.orders)
         for batch in batches:
             for part, texts in slices(batch, "__text"):
-                sums, n_words, clear, (document, h, n, *rest) = shared.value.parts(texts)
+                sums, n_words, clear, (document, h, n, *rest) = whole.parts(texts)
                 keys, none = part.column("__key"), np.zeros(len(sums))
                 # A row for the text, which meets no word, and one for each pair of which the second word is not in the head.
                 own = [keys, pa.array(mixed(np.arange(len(sums), dtype=np.uint64)).view(np.int64)), pa.array(none.astype(np.int64)), pa.array(n_words), pa.array(sums), pa.array(clear)]

@@ -1,5 +1,6 @@
 import math
 import random
+import tracemalloc
 from collections import defaultdict
 
 import numpy as np
@@ -117,3 +118,52 @@ def test_corpus_counts_grow_and_enter(frame, rows, monkeypatch):
     joined = tox.train(frame("doc_id long, text string", *docs, *more), labels)
     assert len(joined.head) <= 50 < len(large.head)
     assert {r.doc_id: r.evidence for r in tox.score(asked, joined).collect()} == pytest.approx(whole[1], rel=1e-6)
+
+
+def test_the_driver_fits_orders_in_parts():
+    rng = random.Random(8)
+    words = sorted({"".join(rng.choice("abcdefgh") for _ in range(rng.randrange(6, 14))).encode() for _ in range(20_000)})
+    counts = np.ones((len(words), 2))
+    tracemalloc.start()
+    orders = tox.fit_orders(words, counts)
+    _, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    held = sum(x.nbytes for o in orders for x in (o.keys, o.counts, o.contexts, o.totals, o.reserves))
+    # Beside the result, some bytes for each letter: not all the arrays of an n-gram length at once.
+    assert most - held < 100 * sum(len(w) + 2 for w in words)
+
+
+def test_pairs_of_a_single_text_are_held_as_hashes(frame):
+    rng = random.Random(9)
+    some = [" ".join(rng.choice("abcdefghijklmnopqrstuvwxyz") + rng.choice("aeiou") for _ in range(40)) for _ in range(60)]
+    texts = frame("__toxic int, __text string", *[(i % 3 // 2, t) for i, t in enumerate(some)])
+    held = [defaultdict(set), defaultdict(set)]
+    for i, t in enumerate(some):
+        for v, w in zip([""] + t.split(), t.split(), strict=False):
+            held[i % 3 // 2][v, w].add(i)
+    both = {p: sum(len(h.get(p, ())) for h in held) for p in {*held[0], *held[1]}}
+    got = tox.Words.fit(np.ones(1, np.uint64), np.ones((1, 2)), np.zeros(2), *tox._collected_pairs(texts))
+    assert len(got.both.keys) == sum(n > 1 for n in both.values()) and len(got.both.once) == sum(n == 1 for n in both.values())
+
+    def chances(v, w):
+        """Both classes' (own, left) of a pair: of the class, above both together."""
+        n = [sorted(both.values()).count(k) for k in (1, 2, 3, 4)]
+        d = tox._discounts(np.array(list(both.values())))
+        assert n[0] and n[1]
+        after = {x: k for (a, x), k in both.items() if a == v}
+        total = sum(after.values())
+        a, b = max(after.get(w, 0) - d[min(after.get(w, 0), 3)], 0) / total, sum(d[min(k, 3)] for k in after.values()) / total
+        out = []
+        for h in held:
+            own, d = {x: len(s) for (f, x), s in h.items() if f == v}, tox._discounts(np.array([len(s) for s in h.values()]))
+            total = sum(own.values())
+            taken = {x: d[min(k, 3)] if both[v, x] > 1 else k for x, k in own.items()}
+            left = sum(taken.values()) / max(total, 1)
+            out.append(((own.get(w, 0) - taken.get(w, 0)) / total + left * a, left * b) if total else (a, b))
+        return out
+
+    asked = [p for p in sorted(both) if p[0]][:200]
+    of = lambda k: tox.hash_words([p[k].encode() for p in asked])
+    plain = [chances(*p) for p in asked]
+    for c, (a, b) in enumerate(got.shares(of(0), of(1))):
+        assert np.allclose(a, [p[c][0] for p in plain], rtol=1e-5) and np.allclose(b, [p[c][1] for p in plain], rtol=1e-5)
