@@ -29,32 +29,44 @@ K1, B = 1.2, 0.75
 QUERY_TERMS = 24
 
 
+def numbered(places: np.ndarray) -> np.ndarray:
+    """The rank of each place among the distinct ones, without sorting them."""
+    there = np.zeros(int(places.max()) + 1 if len(places) else 0, bool)
+    there[places] = True
+    return (np.cumsum(there) - 1)[places]
+
+
 class BM25:
     """Inverted index of a shard. A term in one document, or in half of all or more, ranks no neighbour and is left out."""
 
     def __init__(self, document: np.ndarray, term: np.ndarray, n_documents: int, k1: float = K1, b: float = B):
+        """`document` ascends: each term as often as it occurs."""
         n_terms = int(term.max()) + 1 if len(term) else 0
         lengths = np.bincount(document, minlength=n_documents)
-        pairs, tf = np.unique(document * max(n_terms, 1) + term, return_counts=True)
-        document, term = pairs // max(n_terms, 1), pairs % max(n_terms, 1)
-        df = np.bincount(term, minlength=n_terms)
+        # Sorted once, by term: postings stand in their order, and a seed's own terms are looked up when it is one.
+        pairs, tf = np.unique(term * max(n_documents, 1) + document, return_counts=True)
+        df = np.bincount(pairs // max(n_documents, 1), minlength=n_terms)
         telling = (df >= 2) & (df < max(2.5, n_documents / 2))
-        on = telling[term]
-        document, term, tf = document[on], term[on], tf[on]
+        on = np.repeat(telling, df)
+        self.start = np.append(0, np.cumsum(np.where(telling, df, 0)))
         idf = np.log((n_documents - df + 0.5) / (df + 0.5) + 1)
         norm = k1 * (1 - b + b * lengths / max(lengths.mean(), 1)) if n_documents else lengths
-        weight = idf[term] * tf * (k1 + 1) / (tf + norm[document])
-        self.n_documents = n_documents
-        # Forward lists by document, best terms first; postings by term.
-        order = np.lexsort((term, -weight, document))
-        self.terms, self.first = term[order], np.searchsorted(document, np.arange(n_documents + 1))
-        order = np.argsort(term, kind="stable")
-        self.posting, self.weight = document[order], weight[order]
-        self.start = np.searchsorted(term[order], np.arange(n_terms + 1))
+        self.n_documents, self.k1, self.idf, self.norm, self.telling = n_documents, k1, idf, norm, telling
+        self.term, self.first = term, np.append(0, np.cumsum(lengths))
+        tf, df = tf[on], df[telling]
+        self.posting = pairs[on] - np.repeat(np.flatnonzero(telling), df) * max(n_documents, 1)
+        self.weight = np.repeat(idf[telling], df) * tf * (k1 + 1) / (tf + norm[self.posting])
+
+    def best_terms(self, seed: int, most: int) -> np.ndarray:
+        """The seed's terms of highest weight, best first."""
+        term = self.term[self.first[seed] : self.first[seed + 1]]
+        term, tf = np.unique(term[self.telling[term]], return_counts=True)
+        weight = self.idf[term] * tf * (self.k1 + 1) / (tf + self.norm[seed])
+        return term[np.argsort(-weight, kind="stable")[:most]]
 
     def scores(self, seed: int, most_terms: int = QUERY_TERMS) -> np.ndarray:
         """The BM25 score of every document for the seed's best terms."""
-        terms = self.terms[self.first[seed] : min(self.first[seed + 1], self.first[seed] + most_terms)]
+        terms = self.best_terms(seed, most_terms)
         if not len(terms):
             return np.zeros(self.n_documents)
         at = expand(self.start[terms], self.start[terms + 1] - self.start[terms])
@@ -139,7 +151,7 @@ def pack(
                 ids = np.concatenate([p[0] for p in parts])
                 sizes = np.concatenate([np.diff(p[1]) for p in parts])
                 bounds = np.append(0, np.cumsum(sizes))
-                _, terms = np.unique(np.concatenate([p[2] for p in parts]), return_inverse=True)
+                terms = numbered(np.concatenate([p[2] for p in parts]))
                 document = np.repeat(np.arange(len(sizes)), np.concatenate([np.diff(p[3]) for p in parts]))
                 del parts
                 pieces = np.array(fill_windows(sizes, BM25(document, terms, len(sizes)), window), np.int64)

@@ -4,7 +4,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from fareline.llm.direct_codes import DirectCodes, dump_codes, read_tokens, write_tokens
-from fareline.llm.packing import BM25, fill_windows, pack
+from fareline.llm.packing import K1, B, BM25, fill_windows, numbered, pack
 
 BYTES, WORDS = (public_tokenizers.path(f) for f in ("byte_bpe_50k.json", "word_bpe_49k.json"))
 ROWS = [(5, "five words are in here"), (2, None), (9, ""), (2, "again the id"), (7, "long " * 6000), (None, "no id"), (5, "five words are in here")]
@@ -65,3 +65,20 @@ def test_neighbours_share_rare_terms():
     assert index.scores(0).argsort()[::-1][:2].tolist() in ([0, 2], [2, 0]) and index.scores(0)[1] == 0
     order = [p[0] for p in fill_windows(np.array([4, 4, 4, 4, 4, 4]), index, 8)]
     assert order == [0, 2, 1, 3, 4, 5]
+
+
+def test_an_index_sorts_once_and_ranks_a_seeds_terms_when_asked():
+    rng = np.random.default_rng(5)
+    places = rng.integers(0, 5_000, 20_000) ** 2 // 5_000
+    assert (numbered(places) == np.unique(places, return_inverse=True)[1]).all() and not len(numbered(places[:0]))
+    document, term, n = np.sort(rng.integers(0, 60, len(places))), numbered(places), 60
+    index = BM25(document, term, n)
+    tf = np.zeros((n, term.max() + 1))
+    np.add.at(tf, (document, term), 1)
+    df, lengths = (tf > 0).sum(0), tf.sum(1)
+    weight = np.log((n - df + 0.5) / (df + 0.5) + 1) * tf * (K1 + 1) / (tf + (K1 * (1 - B + B * lengths / lengths.mean()))[:, None])
+    weight[:, (df < 2) | (df >= n / 2)] = 0
+    for seed in (0, 17, 59):
+        best = sorted(np.flatnonzero(weight[seed]), key=lambda t: (-weight[seed, t], t))[:24]
+        assert index.best_terms(seed, 24).tolist() == best
+        assert np.allclose(index.scores(seed), weight[:, best].sum(1))
