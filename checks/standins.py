@@ -153,9 +153,12 @@ def legs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def kept_legs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The legs written once, as the views that use them several times keep their extract."""
+    """The legs written once, as the views that use them several times keep their extract.
+
+    Their keys, the longest of their columns, are made of the others again by those who read them.
+    """
     path = new_path(spark, "legs")
-    return cached_extract(spark, path, lambda: legs(spark, sf_dir))
+    return journeys.with_keys(cached_extract(spark, path, lambda: legs(spark, sf_dir).drop(*journeys.KEYS)))
 
 
 RAW_LEGS = r"""

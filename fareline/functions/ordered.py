@@ -36,9 +36,9 @@ def heavy_groups(df: DataFrame, keys: list[str], rows: int = HEAVY_ROWS) -> list
     Groups a little smaller may be among them, which is harmless: both ways give the same rows.
     """
     share = min(1.0, _SAMPLED / rows)
-    hashes = df.select(F.xxhash64(*keys).alias("h"))
-    if share < 1.0:
-        hashes = hashes.sample(share, seed=5)
+    # Drawn first: keys are made for the sample alone.
+    drawn = df.sample(share, seed=5) if share < 1.0 else df
+    hashes = drawn.select(F.xxhash64(*keys).alias("h"))
     least = rows if share == 1.0 else 0.8 * rows * share
     found = hashes.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") >= least)
     return [r.h for r in found.select("h").collect()]

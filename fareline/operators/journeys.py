@@ -52,6 +52,9 @@ class TripRules:
 
 # Keys and status names ------------------------------------------------------------------------------
 
+# What `with_keys` adds.
+KEYS = ["FlightCode", "FlightKey", "Key", "JourneyKey"]
+
 
 def with_flight_keys(legs: DataFrame, departure: str = "DepartureStationLeg", arrival: str = "ArrivalStationLeg") -> DataFrame:
     """Add FlightCode and FlightKey; a missing part makes the key null."""
@@ -242,12 +245,14 @@ def lid_adjustment(legs: DataFrame, keys: DataFrame) -> DataFrame:
     return others.groupBy("FlightKey").agg(F.count("FlightKey").alias("LidAdjustment"))
 
 
+FLIGHT_COLUMNS = [
+    "FlightKey", "STDUTC", "STD", "STAUTC", "STA", "DepartureStationLeg", "ArrivalStationLeg", "FlightNumber", "Lid",
+]
+
+
 def adjusted_lids(legs: DataFrame, adjustment: DataFrame) -> DataFrame:
     """Distinct flights with their lid less the number of other legs; null where there are none."""
-    flights = legs.select(
-        "FlightKey", "STDUTC", "STD", "STAUTC", "STA", "DepartureStationLeg", "ArrivalStationLeg",
-        "FlightNumber", "Lid",
-    ).distinct()
+    flights = legs.select(*FLIGHT_COLUMNS).distinct()
     joined = flights.join(adjustment, "FlightKey", "left")
     return joined.withColumn("AdjustedLid", F.col("Lid") - F.col("LidAdjustment"))
 
@@ -272,6 +277,8 @@ LINE_ORDER = [
     "STDUTC", "SegmentID", "CarrierCode", "FlightNumber", "Compartment", "ClassOfService",
     "FareBasis", "CreatedUTC",
 ]
+# What a booking line shows beside the order.
+_SHOWN = ["RecordLocator", "DepartureStationLeg", "ArrivalStationLeg", "STD", "DepartureStation", "ArrivalStation"]
 
 
 def passenger_numbers(legs: DataFrame, **limits) -> DataFrame:
@@ -287,7 +294,9 @@ def booking_lines(legs: DataFrame, airline: str, time_format: str = "HHmm", **li
     `time_format="HHss"` prints hour and second, for consumers used to that.
     """
     # Row ids pin the legs; the passenger numbers then start from the pinned rows, not from scratch.
-    rows = number_all_rows(legs.where(F.col("PassengerID").isNotNull()), LINE_ORDER, "id")
+    # Only the columns of a line are joined, pinned and sorted.
+    shown = legs.where(F.col("PassengerID").isNotNull()).select(*LINE_ORDER, *_SHOWN)
+    rows = number_all_rows(shown, LINE_ORDER, "id")
     numbers = passenger_numbers(rows, **limits).withColumnsRenamed({"BookingID": "b", "PassengerID": "p"})
     same = F.col("BookingID").eqNullSafe(F.col("b")) & (F.col("PassengerID") == F.col("p"))
     return rows.join(numbers, same, "inner").select(

@@ -11,6 +11,7 @@ import random
 from pyspark.sql import functions as F
 
 from __spark_entry__ import QUERIES
+from checks import standins
 from fareline.functions import ordered
 from fareline.operators import assembly, intervals, journeys
 
@@ -86,3 +87,23 @@ def test_listed_journeys_and_row_ids_shuffle_their_rows_once(spark, frame):
     # What is left is the counts of ranges; the rows are numbered where they stand.
     assert "Exchange hashpartitioning(__range" not in plan(numbered) and "hashpartitioning(__all" not in plan(numbered)
     assert [r.v - r.id for r in numbered.collect()] == [1] * 500
+
+
+def test_kept_legs_and_booking_lines_carry_no_columns_in_vain(spark, monkeypatch):
+    own = standins.kept_legs(spark, "/root/testdata/sf0.001")
+    written = spark.read.parquet(*own.inputFiles()).columns
+    assert not set(written) & {"Key", "JourneyKey", "FlightKey", "FlightCode"}
+    whole = standins.legs(spark, "/root/testdata/sf0.001")
+    assert sorted(own.columns) == sorted(whole.columns)
+    assert own.select(*whole.columns).exceptAll(whole).isEmpty() and own.count() == whole.count()
+
+    numbered = []
+    plain = journeys.number_all_rows
+    monkeypatch.setattr(journeys, "number_all_rows", lambda df, *rest: numbered.append(df.columns) or plain(df, *rest))
+    journeys.booking_lines(own, "A")
+    assert not set(numbered[0]) & {"Key", "JourneyKey", "FlightKey", "PassengerStatus", "Capacity", "STA", "STAUTC"}
+
+
+def test_lid_adjustment_finds_the_trips_once(spark):
+    found = plan(QUERIES["n21_lid_adjustment"](spark, "/root/testdata/sf0.001"))
+    assert "links" not in found and "lead(" not in found
