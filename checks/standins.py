@@ -85,6 +85,8 @@ def log_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 # Suppliers with their region, two short columns, that every task may hold: some 40 MB at most.
 SUPPLIERS_HELD = 500_000
+# Order lines in a task that makes legs of them: a leg is some ten times as wide in memory as its line in the shuffle.
+LINES_A_TASK = 500_000
 
 
 def _percent(c: str) -> Column:
@@ -96,7 +98,10 @@ def _hours(n: int) -> Column:
 
 
 def raw_legs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines as passenger legs between the regions of supplier and customer."""
+    """Order lines as passenger legs between the regions of supplier and customer.
+
+    The legs are placed by PassengerID, so that what groups them by passenger or journey needs no further shuffle.
+    """
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
     places = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "r_name")
     places = broadcast_if_small(places)
@@ -108,9 +113,13 @@ def raw_legs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     # The far more numerous lines meet orders that know their customer, so that they are not shuffled for it.
     orders = table(spark, sf_dir, "orders").join(customers, F.col("o_custkey") == F.col("c_custkey")).drop("c_custkey")
+    lineitem = table(spark, sf_dir, "lineitem")
+    tasks = max(spark.sparkContext.defaultParallelism, -(-lineitem.count() // LINES_A_TASK))
+    # The key of both sides is the passenger as the legs name it, since Spark keeps track of no place by a number it is made of.
+    by_passenger = lambda df, key: df.withColumn("PassengerID", F.col(key).cast("string")).repartition(tasks, "PassengerID")
     lines = (
-        spread(table(spark, sf_dir, "lineitem"))
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        by_passenger(lineitem, "l_orderkey")
+        .join(by_passenger(orders, "o_orderkey"), "PassengerID")
         .join(broadcast_if_small(suppliers, SUPPLIERS_HELD), F.col("l_suppkey") == F.col("s_suppkey"))
     )
     n = F.col("l_linenumber")
@@ -125,7 +134,7 @@ def raw_legs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return timed.select(
         F.col("o_custkey").cast("string").alias("BookingID"),
         F.concat(F.lit("R"), F.col("o_custkey").cast("string")).alias("RecordLocator"),
-        F.col("l_orderkey").cast("string").alias("PassengerID"),
+        "PassengerID",
         F.concat(F.col("l_partkey").cast("string"), F.lit("-"), F.col("l_suppkey").cast("string")).alias("SegmentID"),
         F.col("l_linestatus").alias("Compartment"),
         F.concat(F.lit("F"), _percent("l_discount").cast("string")).alias("FareBasis"),

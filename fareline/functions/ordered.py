@@ -44,10 +44,10 @@ def heavy_groups(df: DataFrame, keys: list[str], rows: int = HEAVY_ROWS) -> list
     return [r.h for r in found.select("h").collect()]
 
 
-def _split(df: DataFrame, keys: list[str], rows: int, distinct: bool, pinned: bool = False, place: list[str] | None = None):
-    """Rows of ordinary groups, and those of heavy ones if there are any; each without repeats.
+def _split(df: DataFrame, keys: list[str], rows: int, distinct: bool, pinned: bool = False):
+    """Rows of ordinary groups, and those of heavy ones if there are any; each without repeats if `distinct`.
 
-    A table that is `pinned` already is not pinned again. Groups are placed by `place`, some of their keys.
+    A table that is `pinned` already, or gives the same rows whenever it is read, is not pinned again.
     """
     df = df if pinned else pin(df)
     heavy = heavy_groups(df, keys, rows)
@@ -57,7 +57,7 @@ def _split(df: DataFrame, keys: list[str], rows: int, distinct: bool, pinned: bo
         light, rest = df.where(~is_heavy), df.where(is_heavy)
     if distinct:
         # Placed by group once, rows are de-duplicated and ordered without a further shuffle.
-        light = light.repartition(*(place or keys)).distinct()
+        light = light.repartition(*keys).distinct()
         rest = None if rest is None else rest.distinct()
     return light, rest
 
@@ -142,14 +142,36 @@ def number_all_rows(df: DataFrame, order: list[str], name: str, first: int = 0)
     return ranges.join(F.broadcast(before), of == F.col("__at")).withColumn(name, place + F.col("__before") + first).drop("__place", "__at", "__before")
 
 
+def distinct_ahead(df: DataFrame, keys: list[str], order: list[str], taken: dict[str, str]) -> DataFrame:
+    """The distinct rows, with the value of each `new name -> column` of `taken` in the group's next one.
+
+    One sort brings equal rows together, the last of which stays. Rows that are placed by some of `keys` already are not
+    shuffled.
+    """
+    rest = [c for c in df.columns if c not in (*keys, *order)]
+    row, window = F.struct(*order, *rest), Window.partitionBy(*keys).orderBy(*order, *rest)
+    ahead = {new: F.lead(c).over(window) for new, c in taken.items()}
+    repeated = row.eqNullSafe(F.lead(row).over(window))
+    return df.withColumns({**ahead, "__repeated": repeated}).where(~F.col("__repeated")).drop("__repeated")
+
+
 def look_ahead(
     df: DataFrame, keys: list[str], order: list[str], taken: dict[str, str],
     distinct: bool = False, rows: int = HEAVY_ROWS, pinned: bool = False, place: list[str] | None = None,
 ) -> DataFrame:
-    """Add, for each `new name -> column` of `taken`, the column's value in the group's next row."""
-    light, heavy = _split(df, keys, rows, distinct, pinned, place)
-    window = Window.partitionBy(*keys).orderBy(*order)
-    out = light.withColumns({new: F.lead(c).over(window) for new, c in taken.items()})
+    """Add, for each `new name -> column` of `taken`, the column's value in the group's next row.
+
+    Ordinary groups are placed by `place`, some of their keys, if it is given; else they stay where they are, if that is one
+    task for each group.
+    """
+    light, heavy = _split(df, keys, rows, False, pinned)
+    light = light.repartition(*place) if place else light
+    if distinct:
+        out = distinct_ahead(light, keys, order, taken)
+        heavy = None if heavy is None else heavy.distinct()
+    else:
+        window = Window.partitionBy(*keys).orderBy(*order)
+        out = light.withColumns({new: F.lead(c).over(window) for new, c in taken.items()})
     if heavy is None:
         return out
 

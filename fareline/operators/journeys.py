@@ -12,11 +12,11 @@ from pyspark.sql import functions as F
 
 from fareline import codes
 from fareline.functions.nulls import all_true, any_true, join_text, strip_space, timestamp_text
-from fareline.functions.ordered import digest_in_order, look_ahead, number_all_rows, number_rows
+from fareline.functions.ordered import digest_in_order, distinct_ahead, look_ahead, number_all_rows, number_rows
 
 JOURNEY = ["JourneyKey", "BookingID", "PassengerID", "TripNumber", "JourneyNumber"]
 # The columns that journeys share with the lookup of indirect ones: placed by them, they meet it without a further shuffle.
-_PLACE = ["PassengerID", "JourneyNumber"]
+PLACE = ["PassengerID", "JourneyNumber"]
 # The leg columns a journey is made of; legs equal in all of them count once.
 JOURNEY_LEG_COLUMNS = [
     "JourneyKey", "Key", "BookingID", "PassengerID", "SegmentID", "Compartment", "ClassOfService",
@@ -112,9 +112,7 @@ def leg_links(legs: DataFrame, **limits) -> DataFrame:
     Null for the last leg and where a station is missing.
     """
     legs = legs.select(*JOURNEY_LEG_COLUMNS)
-    ahead = look_ahead(
-        legs, JOURNEY, LEG_ORDER, {"__next": "DepartureStation"}, distinct=True, place=_PLACE, **limits
-    )
+    ahead = look_ahead(legs, JOURNEY, LEG_ORDER, {"__next": "DepartureStation"}, distinct=True, **limits)
     return ahead.withColumn("links", F.col("__next") == F.col("ArrivalStation")).drop("__next")
 
 
@@ -125,8 +123,9 @@ def journey_profile(
     """One row per journey: first departure, last arrival, hops and quality flags.
 
     Legs equal in all leg columns count once. All results are scalars; the legs themselves stay rows
-    (see `leg_lists`). De-duplication, look-ahead and flags share one shuffle. By default a journey has standard fares unless all its
-    classes are non-standard; `strict_standard` asks that none is.
+    (see `leg_lists`). De-duplication, look-ahead and flags share one sort and one shuffle, and need no shuffle where the legs
+    are placed by passenger already. By default a journey has standard fares unless all its classes are non-standard;
+    `strict_standard` asks that none is.
     """
     airline_leg = F.col("CarrierCode") == airline
     non_standard_leg = F.col("ClassOfService").isin(list(non_standard))
@@ -161,9 +160,9 @@ def leg_lists(legs: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     rest = [c for c in JOURNEY_LEG_COLUMNS if c not in JOURNEY] if columns is None else list(columns)
     others = [c for c in JOURNEY_LEG_COLUMNS if c not in JOURNEY and c not in LEG_ORDER]
     ordered = F.array_sort(F.collect_list(F.struct(*LEG_ORDER, *others)))
-    # Placed by journey once, legs are de-duplicated and listed without a further shuffle.
+    # Placed by journey once, if they are not yet, legs are de-duplicated and listed without a further shuffle.
     return (
-        distinct_legs(legs.select(*JOURNEY_LEG_COLUMNS).repartition(*JOURNEY))
+        distinct_ahead(legs.select(*JOURNEY_LEG_COLUMNS), JOURNEY, LEG_ORDER, {})
         .groupBy(*JOURNEY)
         .agg(ordered.alias("legs"))
         .withColumn("legs", F.transform("legs", lambda leg: F.struct(*[leg[c].alias(c) for c in rest])))

@@ -70,7 +70,7 @@ class RouteStudy:
     def profile(self, legs: DataFrame, **limits) -> DataFrame:
         """Journeys with all flags, from legs that are kept as an extract."""
         plain = journeys.journey_profile(
-            legs, self.airline, self.organizations, self.non_standard_fares, **{"pinned": True, **limits}
+            legs, self.airline, self.organizations, self.non_standard_fares, **{"pinned": True, "place": journeys.PLACE, **limits}
         )
         return journeys.with_journey_flags(plain, journeys.indirect_journeys(legs), self.groups(legs))
 

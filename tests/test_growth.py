@@ -107,3 +107,24 @@ def test_kept_legs_and_booking_lines_carry_no_columns_in_vain(spark, monkeypatch
 def test_lid_adjustment_finds_the_trips_once(spark):
     found = plan(QUERIES["n21_lid_adjustment"](spark, "/root/testdata/sf0.001"))
     assert "links" not in found and "lead(" not in found
+
+
+def test_legs_that_are_placed_by_passenger_are_not_shuffled_again(spark, frame, monkeypatch):
+    def pinned(df):
+        raise AssertionError("legs were pinned")
+
+    # The lines, their orders and, for these, customers: no shuffle beyond that, and no repartition by the journey's columns.
+    monkeypatch.setattr(ordered, "pin", pinned)
+    for name in ("n12_distinct_ordered_legs", "n13_journey_profile", "n14_journey_chain_validity"):
+        found = plan(QUERIES[name](spark, "/root/testdata/sf0.001"))
+        assert "Exchange hashpartitioning(JourneyKey" not in found and "REPARTITION_BY_COL" not in found
+        assert found.count("Exchange hashpartitioning(PassengerID") == 2
+        # Equal legs meet in the one sort; no hash table of whole legs.
+        assert not [line for line in found.splitlines() if "Aggregate(" in line and "keys=[" in line and "SegmentID" in line.split("functions=")[0]]
+    # One order makes one row of equal legs, whatever columns the order leaves out; nulls are equal.
+    rows = [("a", 2, None), ("a", 1, "x"), ("a", 2, None), ("a", 1, "y"), ("a", 1, "x"), (None, 1, None), (None, 1, None)]
+    df = frame("k string, o int, v string", *rows).repartition(3)
+    ahead = ordered.distinct_ahead(df, ["k"], ["o"], {"next": "v"})
+    assert sorted(map(str, map(tuple, ahead.collect()))) == sorted(
+        map(str, [("a", 1, "x", "y"), ("a", 1, "y", None), ("a", 2, None, None), (None, 1, None, None)])
+    )
