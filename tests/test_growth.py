@@ -14,6 +14,8 @@ from __spark_entry__ import QUERIES
 from checks import standins
 from fareline.functions import ordered
 from fareline.operators import assembly, intervals, journeys
+from fareline.plans import maintenance
+from fareline.sources import sinks
 
 
 def plan(df):
@@ -128,3 +130,17 @@ def test_legs_that_are_placed_by_passenger_are_not_shuffled_again(spark, frame,
     assert sorted(map(str, map(tuple, ahead.collect()))) == sorted(
         map(str, [("a", 1, "x", "y"), ("a", 1, "y", None), ("a", 2, None, None), (None, 1, None, None)])
     )
+
+
+def test_checked_extracts_are_named_once_a_file(spark, frame, path):
+    schema, at = frame("a int, b string").schema, path()
+    days = [(k, str(k), f"T_2024-01-0{k % 3 + 1}_to_2024-01-0{k % 3 + 1}") for k in range(9)]
+    sinks.write_text(frame("a int, b string, export string", *days), at, by="export")
+    spark.createDataFrame([("a;b",), ("x;bad",)], "value string").coalesce(1).write.mode("append").text(f"{at}/export=T_2024-01-01_to_2024-01-01")
+    report = maintenance.check_extracts(spark, at, schema)
+    # Rows are counted under their file's path; names are taken from the few paths after it.
+    counts = [line for line in plan(report).splitlines() if "partial_count(bad_row" in line]
+    assert counts and all("__file" in line for line in counts)
+    got = sorted(map(tuple, report.collect()))
+    assert got == [("T_2024-01-01_to_2024-01-01", 4, 1, False), ("T_2024-01-02_to_2024-01-02", 3, 0, True), ("T_2024-01-03_to_2024-01-03", 3, 0, True)]
+    assert [r.rows for r in maintenance.check_extracts(spark, at, schema, first_day=2, last_day=2).collect()] == [3]
