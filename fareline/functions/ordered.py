@@ -62,9 +62,10 @@ def _split(df: DataFrame, keys: list[str], rows: int, distinct: bool, pinned: bo
     return light, rest
 
 
-def range_count(df: DataFrame, range_rows: int = RANGE_ROWS) -> int:
-    """Ranges for a pinned table: enough that none has many more than `range_rows` rows."""
-    return max(1, -(-df.count() // range_rows), df.sparkSession.sparkContext.defaultParallelism)
+def range_count(df: DataFrame, range_rows: int = RANGE_ROWS, rows: int | None = None) -> int:
+    """Ranges for a pinned table, or one of `rows` rows at most: enough that none has many more than `range_rows` rows."""
+    rows = df.count() if rows is None else rows
+    return max(1, -(-rows // range_rows), df.sparkSession.sparkContext.defaultParallelism)
 
 
 def _into_ranges(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -228,34 +229,52 @@ def _arrow(schema: T.StructType) -> pa.Schema:
 
 
 def digest_in_order(
-    df: DataFrame, keys: list[str], order: list[str], text: Column, separator: str = "|", pinned: bool = False
+    df: DataFrame, keys: list[str], order: list[str], text: Column, separator: str = "|", pinned: bool = False,
+    distinct: bool = False, rows: int | None = None,
 ) -> DataFrame:
     """Per group its rows (`n`) and the MD5 of its texts, joined in order (`digest`; null without any text).
 
     No row ever holds a group: the table is sorted by ranges, each range makes pages of joined texts, and the pages of a
     group pass through one digest, a batch at a time. That last step is sequential by nature, but it keeps nothing.
+    With `distinct` equal rows count once: they meet in the sort, not in a shuffle of their own (floating-point columns are
+    not meant). `rows`, a bound on the rows of a table that is `pinned` or the same whenever it is read, saves counting them.
     """
     df = df if pinned else pin(df)
+    compared = [c for c in df.columns if c not in keys] if distinct else []
+    # Equal rows must lie in one range to meet; else a tie lets them spread over several.
+    ties = [c for c in compared if c not in order] if distinct else ["__tie"]
     placed = (
-        df.withColumn("__tie", F.monotonically_increasing_id())
-        .repartitionByRange(range_count(df), *keys, *order, "__tie")
-        .sortWithinPartitions(*keys, *order, "__tie")
-        .select(*keys, F.monotonically_increasing_id().alias("__place"), text.alias("__text"))
+        (df if distinct else df.withColumn("__tie", F.monotonically_increasing_id()))
+        .repartitionByRange(range_count(df, rows=rows), *keys, *order, *ties)
+        .sortWithinPartitions(*keys, *order, *ties)
+        .select(*keys, F.monotonically_increasing_id().alias("__place"), text.alias("__text"), *compared)
     )
     own = [placed.schema[k] for k in keys]
     page = T.StructType([*own, *[T.StructField(c, T.LongType()) for c in ("__place", "n", "__known")], T.StructField("__page", T.StringType())])
     width = PAGE_CHARS
 
+    def changes(batch: pa.RecordBatch) -> np.ndarray:
+        """Whether a row differs from the one before it, nulls being equal; the first does."""
+        new = np.zeros(batch.num_rows, bool)
+        new[0] = True
+        for column in batch.columns:
+            a, b = column[:-1], column[1:]
+            differ = pc.coalesce(pc.not_equal(a, b), pc.xor(pc.is_null(a), pc.is_null(b)))
+            new[1:] |= differ.to_numpy(zero_copy_only=False)
+        return new
+
     def pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
         for batch in batches:
+            if distinct and batch.num_rows:
+                each = batch.select([*keys, *compared])
+                fresh = changes(each)
+                fresh[0] = each.slice(0, 1).to_pylist() != last
+                last = each.slice(len(fresh) - 1).to_pylist()
+                batch = batch.filter(pa.array(fresh))
             if not batch.num_rows:
                 continue
-            new = np.zeros(batch.num_rows, bool)
-            new[0] = True
-            for k in keys:
-                a, b = batch.column(k)[:-1], batch.column(k)[1:]
-                differ = pc.coalesce(pc.not_equal(a, b), pc.xor(pc.is_null(a), pc.is_null(b)))
-                new[1:] |= differ.to_numpy(zero_copy_only=False)
+            new = changes(batch.select(keys))
             texts = batch.column("__text")
             filled = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy()) // width
             new[1:] |= filled[1:] != filled[:-1]

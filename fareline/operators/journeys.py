@@ -169,9 +169,9 @@ def leg_lists(legs: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     )
 
 
-def leg_digests(legs: DataFrame, text: Column) -> DataFrame:
+def leg_digests(legs: DataFrame, text: Column, **limits) -> DataFrame:
     """Per journey the number `n` of distinct legs and the MD5 of their texts joined by "|", however long it is."""
-    return digest_in_order(distinct_legs(legs), JOURNEY, LEG_ORDER, text)
+    return digest_in_order(legs.select(*JOURNEY_LEG_COLUMNS), JOURNEY, LEG_ORDER, text, distinct=True, **limits)
 
 
 def with_journey_flags(profile: DataFrame, indirect: DataFrame, groups: DataFrame) -> DataFrame:

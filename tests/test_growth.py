@@ -82,6 +82,29 @@ def test_digests_of_groups_hold_no_group_in_a_row(spark, frame):
         assert "collect_list" not in plan(QUERIES[name](spark, "/root/testdata/sf0.001"))
 
 
+def test_equal_rows_meet_in_the_sort_of_their_digest(spark, frame):
+    rng = random.Random(4)
+    data = [(k, i, None if i % 5 == 0 else f"v{i % 3}", "x" if i % 2 else None) for k in ("a", "b", None) for i in range(300)]
+    given = data * 3 + [("a", 1, "v1", "y")] * 50
+    rng.shuffle(given)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")  # equal rows lie in several batches
+    try:
+        df = frame("k string, o int, v string, w string", *given).repartition(5)
+        found = {r.k: (r.n, r.digest) for r in ordered.digest_in_order(df, ["k"], ["o", "v"], F.col("v"), distinct=True, rows=3_000).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    want = {}
+    for k in ("a", "b", None):
+        own = sorted({(o, v or "", w or "") for x, o, v, w in given if x == k})
+        want[k] = (len(own), hashlib.md5("|".join(v for _, v, _ in own if v).encode()).hexdigest())
+    assert found == want
+    long = plan(QUERIES["n12_long_journeys"](spark, "/root/testdata/sf0.001"))
+    # Legs are shuffled once, by ranges; what is placed by carrier after it is pages.
+    assert long.count("Exchange rangepartitioning") == 1 and "keys=[JourneyKey" not in long
+    assert not [line for line in long.splitlines() if "Exchange hashpartitioning(" in line and "SegmentID" in line]
+
+
 def test_listed_journeys_and_row_ids_shuffle_their_rows_once(spark, frame):
     legs = frame(", ".join(f"{c} string" for c in journeys.JOURNEY_LEG_COLUMNS), ("x",) * len(journeys.JOURNEY_LEG_COLUMNS))
     assert plan(journeys.leg_lists(legs)).count("Exchange hashpartitioning") == 1
