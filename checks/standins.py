@@ -97,6 +97,11 @@ def _hours(n: int) -> Column:
     return F.expr(f"interval {n} hours")
 
 
+def leg_tasks(spark: SparkSession, sf_dir: str) -> int:
+    """Tasks that the legs are placed in by passenger."""
+    return max(spark.sparkContext.defaultParallelism, -(-table(spark, sf_dir, "lineitem").count() // LINES_A_TASK))
+
+
 def raw_legs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines as passenger legs between the regions of supplier and customer.
 
@@ -114,7 +119,7 @@ def raw_legs(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The far more numerous lines meet orders that know their customer, so that they are not shuffled for it.
     orders = table(spark, sf_dir, "orders").join(customers, F.col("o_custkey") == F.col("c_custkey")).drop("c_custkey")
     lineitem = table(spark, sf_dir, "lineitem")
-    tasks = max(spark.sparkContext.defaultParallelism, -(-lineitem.count() // LINES_A_TASK))
+    tasks = leg_tasks(spark, sf_dir)
     # The key of both sides is the passenger as the legs name it, since Spark keeps track of no place by a number it is made of.
     by_passenger = lambda df, key: df.withColumn("PassengerID", F.col(key).cast("string")).repartition(tasks, "PassengerID")
     lines = (
@@ -162,12 +167,13 @@ def legs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def kept_legs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The legs written once, as the views that use them several times keep their extract.
+    """The legs written once, as the views that use them several times keep their extract, still placed by passenger.
 
     Their keys, the longest of their columns, are made of the others again by those who read them.
     """
     path = new_path(spark, "legs")
-    return journeys.with_keys(cached_extract(spark, path, lambda: legs(spark, sf_dir).drop(*journeys.KEYS)))
+    pull = lambda: legs(spark, sf_dir).drop(*journeys.KEYS)
+    return journeys.with_keys(cached_extract(spark, path, pull, by="PassengerID", parts=leg_tasks(spark, sf_dir)))
 
 
 RAW_LEGS = r"""

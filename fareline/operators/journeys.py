@@ -13,10 +13,9 @@ from pyspark.sql import functions as F
 from fareline import codes
 from fareline.functions.nulls import all_true, any_true, join_text, strip_space, timestamp_text
 from fareline.functions.ordered import digest_in_order, distinct_ahead, look_ahead, number_all_rows, number_rows
+from fareline.session import broadcast_if_small, pin
 
 JOURNEY = ["JourneyKey", "BookingID", "PassengerID", "TripNumber", "JourneyNumber"]
-# The columns that journeys share with the lookup of indirect ones: placed by them, they meet it without a further shuffle.
-PLACE = ["PassengerID", "JourneyNumber"]
 # The leg columns a journey is made of; legs equal in all of them count once.
 JOURNEY_LEG_COLUMNS = [
     "JourneyKey", "Key", "BookingID", "PassengerID", "SegmentID", "Compartment", "ClassOfService",
@@ -260,12 +259,25 @@ def valid_trips(
     legs: DataFrame, flagged: DataFrame, rules: TripRules, origin, destination, start, end,
     non_standard: Sequence[str] = (),
 ) -> DataFrame:
-    """Trip legs that belong to journeys which pass the rules."""
+    """Trip legs that belong to journeys which pass the rules: their key is that of a leg of such a journey.
+
+    A trip of a passing journey has its key there itself, which legs placed by passenger tell without a shuffle. The key of any
+    other is found there only if other parts make the same text: such keys meet as hashes first, so that few legs move.
+    """
     trips = trip_legs(legs, origin, destination, start, end)
     if rules.flight_standard_airline_fares:
         trips = standard_fares_only(trips, non_standard)
-    passing = flagged.where(journey_condition(rules))
-    return legs_with_keys(trips, keys_of_journeys(legs, passing))
+    trips = trips.where(F.col("Key").isNotNull())
+    passing = pin(flagged.where(journey_condition(rules)).select(*JOURNEY))
+    own, others = (trips.join(passing, JOURNEY, how) for how in ("left_semi", "left_anti"))
+    of_key = F.xxhash64("Key").alias("__of_key")
+    known = legs.where(F.col("Key").isNotNull()).join(passing, JOURNEY, "left_semi").select(of_key)
+    shared = pin(others.select(of_key).distinct().join(known.hint("merge"), "__of_key", "left_semi"))
+    if shared.isEmpty():
+        return own
+    shared = broadcast_if_small(shared, trust_estimate=False)
+    maybe = lambda df: df.withColumn("__of_key", of_key).join(shared, "__of_key", "left_semi").drop("__of_key")
+    return own.unionByName(legs_with_keys(maybe(others), keys_of_journeys(maybe(legs), passing)))
 
 
 # Booking lines --------------------------------------------------------------------------------------

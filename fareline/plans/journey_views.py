@@ -68,9 +68,9 @@ class RouteStudy:
         return journeys.group_bookings(legs, self.rules.group_booking_lower_bound)
 
     def profile(self, legs: DataFrame, **limits) -> DataFrame:
-        """Journeys with all flags, from legs that are kept as an extract."""
+        """Journeys with all flags, from legs that are kept as an extract, best one placed by passenger."""
         plain = journeys.journey_profile(
-            legs, self.airline, self.organizations, self.non_standard_fares, **{"pinned": True, "place": journeys.PLACE, **limits}
+            legs, self.airline, self.organizations, self.non_standard_fares, **{"pinned": True, **limits}
         )
         return journeys.with_journey_flags(plain, journeys.indirect_journeys(legs), self.groups(legs))
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +14,12 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a skewed join partition even when a later step needs the same keys again.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Spark's default, until a query reads placed tables (`keep_places`).
+    "spark.sql.requireAllClusterKeysForCoPartition": "true",
 }
+# While a table is written: what was shuffled for it leaves the disks when it is there, not when the driver collects its garbage;
+# and a task that writes few buckets does not sort its rows for it.
+_WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.maxConcurrentOutputFileWriters": "8"}
 
 
 def tune(spark: SparkSession) -> SparkSession:
@@ -50,13 +57,50 @@ def drop_scratch(spark: SparkSession) -> None:
     own.getFileSystem(spark._jsc.hadoopConfiguration()).delete(own, True)
 
 
-def pin(df: DataFrame) -> DataFrame:
+@contextmanager
+def writing(spark: SparkSession) -> Iterator[None]:
+    """Settings for one write, taken back after it."""
+    before = {key: spark.conf.get(key) for key in _WRITING}
+    for key, value in _WRITING.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def keep_places(spark: SparkSession) -> None:
+    """Let rows that are placed by a column join by it and others without a shuffle, until the next query."""
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+
+
+def write_placed(df: DataFrame, path: str, by: str, parts: int, mode: str = "errorifexists") -> DataFrame:
+    """Write `df` in buckets of `by` and read it as placed by them: grouping and joining by it needs no shuffle.
+
+    Rows that lie by `by` in as many parts already make one file a bucket. Who reads the files by their path gets the same
+    rows, without the place.
+    """
+    spark, name = df.sparkSession, f"placed_{uuid.uuid4().hex}"
+    with writing(spark):
+        df.write.mode(mode).option("path", path).option("compression", "zstd").bucketBy(parts, by).saveAsTable(name)
+    placed = spark.table(name)
+    # The table has done its part when its buckets are known; its files stay.
+    spark.sql(f"DROP TABLE {name}")
+    keep_places(spark)
+    return placed
+
+
+def pin(df: DataFrame, by: str | None = None, parts: int = 1) -> DataFrame:
     """Write `df` once as a table in the shared folder and go on from there.
 
-    Cuts the lineage, survives lost executors, and lets later steps read only the columns they use.
+    Cuts the lineage, survives lost executors, and lets later steps read only the columns they use. `by`: see `write_placed`.
     """
     path = new_path(df.sparkSession, "pinned")
-    df.write.parquet(path)
+    if by is not None:
+        return write_placed(df, path, by, parts)
+    with writing(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

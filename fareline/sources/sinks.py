@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fareline.session import write_placed, writing
 from fareline.sources.multiline import read_text_divided
 from fareline.sources.scans import EXACT_NULLS, TEXT, read_text
 
@@ -176,12 +177,19 @@ def is_written(spark: SparkSession, path: str) -> bool:
 
 def cached_extract(
     spark: SparkSession, path: str, pull: Callable[[], DataFrame], *, force: bool = False,
-    save: bool = True,
+    save: bool = True, by: str | None = None, parts: int = 1,
 ) -> DataFrame:
-    """The extract kept at `path`, else (or if forced) pull it and keep it."""
+    """The extract kept at `path`, else (or if forced) pull it and keep it.
+
+    Rows pulled in `parts` by the column `by` are kept so, and whoever pulled them reads them as placed.
+    """
     if not force and is_written(spark, path):
         return spark.read.parquet(path)
     if not save:
         return pull()
-    pull().write.mode("overwrite").parquet(path)
+    pulled = pull()
+    if by is not None:
+        return write_placed(pulled, path, by, parts, mode="overwrite")
+    with writing(spark):
+        pulled.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return spark.read.parquet(path)

@@ -15,6 +15,7 @@ from checks import standins
 from fareline.functions import ordered
 from fareline.operators import assembly, intervals, journeys
 from fareline.plans import maintenance
+from fareline.session import tune, write_placed
 from fareline.sources import sinks
 
 
@@ -129,6 +130,27 @@ def test_kept_legs_and_booking_lines_carry_no_columns_in_vain(spark, monkeypatch
     assert not set(numbered[0]) & {"Key", "JourneyKey", "FlightKey", "PassengerStatus", "Capacity", "STA", "STAUTC"}
 
 
+def test_kept_legs_stay_placed_by_passenger(spark, path):
+    own = standins.kept_legs(spark, "/root/testdata/sf0.001")
+    assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "false"
+    profile = journeys.journey_profile(own, "A", [], [], pinned=True)
+    trips = own.where("Status = 0").join(profile.select(*journeys.JOURNEY).hint("merge"), journeys.JOURNEY, "left_semi")
+    # Profiles, the lookup of indirect journeys and trips meet where the legs were written.
+    assert "Exchange" not in plan(trips) and "Exchange" not in plan(journeys.indirect_journeys(own))
+    assert "Exchange" not in plan(profile.join(journeys.indirect_journeys(own).hint("merge"), ["PassengerID", "JourneyNumber"], "left"))
+    # No table is left in the catalog, and the files are whole for who reads them by their path.
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("placed_")]
+    tune(spark)
+    assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
+
+    at, df = path("placed"), spark.range(1_000).selectExpr("cast(id % 97 as string) p", "id", "if(id % 5 = 0, null, 1) n")
+    placed = write_placed(df.repartition(3, "p"), at, "p", 3)
+    for read in (placed, spark.read.parquet(at)):
+        assert read.select(*df.columns).exceptAll(df).isEmpty() and read.count() == 1_000
+    assert placed.groupBy("p", "n").count().count() == df.groupBy("p", "n").count().count()
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
 def test_lid_adjustment_finds_the_trips_once(spark):
     found = plan(QUERIES["n21_lid_adjustment"](spark, "/root/testdata/sf0.001"))
     assert "links" not in found and "lead(" not in found

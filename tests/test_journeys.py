@@ -190,6 +190,16 @@ def test_whole_view(enriched):
     assert {r.PassengerID for r in study.trips(legs).collect()} == {"P1"}
 
 
+def test_a_key_that_other_parts_make_too_is_found(enriched):
+    study = RouteStudy("XY", [], [], None, None, dt.date(2024, 3, 1), dt.date(2024, 3, 31), TripRules(was_serviced=True))
+    alike = dict(BookingID="B11", PassengerID="P", CarrierCode="ZZ")
+    legs = enriched(
+        dict(BookingID="B1", PassengerID="1P"), alike, alike, dict(BookingID="B9", PassengerID="P9", CarrierCode="ZZ"),
+        dict(PassengerID="P5", SegmentID=None), dict(PassengerID="P6"), dict(PassengerID="P6"),
+    )
+    assert rows(study.trips(legs).select("BookingID", "PassengerID"), "PassengerID") == [("B1", "1P"), ("B11", "P"), ("B11", "P"), ("B1", "P6"), ("B1", "P6")]
+
+
 def test_load_keeps_the_extract(spark, path):
     from checks import standins
 
