@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fareline.codes import NOT_OPERATING
-from fareline.session import broadcast_if_small
+from fareline.session import broadcast_if_small, keep_places, pin
 
 Tables = Mapping[str, DataFrame]
 
@@ -96,9 +96,14 @@ def _operations(tables: Tables) -> DataFrame:
     return _shuffled(tables["InventoryLegOp"].select("InventoryLegID", "DepartureStatus"))
 
 
-def _classes_of_flights(tables: Tables, flights: DataFrame) -> DataFrame:
-    """Flights with one row per class of service and its nest, which meet before the wide flights do."""
+def _classes_of_flights(tables: Tables, flights: DataFrame, placed: bool = False) -> DataFrame:
+    """Flights with one row per class of service and its nest, which meet before the wide flights do.
+
+    `placed`: by flight once, so that no join by flight shuffles them again where places are kept (`session.keep_places`).
+    """
     classes = tables["InventoryLegClass"].select("InventoryLegID", "ClassOfService", "ClassNest")
+    if placed:
+        classes = classes.repartition("InventoryLegID")
     nests = tables["InventoryLegNest"].select(
         "InventoryLegID", "ClassNest", F.col("TravelClassCode").alias("Compartment")
     )
@@ -129,16 +134,17 @@ _SEGMENT_COLUMNS = [
 ]
 
 
-def legs_in_class(tables: Tables, segments: DataFrame) -> DataFrame:
+def legs_in_class(tables: Tables, segments: DataFrame, placed: bool = False) -> DataFrame:
     """The `described_legs` that some segment flies in its class of service.
 
     A leg meets its segments before its flight's classes, so that it joins the one class it needs and
-    never spreads over all classes of the flight.
+    never spreads over all classes of the flight. Segments may be `placed` by passenger already, where places are kept.
     """
     # Placed by the join keys once, segment keys are de-duplicated and joined without a further shuffle.
-    flown = segments.select(*_SEGMENT_KEYS).repartition("SegmentID", "PassengerID").distinct()
+    keys = segments.select(*_SEGMENT_KEYS)
+    flown = (keys if placed else keys.repartition("SegmentID", "PassengerID")).distinct()
     legs = tables["PassengerJourneyLeg"].select("InventoryLegID", *_PASSENGER_LEG_COLUMNS)
-    classes = _classes_of_flights(tables, tables["InventoryLeg"])
+    classes = _classes_of_flights(tables, tables["InventoryLeg"], placed)
     return (
         legs.join(flown, ["SegmentID", "PassengerID"], "inner")
         .join(classes, ["InventoryLegID", "ClassOfService"], "inner")
@@ -168,6 +174,30 @@ def passenger_legs(
     return journey_legs(cut).join(booked_passengers(cut), "PassengerID", "left")
 
 
+def placed_passenger_legs(
+    tables: Tables, origin: str | None, destination: str | None, start: dt.date, end: dt.date, parts: int
+) -> DataFrame:
+    """`passenger_legs` with PassengerID as text, placed by it in `parts`.
+
+    All of a passenger meets in one place: legs leave it once, as few columns, to meet their flights, and come back with
+    them; segments and bookings stay.
+    """
+    by = "PassengerID"
+    as_text = {name: df.withColumn(by, F.col(by).cast("string")) for name, df in tables.items() if by in df.columns}
+    cut = dict(tables) | as_text
+    keep_places(tables["PassengerJourneyLeg"].sparkSession)
+    wanted = pin(route_passengers(cut, origin, destination, start, end).repartition(parts, by), by, parts)
+    for name in ("PassengerJourneySegment", "PassengerJourneyLeg", "BookingPassenger"):
+        cut[name] = as_text[name].join(wanted.hint("merge"), by, "left_semi")
+    # Read twice, for their keys and whole: grouped once.
+    segments = pin(cut["PassengerJourneySegment"].select(*_SEGMENT_COLUMNS), by, parts)
+    named = named_segments({**cut, "PassengerJourneySegment": segments})
+    legs = legs_in_class(cut, segments, placed=True).drop("InventoryLegID")
+    # The join that comes last keeps the place, whatever the ones before it became.
+    bookings = booked_passengers(cut).repartition(parts, by).hint("merge")
+    return named.join(legs.hint("merge"), _SEGMENT_KEYS, "left").join(bookings, by, "left")
+
+
 def inventory_legs(
     tables: Tables, origin: str | None, destination: str | None, start: dt.date, end: dt.date
 ) -> DataFrame:

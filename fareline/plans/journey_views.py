@@ -13,7 +13,10 @@ from fareline.operators import assembly, curve, journeys
 from fareline.operators.export import conform
 from fareline.operators.journeys import TripRules
 from fareline.schemas import struct_of
-from fareline.sources.sinks import cached_extract, extract_path
+from fareline.sources.sinks import cached_extract, extract_path, is_written
+
+# Passenger legs in a task that holds all of a passenger.
+LEGS_A_TASK = 500_000
 
 
 @dataclass(frozen=True)
@@ -34,9 +37,13 @@ class RouteStudy:
 
     # Inputs -----------------------------------------------------------------------------------------
 
-    def pull_legs(self, tables: Mapping[str, DataFrame]) -> DataFrame:
-        """Passenger legs from source tables, with keys and status names, under the declared schema."""
-        legs = assembly.passenger_legs(tables, self.origin, self.destination, self.start, self.end)
+    def pull_legs(self, tables: Mapping[str, DataFrame], parts: int | None = None) -> DataFrame:
+        """Passenger legs from source tables, with keys and status names, under the declared schema.
+
+        With `parts` they are placed by passenger in as many.
+        """
+        route = (self.origin, self.destination, self.start, self.end)
+        legs = assembly.placed_passenger_legs(tables, *route, parts) if parts else assembly.passenger_legs(tables, *route)
         typed = conform(legs, struct_of("passenger_legs"))
         return conform(journeys.with_status_names(journeys.with_keys(typed)), struct_of("enriched_passenger_legs"))
 
@@ -51,16 +58,27 @@ class RouteStudy:
         self, spark: SparkSession, tables: Mapping[str, DataFrame], root: str, force: bool = False,
         save: bool = True,
     ) -> tuple[DataFrame, DataFrame]:
-        """Legs and inventory, kept below `root` and read from there the next time."""
+        """Legs and inventory, kept below `root` and read from there the next time; legs that are kept now lie by passenger.
+
+        Their keys, the longest of their columns, are not kept but made of the others again.
+        """
         where = (root, self.origin or "any", self.destination or "any", self.start, self.end)
+        parts = 0
+        if save and (force or not is_written(spark, extract_path(*where))):
+            parts = max(spark.sparkContext.defaultParallelism, -(-tables["PassengerJourneyLeg"].count() // LEGS_A_TASK))
         legs = cached_extract(
-            spark, extract_path(*where), lambda: self.pull_legs(tables), force=force, save=save
+            spark, extract_path(*where), lambda: self.pull_legs(tables, parts).drop(*journeys.KEYS), force=force,
+            save=save, by="PassengerID", parts=parts,
         )
         inventory = cached_extract(
-            spark, extract_path(*where, prefix="inventory_"), lambda: self.pull_inventory(tables),
+            spark, extract_path(*where, prefix="inventory_"), lambda: self.pull_inventory(tables).drop(*journeys.KEYS),
             force=force, save=save,
         )
-        return legs, inventory
+        keyed = journeys.with_flight_keys(inventory, "DepartureStation", "ArrivalStation")
+        return (
+            conform(journeys.with_keys(legs), struct_of("enriched_passenger_legs")),
+            conform(keyed, struct_of("enriched_inventory_legs")),
+        )
 
     # Views ------------------------------------------------------------------------------------------
 

@@ -15,6 +15,7 @@ from checks import standins
 from fareline.functions import ordered
 from fareline.operators import assembly, intervals, journeys
 from fareline.plans import maintenance
+from fareline.plans.journey_views import RouteStudy
 from fareline.session import tune, write_placed
 from fareline.sources import sinks
 
@@ -151,6 +152,36 @@ def test_kept_legs_stay_placed_by_passenger(spark, path):
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
 
 
+def test_assembled_legs_are_placed_by_passenger(spark, path):
+    at = dt.date(1998, 1, 1), dt.date(1999, 6, 30)
+    tables = {}
+    for name, df in standins.sources(spark, "/root/testdata/sf0.001").items():
+        if "PassengerID" in df.columns:  # some passengers twice, some without an ID
+            df = df.unionByName(df.where("PassengerID % 7 = 0"))
+            df = df.withColumn("PassengerID", F.expr("if(PassengerID % 11 = 0, null, PassengerID)"))
+        tables[name] = df.unionByName(df.where("InventoryLegID % 13 = 0")) if name == "InventoryLegClass" else df
+    for route in ((None, None), ("Brand#7", None)):
+        tune(spark)
+        plain = assembly.passenger_legs(tables, *route, *at).withColumn("PassengerID", F.col("PassengerID").cast("string"))
+        placed = assembly.placed_passenger_legs(tables, *route, *at, 3).select(*plain.columns)
+        assert placed.exceptAll(plain).isEmpty() and placed.count() == plain.count() > 0
+        # In three places by the text of the passenger, whatever the joins before became.
+        here = F.spark_partition_id() == F.expr("pmod(hash(PassengerID), 3)")
+        assert placed.where(~here).isEmpty()
+
+    study = RouteStudy("ECONOMY", [], [], None, None, *at)
+    own, inventory = study.load(spark, tables, path("study"))
+    assert "Exchange" not in plan(journeys.journey_profile(own, "ECONOMY", [], [], pinned=True))
+    assert "Exchange" not in plan(journeys.indirect_journeys(own))
+    for kept in (own, inventory):
+        assert not set(spark.read.parquet(*kept.inputFiles()).columns) & set(journeys.KEYS)
+    fresh = study.pull_legs(tables)
+    assert own.columns == fresh.columns and own.exceptAll(fresh).isEmpty() and own.count() == fresh.count()
+    stocked = study.pull_inventory(tables)
+    assert inventory.columns == stocked.columns and inventory.exceptAll(stocked).isEmpty()
+    tune(spark)
+
+
 def test_lid_adjustment_finds_the_trips_once(spark):
     found = plan(QUERIES["n21_lid_adjustment"](spark, "/root/testdata/sf0.001"))
     assert "links" not in found and "lead(" not in found
