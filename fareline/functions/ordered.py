@@ -158,15 +158,13 @@ def distinct_ahead(df: DataFrame, keys: list[str], order: list[str], taken: dict
 
 def look_ahead(
     df: DataFrame, keys: list[str], order: list[str], taken: dict[str, str],
-    distinct: bool = False, rows: int = HEAVY_ROWS, pinned: bool = False, place: list[str] | None = None,
+    distinct: bool = False, rows: int = HEAVY_ROWS, pinned: bool = False,
 ) -> DataFrame:
     """Add, for each `new name -> column` of `taken`, the column's value in the group's next row.
 
-    Ordinary groups are placed by `place`, some of their keys, if it is given; else they stay where they are, if that is one
-    task for each group.
+    Ordinary groups stay where they are, if that is one task for each group.
     """
     light, heavy = _split(df, keys, rows, False, pinned)
-    light = light.repartition(*place) if place else light
     if distinct:
         out = distinct_ahead(light, keys, order, taken)
         heavy = None if heavy is None else heavy.distinct()
